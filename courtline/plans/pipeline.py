@@ -63,9 +63,8 @@ class Pipeline:
         tables: dict[str, str] = {}
         for ds in self.order():
             args = [sources[i] if i in sources else spark.table(tables[i]) for i in ds.inputs]
-            table = f"`{database}`.`{ds.name}`"
-            save_table(ds.build(*args), table, comment=ds.comment or None,
-                       partition_by=ds.partition_by)
+            table = save_table(ds.build(*args), ds.name, database, comment=ds.comment or None,
+                               partition_by=ds.partition_by)
             tables[ds.name] = table
         return tables
 

@@ -160,15 +160,14 @@ def medallion_pipeline(spark, sf_dir):
 def event_lookup(spark, sf_dir):
     """Lookup created by DDL + INSERT, joined to the silver play counts."""
     C.use_database(spark, DATABASE)
-    lk = C.create_lookup_table(spark, f"`{DATABASE}`.`event_type_lookup`", K.EVENT_TYPE_LOOKUP)
+    lk = C.create_lookup_table(spark, "event_type_lookup", K.EVENT_TYPE_LOOKUP, database=DATABASE)
     return A.plays_per_event_name(_in(spark, sf_dir).silver, lk)
 
 
 def feature_table(spark, sf_dir):
     C.use_database(spark, DATABASE)
-    name = f"`{DATABASE}`.`ml_game_features`"
-    C.drop_table(spark, name)
-    C.save_table(_in(spark, sf_dir).features, name)
+    C.drop_table(spark, C.qualified("ml_game_features", DATABASE))
+    name = C.save_table(_in(spark, sf_dir).features, "ml_game_features", DATABASE)
     return C.read_table(spark, name)
 
 
@@ -496,8 +495,7 @@ def ml_results(spark, sf_dir):
     best, _ = ML.grid_search(train, cols)
     scored = ML.score_splits(best, train, test)
     C.use_database(spark, DATABASE)
-    name = f"`{DATABASE}`.`ml_results`"
-    C.save_table(scored, name)
+    name = C.save_table(scored, "ml_results", DATABASE)
     return C.read_table(spark, name)
 
 

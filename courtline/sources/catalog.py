@@ -18,21 +18,36 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
-def save_table(df: DataFrame, name: str, comment: str | None = None,
-               partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
-               buckets: int = 0) -> str:
-    """Create or replace a managed parquet table (idempotent)."""
-    w = df.write.mode("overwrite").format("parquet")
+def table_location(spark: SparkSession, table: str, database: str | None = None) -> str:
+    """Folder of a table: ``<database location>/<table>``."""
+    db = database or spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/") + "/" + table
+
+
+def qualified(table: str, database: str | None = None) -> str:
+    return f"`{database}`.`{table}`" if database else f"`{table}`"
+
+
+def save_table(df: DataFrame, table: str, database: str | None = None,
+               comment: str | None = None, partition_by: Sequence[str] = (),
+               bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
+    """Create or replace a parquet table (idempotent, also across sessions).
+
+    The table is registered at an explicit folder under its database, so an
+    overwrite replaces whatever an earlier run left there.
+    """
+    spark = df.sparkSession
+    name = qualified(table, database)
+    w = df.write.mode("overwrite").format("parquet").option(
+        "path", table_location(spark, table, database))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by and buckets:
         w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    if comment:
-        w = w.option("comment", comment)
     w.saveAsTable(name)
     if comment:
-        df.sparkSession.sql(
-            f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{comment.replace(chr(39), '')}')")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES "
+                  f"('comment' = '{comment.replace(chr(39), '')}')")
     return name
 
 
@@ -50,13 +65,16 @@ def drop_table(spark: SparkSession, name: str) -> bool:
         return False
 
 
-def create_lookup_table(spark: SparkSession, name: str, rows: Sequence[tuple],
-                        columns: str = "event_id INT, event_name STRING") -> DataFrame:
-    """``CREATE TABLE (cols)`` then ``INSERT INTO ... VALUES`` (replaces any old one)."""
+def create_lookup_table(spark: SparkSession, table: str, rows: Sequence[tuple],
+                        columns: str = "event_id INT, event_name STRING",
+                        database: str | None = None) -> DataFrame:
+    """``CREATE TABLE (cols)`` then ``INSERT ... VALUES`` (replaces any old rows)."""
+    name = qualified(table, database)
+    loc = table_location(spark, table, database)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{loc}'")
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
-    spark.sql(f"INSERT INTO {name} VALUES {values}")
+    spark.sql(f"INSERT OVERWRITE TABLE {name} VALUES {values}")
     return spark.table(name)
 
 
