@@ -91,16 +91,38 @@ def _dummy_name(col: str, value) -> str:
     return f"{col}_{value}"
 
 
-def category_values(df: DataFrame, col: str, limit: int = MAX_ONE_HOT_CATEGORIES) -> list:
-    """Sorted distinct non-null values of a column (a small job; result bounded).
+def category_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_ONE_HOT_CATEGORIES
+                    ) -> dict:
+    """Sorted distinct non-null values of each column, found in one job.
 
-    Raises rather than silently truncating when there are more than ``limit``.
+    The columns are unpivoted to (column, value) text pairs and de-duplicated
+    (partial aggregation first); at most ``limit`` values per column plus one
+    reach the driver.  More than ``limit`` raises instead of truncating.
     """
-    vals = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} categories; pass values explicitly")
-    return vals
+    cols = list(cols)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
+        .alias("p")).select("p.*").filter(F.col("v").isNotNull()).distinct()
+    rows = pairs.limit(len(cols) * limit + 1).collect()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: dict = {c: [] for c in cols}
+    for r in rows:
+        out[r["c"]].append(r["v"])
+    for c in cols:
+        if len(out[c]) > limit:
+            raise ValueError(f"{c} has more than {limit} categories; pass values explicitly")
+        conv = _python_type(types[c])
+        out[c] = sorted(conv(v) for v in out[c])
+    return out
+
+
+def _python_type(dtype):
+    from pyspark.sql.types import FractionalType, IntegralType
+    if isinstance(dtype, IntegralType):
+        return int
+    if isinstance(dtype, FractionalType):
+        return float
+    return str
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], values: dict | None = None,
@@ -108,20 +130,19 @@ def one_hot(df: DataFrame, cols: Sequence[str], values: dict | None = None,
     """Replace each column by 0/1 indicators named ``<col>_<value>``.
 
     Categories come from ``values`` when given (stable schema), else from the
-    data (sorted).  A null row gets all zeros.  Indicators are plain ``CASE``
-    projections, so the encoding itself is a narrow, codegen'd map.
+    data (sorted, one small job for all columns).  A null row gets all zeros.
+    Indicators are plain ``CASE`` projections, so the encoding itself is a
+    narrow, codegen'd map.
     """
     values = dict(values or {})
-    out = df
+    missing = [c for c in cols if values.get(c) is None]
+    if missing:
+        values.update(category_values(df, missing))
+    exprs = {}
     for c in cols:
-        vals = values.get(c)
-        if vals is None:
-            vals = category_values(df, c)
-        out = out.withColumns({
-            _dummy_name(c, v): F.when(F.col(c) == F.lit(v), 1).otherwise(0).cast(dtype)
-            for v in vals})
-        out = out.drop(c)
-    return out
+        for v in values[c]:
+            exprs[_dummy_name(c, v)] = F.when(F.col(c) == F.lit(v), 1).otherwise(0).cast(dtype)
+    return df.withColumns(exprs).drop(*cols)
 
 
 def safe_column_name(name: str) -> str:
@@ -129,10 +150,14 @@ def safe_column_name(name: str) -> str:
 
 
 def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
-                 n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH
-                 ) -> DataFrame:
-    """Silver -> cleaned, calendar, lagged frame (before one-hot)."""
-    df = silver.dropDuplicates()
+                 n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                 dedup: bool = True) -> DataFrame:
+    """Silver -> cleaned, calendar, lagged frame (before one-hot).
+
+    ``dedup=False`` skips the whole-row de-duplication (a full shuffle) when
+    the input is known to be distinct already, as the play silver is.
+    """
+    df = silver.dropDuplicates() if dedup else silver
     df = drop_columns(df)
     df = regulation_time(df)
     if teams is not None:
@@ -146,9 +171,9 @@ def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict |
 
 def feature_table(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
                   home_team: str | None = None, one_hot_values: dict | None = None,
-                  n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH
-                  ) -> DataFrame:
-    df = feature_base(silver, teams, renames, n, segment_width)
+                  n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                  dedup: bool = True) -> DataFrame:
+    df = feature_base(silver, teams, renames, n, segment_width, dedup)
     if home_team is not None:
         df = df.filter(F.col("home_team") == home_team)
     df = normalize_names(df)

@@ -8,7 +8,8 @@ per (group, segment) in parallel, and stitch segments together with a tiny
 per-segment summary table:
 
 * ``forward_fill``: carry-in value for a segment = last non-null value of the
-  earlier segments (window over the summary, one row per segment).
+  earlier segments (window over the summary, one row per segment), put in
+  front of the segment's rows so one window pass fills everything.
 * ``row_position``: 1-based position in the group = rows in earlier segments
   + position inside the segment.
 * ``lag_rows``: the value ``n`` rows back, found by an equi-join on
@@ -61,24 +62,27 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "
 
     seg_df = df.withColumn(_SEG, _segment(order, segment_width))
     keys = [*by, _SEG]
-    w_local = (Window.partitionBy(*keys).orderBy(*orders)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = seg_df.withColumns({c: F.last(c, ignorenulls=True).over(w_local) for c in cols})
 
-    # One row per (group, segment): the segment's last non-null value of each
-    # column.  max(struct(order..., value)) picks it deterministically and
-    # aggregates partially before the shuffle.
+    # 1. per (group, segment): the last non-null value of each column.  Only
+    #    the key, order and filled columns are read (pruned scan), and the
+    #    max(struct(order, value)) aggregate is partial before its shuffle.
     summary = seg_df.groupBy(*keys).agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in orders],
-                                                      F.col(c).alias("v")))).getField("v")
-        .alias(f"__last_{c}") for c in cols])
+        F.max(F.when(F.col(c).isNotNull(),
+                     F.struct(*[F.col(o) for o in orders], F.col(c).alias("v"))))
+        .getField("v").alias(f"__l{i}") for i, c in enumerate(cols)])
+    # 2. carry-in of each segment = last non-null of the earlier segments
+    #    (one row per segment, so this window is small even for a huge group)
     w_carry = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, *[
-        F.last(f"__last_{c}", ignorenulls=True).over(w_carry).alias(f"__carry_{c}")
-        for c in cols])
-    out = local.join(carry, keys, "left")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols})
-    return out.drop(_SEG, *[f"__carry_{c}" for c in cols]).select(*df.columns)
+        F.last(f"__l{i}", ignorenulls=True).over(w_carry).alias(c) for i, c in enumerate(cols)])
+    # 3. each segment's carry row goes first in its window partition; one
+    #    shuffle of the data rows, one window pass, no join
+    rows = seg_df.withColumn("__m", F.lit(1))
+    both = rows.unionByName(carry.withColumn("__m", F.lit(0)), allowMissingColumns=True)
+    w = (Window.partitionBy(*keys).orderBy("__m", *orders)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = both.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    return out.filter(F.col("__m") == 1).select(*df.columns)
 
 
 def row_position(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "event_num",
@@ -95,7 +99,9 @@ def row_position(df: DataFrame, by: str | Sequence[str] = "game_id", order: str
     keys = [*by, _SEG]
     local = seg_df.withColumn(
         out, F.row_number().over(Window.partitionBy(*keys).orderBy(*orders)).cast("long"))
-    counts = seg_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    # rows per segment = the largest local row number; same partitioning as
+    # ``local``, so no second scan or shuffle of the input
+    counts = local.groupBy(*keys).agg(F.max(out).alias("__n"))
     w_off = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(w_off), F.lit(0))
                             .alias("__offset"))

@@ -68,6 +68,18 @@ class Inputs:
     def silver(self) -> DataFrame:
         return M.dedup(self.completed)
 
+    @cached_property
+    def silver_shared(self) -> DataFrame:
+        """Silver materialised once for consumers that read it more than once
+        (self-joins, a discovery job plus the query, repeated model fits).
+
+        A reliable checkpoint in the shared ``spark.checkpoint.dir``: it cuts
+        the lineage, and a lost executor re-reads files instead of re-running
+        the bronze joins and the window.
+        """
+        ensure_checkpoint_dir(self.spark)
+        return self.silver.checkpoint(eager=True)
+
     @cached_property
     def game_silver(self) -> DataFrame:
         return M.overall_game_silver(self.game)
@@ -98,11 +110,13 @@ class Inputs:
 
     @cached_property
     def feature_base(self) -> DataFrame:
-        return FT.feature_base(self.silver, P.OFFICIAL_TEAMS, P.TEAM_RENAMES)
+        # silver is distinct by construction (its last step is the dedup)
+        return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False)
 
     @cached_property
     def features(self) -> DataFrame:
-        return FT.feature_table(self.silver, P.OFFICIAL_TEAMS, P.TEAM_RENAMES)
+        return FT.feature_table(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES,
+                                dedup=False)
 
     @cached_property
     def splits(self) -> tuple[DataFrame, DataFrame]:
@@ -335,11 +349,11 @@ def latest_seasons(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def first_games(spark, sf_dir):
-    return PR.first_groups(_in(spark, sf_dir).silver, "game_id", P.FIRST_GAMES)
+    return PR.first_groups(_in(spark, sf_dir).silver_shared, "game_id", P.FIRST_GAMES)
 
 
 def game_name(spark, sf_dir):
-    return PR.with_game_name(_in(spark, sf_dir).silver)
+    return PR.with_game_name(_in(spark, sf_dir).silver_shared)
 
 
 def top_shot_makers(spark, sf_dir):
@@ -382,7 +396,8 @@ def margin_by_minute(spark, sf_dir):
 
 
 def histogram(spark, sf_dir):
-    return PR.histogram(_in(spark, sf_dir).silver, "score_margin_complete", P.HISTOGRAM_BINS)
+    return PR.histogram(_in(spark, sf_dir).silver_shared, "score_margin_complete",
+                        P.HISTOGRAM_BINS)
 
 
 # ---------------------------------------------------------------------------
@@ -403,7 +418,7 @@ def time_of_day(spark, sf_dir):
 
 def lag_40(spark, sf_dir):
     from courtline.operators.windows import lag_rows
-    s = _in(spark, sf_dir).silver.select("game_id", "event_num", "score_margin_complete")
+    s = _in(spark, sf_dir).silver_shared.select("game_id", "event_num", "score_margin_complete")
     return lag_rows(s, "score_margin_complete", K.MOMENTUM_LAG, "score_margin_40_events_ago")
 
 
@@ -412,7 +427,7 @@ def momentum(spark, sf_dir):
 
 
 def one_game_lag(spark, sf_dir):
-    g = _in(spark, sf_dir).silver.filter(F.col("game_id") == P.ONE_GAME_ID)
+    g = _in(spark, sf_dir).silver_shared.filter(F.col("game_id") == P.ONE_GAME_ID)
     return lag_all_columns(g, K.MOMENTUM_LAG, keep=(), suffix="")
 
 
