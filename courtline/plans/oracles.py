@@ -203,6 +203,7 @@ ORACLES: dict[str, str] = {
     "scan_latest_files": _q(["pbp"], """SELECT * FROM pbp WHERE season IN
         (SELECT DISTINCT season FROM pbp ORDER BY season DESC LIMIT 2)"""),
     "union_seasons": _q(["pbp"], "SELECT * FROM pbp"),
+    "incremental_ingest": _q(["pbp"], "SELECT * FROM pbp"),
     "table_roundtrip": _q(["event_gold"], "SELECT * FROM event_gold"),
     "medallion_pipeline": _q(
         ["silver", "game_silver", "event_gold", "event_team_gold", "player_gold", "home_gold",

@@ -151,6 +151,16 @@ def union_seasons(spark, sf_dir):
     return FS.union_seasons(FS.read_each(spark, path, names))
 
 
+def incremental_ingest(spark, sf_dir):
+    """Season files streamed into a bronze folder (availableNow), read back."""
+    from courtline.streaming.ingest import ingest_to_bronze
+    bronze = _in(spark, sf_dir).bronze
+    src = _season_files(spark, sf_dir)
+    target = scratch_path(spark, "bronze")
+    ingest_to_bronze(spark, src, target, bronze.schema)
+    return spark.read.schema(bronze.schema).parquet(target)
+
+
 def table_roundtrip(spark, sf_dir):
     C.use_database(spark, DATABASE)
     C.save_table(_in(spark, sf_dir).event_gold, "play_by_event_gold_copy",
@@ -561,6 +571,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_bronze": scan_bronze,
     "scan_latest_files": scan_latest_files,
     "union_seasons": union_seasons,
+    "incremental_ingest": incremental_ingest,
     "table_roundtrip": table_roundtrip,
     "medallion_pipeline": medallion_pipeline,
     "event_lookup": event_lookup,
