@@ -104,9 +104,18 @@ class Inputs:
     def away_gold(self) -> DataFrame:
         return M.team_stats_season_away_gold(self.game_silver)
 
+    @cached_property
+    def game_silver_shared(self) -> DataFrame:
+        """Game silver materialised once: the home and away gold tables both
+        read it (as the pipeline does with its written table)."""
+        ensure_checkpoint_dir(self.spark)
+        return self.game_silver.checkpoint(eager=True)
+
     @cached_property
     def margin_table(self) -> DataFrame:
-        return A.team_stats_margin(self.home_gold, self.away_gold, P.EXCLUDED_TEAMS)
+        g = self.game_silver_shared
+        return A.team_stats_margin(M.team_stats_season_home_gold(g),
+                                   M.team_stats_season_away_gold(g), P.EXCLUDED_TEAMS)
 
     @cached_property
     def feature_base(self) -> DataFrame:
