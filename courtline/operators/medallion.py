@@ -67,11 +67,20 @@ def merge_names(df: DataFrame, sep: str = "_") -> DataFrame:
                   "home_description", "visitor_description"))
 
 
+SEGMENT_COLUMN = "__event_segment"
+
+
 def fill_scores_forward(df: DataFrame, cols: Sequence[str] = K.SCORE_COLUMNS,
-                        segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
-    """Carry the last known score values forward within each game, by event order."""
+                        segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                        keep_segment: bool = False) -> DataFrame:
+    """Carry the last known score values forward within each game, by event order.
+
+    ``keep_segment`` keeps the event-segment id (a function of ``event_num``)
+    so the de-duplication after it reuses the window's partitioning.
+    """
     return forward_fill(df, _present(df, cols), by="game_id", order="event_num",
-                        segment_width=segment_width)
+                        segment_width=segment_width,
+                        segment_column=SEGMENT_COLUMN if keep_segment else None)
 
 
 def complete_scores(df: DataFrame) -> DataFrame:
@@ -87,8 +96,15 @@ def complete_scores(df: DataFrame) -> DataFrame:
 
 
 def dedup(df: DataFrame) -> DataFrame:
-    """Whole-row de-duplication (partial aggregation collapses copies map-side)."""
-    return df.dropDuplicates()
+    """Whole-row de-duplication (partial aggregation collapses copies map-side).
+
+    If the frame carries the event-segment column of the forward fill, the
+    rows are already hash-partitioned by (game, segment), a subset of the
+    whole-row key, so no second shuffle is planned; the column is a function
+    of ``event_num`` and is dropped afterwards.
+    """
+    out = df.dropDuplicates()
+    return out.drop(SEGMENT_COLUMN) if SEGMENT_COLUMN in df.columns else out
 
 
 def play_by_play_silver(bronze: DataFrame, sep: str = "_",
@@ -96,7 +112,7 @@ def play_by_play_silver(bronze: DataFrame, sep: str = "_",
     df = project_play_columns(bronze)
     df = type_play_columns(df)
     df = merge_names(df, sep)
-    df = fill_scores_forward(df, segment_width=segment_width)
+    df = fill_scores_forward(df, segment_width=segment_width, keep_segment=True)
     df = complete_scores(df)
     return dedup(df)
 

@@ -45,11 +45,14 @@ def _segment(order: str, width: int) -> Column:
 
 def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "game_id",
                  order: str = "event_num", tiebreak: Sequence[str] = (),
-                 segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
+                 segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                 segment_column: str | None = None) -> DataFrame:
     """Replace each null in ``cols`` by the last non-null value earlier in its group.
 
     ``segment_width=None`` uses one window per group (fine when groups are
-    known to be small).
+    known to be small).  ``segment_column`` keeps the segment id under that
+    name: the output is hash-partitioned by (group, segment), so a later
+    whole-row de-duplication that includes it needs no second shuffle.
     """
     by = _as_list(by)
     cols = list(cols)
@@ -82,7 +85,10 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "
     w = (Window.partitionBy(*keys).orderBy("__m", *orders)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = both.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    return out.filter(F.col("__m") == 1).select(*df.columns)
+    out = out.filter(F.col("__m") == 1)
+    if segment_column:
+        return out.select(*df.columns, F.col(_SEG).alias(segment_column))
+    return out.select(*df.columns)
 
 
 def row_position(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "event_num",

@@ -56,9 +56,13 @@ class Inputs:
     def named(self) -> DataFrame:
         return M.merge_names(self.typed)
 
+    @cached_property
+    def filled_seg(self) -> DataFrame:
+        return M.fill_scores_forward(self.named, keep_segment=True)
+
     @cached_property
     def filled(self) -> DataFrame:
-        return M.fill_scores_forward(self.named)
+        return self.filled_seg.drop(M.SEGMENT_COLUMN)
 
     @cached_property
     def completed(self) -> DataFrame:
@@ -66,7 +70,7 @@ class Inputs:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return M.dedup(self.completed)
+        return M.dedup(M.complete_scores(self.filled_seg))
 
     @cached_property
     def silver_shared(self) -> DataFrame:
