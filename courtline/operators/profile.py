@@ -41,16 +41,17 @@ def first_groups(df: DataFrame, key: str = "game_id", n: int = 20) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRIBE_PROBS,
-             approx: bool = False, accuracy: int = 100_000, digits: int | None = None
-             ) -> DataFrame:
+             approx: bool = False, accuracy: int = 100_000, digits: int | None = None,
+             buckets: int = 4096) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per column, one row per column.
 
-    Exact quartiles (linear interpolation between closest ranks) use Spark's
-    ``percentile`` over (value, frequency) pairs: the data is first reduced to
-    distinct values with counts (partial aggregation, shuffle spread over all
-    reducers), so the final per-column state holds one entry per *distinct
-    value*, not per row.  For high-cardinality columns pass ``approx=True``
-    (``percentile_approx``, bounded memory).  ``digits`` rounds mean and std.
+    Quartiles are exact (linear interpolation between closest ranks, as
+    pandas) and computed without gathering a column into one task: values are
+    reduced to (value, count) pairs, spread over ``buckets`` equal-width
+    buckets per column, and ranked with a running count inside each bucket
+    plus the bucket's offset.  Only the rows holding the wanted ranks (two per
+    quantile) reach the driver.  ``approx=True`` uses ``percentile_approx``
+    instead.  ``digits`` rounds mean and std.
     """
     cols = list(cols)
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
@@ -72,13 +73,79 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
     if approx:
         q = long.groupBy("column_name").agg(*[
             F.percentile_approx("value", p, accuracy).alias(n) for p, n in zip(probs, names)])
-    else:
-        vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
-        q = vc.groupBy("column_name").agg(*[
-            F.percentile(F.col("value"), F.lit(p), F.col("freq")).alias(n)
-            for p, n in zip(probs, names)])
-    return stats.join(q, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", *names, "max")
+        return stats.join(q, "column_name", "left").select(
+            "column_name", "count", "mean", "std", "min", *names, "max")
+
+    srows = {r["column_name"]: r for r in stats.collect()}     # one row per column
+    quant = exact_quantiles(long, {c: (srows[c]["count"], srows[c]["min"], srows[c]["max"])
+                                   for c in cols}, probs, buckets)
+    out = []
+    for c in cols:
+        r = srows[c]
+        out.append((c, r["count"], r["mean"], r["std"], r["min"],
+                    *[quant.get((c, p)) for p in probs], r["max"]))
+    schema = ("column_name string, count long, mean double, std double, min double, "
+              + ", ".join(f"{n} double" for n in names) + ", max double")
+    return df.sparkSession.createDataFrame(out, schema)
+
+
+def exact_quantiles(long: DataFrame, col_stats: dict, probs: Sequence[float],
+                    buckets: int = 4096) -> dict:
+    """Exact quantiles of (column_name, value) rows; ``col_stats`` maps a
+    column to (count, min, max).  Returns {(column, p): value}."""
+    from pyspark.sql import Window
+
+    targets: dict[str, set[int]] = {}
+    plan = {}
+    for c, (n, lo, hi) in col_stats.items():
+        if not n:
+            continue
+        for p in probs:
+            pos = p * (n - 1)
+            r0 = int(pos // 1)
+            r1 = min(r0 + 1, n - 1)
+            plan[(c, p)] = (r0, r1, pos - r0)
+            targets.setdefault(c, set()).update({r0, r1})
+    if not targets:
+        return {}
+    lit_map = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    lo = F.element_at(lit_map({c: float(v[1]) for c, v in col_stats.items() if v[0]}),
+                      F.col("column_name"))
+    width = F.element_at(lit_map({c: float(v[2] - v[1]) for c, v in col_stats.items() if v[0]}),
+                         F.col("column_name"))
+    bucket = F.when(width > 0, F.least(F.floor((F.col("value") - lo) / width * buckets),
+                                       F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    vc = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
+          .withColumn("bucket", bucket))
+    totals = vc.groupBy("column_name", "bucket").agg(F.sum("freq").alias("tot"))
+    w_off = (Window.partitionBy("column_name").orderBy("bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("column_name", "bucket",
+                            F.coalesce(F.sum("tot").over(w_off), F.lit(0)).alias("offset"))
+    w_run = (Window.partitionBy("column_name", "bucket").orderBy("value")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (vc.join(offsets, ["column_name", "bucket"])
+              .withColumn("cum", F.col("offset") + F.sum("freq").over(w_run))
+              .withColumn("start", F.col("cum") - F.col("freq")))
+    wanted = F.element_at(F.create_map(*[x for c, rs in targets.items() for x in (
+        F.lit(c), F.array(*[F.lit(r).cast("long") for r in sorted(rs)]))]), F.col("column_name"))
+    hits = (ranked.filter(F.exists(wanted, lambda r: (r >= F.col("start")) & (r < F.col("cum"))))
+            .select("column_name", "value", "start", "cum").collect())
+    by_col: dict[str, list] = {}
+    for h in hits:
+        by_col.setdefault(h["column_name"], []).append(h)
+
+    def value_at(c, r):
+        for h in by_col.get(c, []):
+            if h["start"] <= r < h["cum"]:
+                return h["value"]
+        return None
+
+    out = {}
+    for (c, p), (r0, r1, frac) in plan.items():
+        v0, v1 = value_at(c, r0), value_at(c, r1)
+        out[(c, p)] = v0 + (v1 - v0) * frac if frac else v0
+    return out
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:

@@ -400,7 +400,7 @@ def distinct_teams(spark, sf_dir):
 
 
 def describe_numeric(spark, sf_dir):
-    return PR.describe(_in(spark, sf_dir).silver, K.PROFILE_NUMERIC_COLUMNS,
+    return PR.describe(_in(spark, sf_dir).silver_shared, K.PROFILE_NUMERIC_COLUMNS,
                        digits=P.FLOAT_DIGITS)
 
 
