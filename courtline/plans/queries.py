@@ -23,7 +23,7 @@ from courtline.operators import quality as Q
 from courtline.operators.windows import lag_all_columns
 from courtline.plans import params as P
 from courtline.plans.pipeline import medallion
-from courtline.session import ensure_checkpoint_dir, scratch_path
+from courtline.session import ensure_checkpoint_dir, materialize, scratch_path
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
 from courtline.sources.fixtures import game_bronze, play_by_play_bronze
@@ -77,12 +77,12 @@ class Inputs:
         """Silver materialised once for consumers that read it more than once
         (self-joins, a discovery job plus the query, repeated model fits).
 
-        A reliable checkpoint in the shared ``spark.checkpoint.dir``: it cuts
-        the lineage, and a lost executor re-reads files instead of re-running
-        the bronze joins and the window.
+        Written as parquet under the shared ``spark.checkpoint.dir``: it cuts
+        the lineage, a lost executor re-reads files instead of re-running the
+        bronze joins and the window, and readers prune columns and push
+        filters into the scan of the copy.
         """
-        ensure_checkpoint_dir(self.spark)
-        return self.silver.checkpoint(eager=True)
+        return materialize(self.silver, "play_by_play_silver")
 
     @cached_property
     def game_silver(self) -> DataFrame:
@@ -112,8 +112,7 @@ class Inputs:
     def game_silver_shared(self) -> DataFrame:
         """Game silver materialised once: the home and away gold tables both
         read it (as the pipeline does with its written table)."""
-        ensure_checkpoint_dir(self.spark)
-        return self.game_silver.checkpoint(eager=True)
+        return materialize(self.game_silver, "overall_game_silver")
 
     @cached_property
     def margin_table(self) -> DataFrame:

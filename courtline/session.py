@@ -70,3 +70,16 @@ def is_local_fs(path: str) -> bool:
 def makedirs_if_local(path: str) -> None:
     if is_local_fs(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return a frame that reads it back.
+
+    This cuts the lineage like ``checkpoint()``, but the copy is columnar:
+    later readers prune columns and push filters into the scan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
