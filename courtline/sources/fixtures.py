@@ -24,106 +24,90 @@ from pyspark.sql import functions as F
 from courtline.sources.tables import read_table
 
 
-def _teams(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
-    """nation ⋈ region, renamed with a prefix; 25 rows at every scale."""
+def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation ⋈ region as (key, name, city); 25 rows at every scale."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     teams = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    return teams.select(
-        F.col("n_nationkey").alias(f"{prefix}_key"),
-        F.col("n_name").alias(f"{prefix}_name"),
-        F.col("r_name").alias(f"{prefix}_city"),
-    )
+    return teams.selectExpr("n_nationkey AS team_key", "n_name AS team_name",
+                            "r_name AS team_city")
+
 
+def _side(teams: DataFrame, prefix: str) -> DataFrame:
+    return F.broadcast(teams.selectExpr(f"team_key AS {prefix}_key", f"team_name AS {prefix}_name",
+                                        f"team_city AS {prefix}_city"))
 
-def _lpad2(c):
-    return F.lpad(c.cast("string"), 2, "0")
+
+# Column expressions of the play-level input, as SQL text (parsed once on the
+# JVM side; the same text runs in the DuckDB oracle).
+_PLAY_EXPRS = [
+    "user_id AS game_id",
+    "CAST(event_id AS INT) AS event_num",
+    "CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 "
+    "WHEN 'signup' THEN 4 ELSE 11 END AS event_type",
+    "1 + CAST(floor((day(ts) - 1) / 6.0) AS INT) AS period",
+    "CAST(floor((day(ts) - 1) * 48 / 30.0) AS INT) AS minute_game",
+    "CAST(2018 + user_id % 5 AS STRING) || '-' || CAST(19 + user_id % 5 AS STRING) AS season",
+    "o_orderdate AS game_date",
+    "lpad(CAST(hour(ts) AS STRING), 2, '0') || ':' || lpad(CAST(minute(ts) AS STRING), 2, '0')"
+    " || ':00' AS wc_time_string",
+    "home_city AS home_team_city", "home_name AS home_team_name",
+    "away_city AS away_team_city", "away_name AS away_team_name",
+    "CASE WHEN event_type = 'purchase' THEN CASE WHEN k % 7 = 0 THEN 'TIE' "
+    "ELSE CAST(k % 41 - 20 AS STRING) END END AS score_margin",
+    "CASE WHEN event_type = 'purchase' THEN CAST(k % 120 AS INT) END AS home_score",
+    "CASE WHEN event_type = 'purchase' THEN CAST(k % 113 AS INT) END AS away_score",
+    "CASE WHEN event_type = 'purchase' THEN CAST(k % 113 AS STRING) || ' - ' || "
+    "CAST(k % 120 AS STRING) END AS score",
+    "CASE WHEN event_type = 'purchase' THEN CASE WHEN k % 2 = 0 THEN 'Home' ELSE 'Away' END "
+    "END AS team_leading",
+    "CASE WHEN k % 3 <> 0 THEN 'h ' || event_type END AS home_description",
+    "CASE WHEN k % 3 <> 1 THEN 'v ' || event_type END AS visitor_description",
+    "CASE WHEN k % 25 = 0 THEN 'n' END AS neutral_description",
+    "CAST(4 + k % 2 AS INT) AS person1type",
+    "CASE WHEN k % 3 = 0 THEN 5 ELSE 0 END AS person2type",
+    "CASE WHEN k % 20 = 0 THEN CAST(k % 12 AS INT) END AS player3_id",
+    "CASE WHEN event_id % 10 <> 0 THEN 'Player_' || CAST(k % 12 AS STRING) END AS player1_name",
+    "'T' || CAST(CASE WHEN k % 2 = 0 THEN home_key ELSE away_key END AS STRING)"
+    " AS player1_team_abbreviation",
+    "CASE WHEN k % 3 <> 0 THEN 'T' || CAST(CASE WHEN k % 2 = 0 THEN away_key ELSE home_key END"
+    " AS STRING) END AS player2_team_abbreviation",
+]
 
 
 def play_by_play_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value")
     # every 50th event appears twice: one scan, each row emitted once or twice
-    copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(1), F.lit(2))) \
-        .otherwise(F.array(F.lit(1)))
-    ev = ev.withColumn("__copy", F.explode(copies)).drop("__copy")
-    k = F.round(F.col("value") * 100).cast("bigint")
-    ev = ev.withColumns({
-        "k": k,
-        "home_key": (F.col("user_id") % 25).cast("int"),
-        "away_key": ((F.col("user_id") * 7 + 3) % 25).cast("int"),
-    })
+    ev = read_table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type",
+        "CAST(round(value * 100) AS BIGINT) AS k",
+        "CAST(user_id % 25 AS INT) AS home_key",
+        "CAST((user_id * 7 + 3) % 25 AS INT) AS away_key",
+        "explode(IF(event_id % 50 = 0, array(1, 2), array(1))) AS copy")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    teams = _teams(spark, sf_dir)
     df = ev.join(orders, ev.user_id == orders.o_orderkey, "inner")
-    df = df.join(F.broadcast(_teams(spark, sf_dir, "home")), "home_key")
-    df = df.join(F.broadcast(_teams(spark, sf_dir, "away")), "away_key")
-
-    kk = F.col("k")
-    etype = F.col("event_type")
-    purchase = etype == "purchase"
-    day0 = F.dayofmonth("ts") - 1
-    return df.select(
-        F.col("user_id").alias("game_id"),
-        F.col("event_id").cast("int").alias("event_num"),
-        F.when(etype == "click", 1).when(etype == "view", 2).when(purchase, 3)
-         .when(etype == "signup", 4).otherwise(11).alias("event_type"),
-        (F.lit(1) + F.floor(day0 / 6.0).cast("int")).alias("period"),
-        F.floor(day0 * 48 / 30.0).cast("int").alias("minute_game"),
-        F.concat((F.lit(2018) + F.col("user_id") % 5).cast("string"), F.lit("-"),
-                 (F.lit(19) + F.col("user_id") % 5).cast("string")).alias("season"),
-        F.col("o_orderdate").alias("game_date"),
-        F.concat(_lpad2(F.hour("ts")), F.lit(":"), _lpad2(F.minute("ts")), F.lit(":00"))
-         .alias("wc_time_string"),
-        F.col("home_city").alias("home_team_city"),
-        F.col("home_name").alias("home_team_name"),
-        F.col("away_city").alias("away_team_city"),
-        F.col("away_name").alias("away_team_name"),
-        F.when(purchase, F.when(kk % 7 == 0, F.lit("TIE"))
-               .otherwise((kk % 41 - 20).cast("string"))).alias("score_margin"),
-        F.when(purchase, (kk % 120).cast("int")).alias("home_score"),
-        F.when(purchase, (kk % 113).cast("int")).alias("away_score"),
-        F.when(purchase, F.concat((kk % 113).cast("string"), F.lit(" - "),
-                                  (kk % 120).cast("string"))).alias("score"),
-        F.when(purchase, F.when(kk % 2 == 0, F.lit("Home")).otherwise(F.lit("Away")))
-         .alias("team_leading"),
-        F.when(kk % 3 != 0, F.concat(F.lit("h "), etype)).alias("home_description"),
-        F.when(kk % 3 != 1, F.concat(F.lit("v "), etype)).alias("visitor_description"),
-        F.when(kk % 25 == 0, F.lit("n")).alias("neutral_description"),
-        (F.lit(4) + kk % 2).cast("int").alias("person1type"),
-        F.when(kk % 3 == 0, F.lit(5)).otherwise(F.lit(0)).alias("person2type"),
-        F.when(kk % 20 == 0, (kk % 12).cast("int")).alias("player3_id"),
-        F.when(F.col("event_id") % 10 != 0, F.concat(F.lit("Player_"), (kk % 12).cast("string")))
-         .alias("player1_name"),
-        F.concat(F.lit("T"), F.when(kk % 2 == 0, F.col("home_key")).otherwise(F.col("away_key"))
-                 .cast("string")).alias("player1_team_abbreviation"),
-        F.when(kk % 3 != 0, F.concat(F.lit("T"), F.when(kk % 2 == 0, F.col("away_key"))
-                                     .otherwise(F.col("home_key")).cast("string")))
-         .alias("player2_team_abbreviation"),
-    )
+    df = df.join(_side(teams, "home"), "home_key").join(_side(teams, "away"), "away_key")
+    return df.selectExpr(*_PLAY_EXPRS)
 
 
 def game_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    teams = _teams(spark, sf_dir)
     df = li.join(orders, li.l_orderkey == orders.o_orderkey)
     df = df.join(cust, df.o_custkey == cust.c_custkey)
-    df = df.withColumn("away_key", ((F.col("o_orderkey") * 7 + 3) % 25).cast("int"))
-    home = _teams(spark, sf_dir, "home")
-    away = _teams(spark, sf_dir, "away")
-    df = df.join(F.broadcast(home), df.c_nationkey == home.home_key)
-    df = df.join(F.broadcast(away), "away_key")
-    year = F.year("o_orderdate")
-    return df.select(
-        F.col("o_orderkey").alias("game_id"),
-        F.col("l_linenumber").alias("event_num"),
-        F.col("o_orderdate").alias("game_date"),
-        F.concat(year.cast("string"), F.lit("-"), F.right((year + 1).cast("string"), F.lit(2)))
-         .alias("season"),
-        F.col("home_key").alias("home_team_id"),
-        F.col("home_name").alias("home_team_name"),
-        F.col("away_key").alias("away_team_id"),
-        F.col("away_name").alias("away_team_name"),
-        (F.lit(80) + F.col("o_custkey") % 50).cast("int").alias("home_team_score"),
-        (F.lit(80) + F.col("o_orderkey") % 47).cast("int").alias("away_team_score"),
+    df = df.selectExpr("*", "CAST((o_orderkey * 7 + 3) % 25 AS INT) AS away_key")
+    home = _side(teams, "home")
+    df = df.join(home, df.c_nationkey == F.col("home_key")).join(_side(teams, "away"), "away_key")
+    return df.selectExpr(
+        "o_orderkey AS game_id",
+        "l_linenumber AS event_num",
+        "o_orderdate AS game_date",
+        "CAST(year(o_orderdate) AS STRING) || '-' || right(CAST(year(o_orderdate) + 1 AS STRING), 2)"
+        " AS season",
+        "home_key AS home_team_id", "home_name AS home_team_name",
+        "away_key AS away_team_id", "away_name AS away_team_name",
+        "CAST(80 + o_custkey % 50 AS INT) AS home_team_score",
+        "CAST(80 + o_orderkey % 47 AS INT) AS away_team_score",
     )
