@@ -8,7 +8,6 @@ nothing ever lands on a machine-local folder of an executor.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,20 +57,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/courtline-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain Python can inspect local test output."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     return a frame that reads it back.
