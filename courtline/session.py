@@ -40,6 +40,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+                 broadcast_bytes: int = 64 << 20) -> dict:
+    """Settings sized for a large cluster run over ``input_bytes`` of parquet.
+
+    * scan splits and post-shuffle partitions target ``partition_bytes``
+      (AQE coalesces small ones and splits skewed ones at run time), so a
+      task's sort/aggregate buffer fits executor memory and spills rarely;
+    * the initial shuffle partition count is the input size over that target,
+      so the biggest shuffle (silver's window) starts with enough reducers;
+    * a join side is broadcast only under ``broadcast_bytes``, measured.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -93,3 +93,27 @@ def test_sparse_and_null_profile(spark):
     info = {r.column_name: (r.position, r.data_type, r.non_null)
             for r in Q.column_info(df).collect()}
     assert info["d"] == (2, "double", 1)
+
+
+def test_silver_with_hot_game_matches_plain_window(spark):
+    """One game holds most rows; segmented silver equals the one-window silver."""
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for g, n in [(1, 400), (2, 15), (3, 9)]:
+        for e in range(n):
+            purchase = rnd.random() < 0.2
+            rows.append((g, str(e * 3), "1", "2022-23", "A", "B", "C", "D", "x", "y",
+                         f"{e} - 1" if purchase else None, e if purchase else None,
+                         1 if purchase else None,
+                         rnd.choice(["TIE", "3", "-4"]) if purchase else None,
+                         "Home" if purchase else None))
+    raw = spark.createDataFrame(rows + rows[:20], RAW)
+    seg = M.play_by_play_silver(raw, segment_width=16)
+    plain = M.play_by_play_silver(raw, segment_width=None)
+    cols = sorted(seg.columns)
+    assert sorted(seg.columns) == sorted(plain.columns)
+    from collections import Counter
+    assert Counter(map(tuple, seg.select(cols).collect())) == \
+        Counter(map(tuple, plain.select(cols).collect()))
+    assert seg.count() == 424

@@ -68,3 +68,11 @@ def test_pipeline_runner_order_and_tables(spark):
 def test_checkpoint_dir_is_set(spark):
     d = spark.conf.get("spark.checkpoint.dir")
     assert d and os.path.basename(d) == "checkpoints"
+
+
+def test_cluster_conf_sizes_partitions():
+    from courtline.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)             # 100 TiB of input
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
