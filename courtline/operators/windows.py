@@ -12,8 +12,9 @@ per-segment summary table:
   front of the segment's rows so one window pass fills everything.
 * ``row_position``: 1-based position in the group = rows in earlier segments
   + position inside the segment.
-* ``lag_rows``: the value ``n`` rows back, found by an equi-join on
-  (group, position) — unique keys, so the join cannot skew.
+* ``lag_rows``: a window ``lag`` inside each segment; the first ``n`` rows of
+  a segment get their values from "halo" copies of the preceding segments'
+  last rows, matched by an equi-join on (group, segment, relative index).
 
 Results are exact and identical to the single-window form (tests check it).
 """
@@ -115,17 +116,67 @@ def row_position(df: DataFrame, by: str | Sequence[str] = "game_id", order: str
     return res.withColumn(out, F.col(out) + F.col("__offset")).drop(_SEG, "__offset")
 
 
+def _lag_segmented(df: DataFrame, cols: Sequence[str], outs: Sequence[str], n: int,
+                   by: list[str], orders: list[str], width: int) -> DataFrame:
+    """``df`` plus ``outs[j]`` = ``cols[j]`` of the row ``n`` rows earlier in the group.
+
+    One full shuffle, by (group, segment).  Inside a segment a window ``lag``
+    answers every row after the first ``n``.  Those first ``n`` rows look back
+    across the segment boundary: each segment's last rows are sent, as small
+    "halo" rows, to the following segments that can reach them (at most ``n``
+    rows back, so at most ``n`` segments ahead), and matched by an equi-join
+    on (group, segment, relative index).
+    """
+    order = orders[0]
+    keys = [*by, _SEG]
+    seg_df = df.withColumn(_SEG, _segment(order, width))
+    w = Window.partitionBy(*keys).orderBy(*orders)
+    local = seg_df.withColumns({
+        "__rn": F.row_number().over(w),
+        **{o: F.lag(c, n).over(w) for c, o in zip(cols, outs)}})
+
+    # per segment: row count, and the next (up to n) segments with their counts
+    counts = local.groupBy(*keys).agg(F.max("__rn").alias("__cnt"))
+    w_next = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(1, n)
+    nxt = F.collect_list(F.struct(F.col(_SEG).alias("s"), F.col("__cnt").alias("c"))).over(w_next)
+    reach = counts.select(*keys, "__cnt", nxt.alias("__next"))
+    # gap before each following segment = rows of the segments in between
+    reach = reach.select(*keys, "__cnt", F.transform(
+        "__next", lambda x, i: F.struct(
+            x["s"].alias("s"),
+            F.aggregate(F.slice("__next", 1, i), F.lit(0).cast("long"),
+                        lambda acc, y: acc + y["c"]).alias("gap"))).alias("__next"))
+
+    # halo rows: a segment's last rows, copied to every later segment within reach
+    tail = (local.select(*keys, "__rn", *[F.col(c).alias(f"__v{j}") for j, c in enumerate(cols)])
+            .join(reach, keys)
+            .withColumn("__d", F.col("__cnt") - F.col("__rn"))
+            .filter(F.col("__d") < n))
+    halo = (tail.select(*by, *[f"__v{j}" for j in range(len(cols))], F.explode(F.filter(
+        F.transform("__next", lambda x: F.struct(
+            x["s"].alias("s"), (F.col("__d") + x["gap"]).alias("dist"))),
+        lambda e: e["dist"] < n)).alias("__h"))
+        .select(*by, F.col("__h.s").alias(_SEG), (-F.col("__h.dist")).alias("__key"),
+                *[F.col(f"__v{j}").alias(o) for j, o in enumerate(outs)]))
+
+    helpers = [_SEG, "__rn"]
+    inside = local.filter(F.col("__rn") > n)
+    head = (local.filter(F.col("__rn") <= n).drop(*outs)
+            .withColumn("__key", F.col("__rn") - n)
+            .join(halo, [*keys, "__key"], "left").drop("__key"))
+    return inside.unionByName(head).drop(*helpers)
+
+
 def lag_rows(df: DataFrame, col: str, n: int, out: str, by: str | Sequence[str] = "game_id",
              order: str = "event_num", tiebreak: Sequence[str] = (),
              segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
     """Value of ``col`` ``n`` rows earlier in the group (null for the first ``n``)."""
     by = _as_list(by)
-    if segment_width is None:
+    if segment_width is None or n <= 0:
         w = Window.partitionBy(*by).orderBy(order, *list(tiebreak))
         return df.withColumn(out, F.lag(col, n).over(w))
-    pos = row_position(df, by, order, tiebreak, out=_POS, segment_width=segment_width)
-    back = pos.select(*by, (F.col(_POS) + F.lit(n)).alias(_POS), F.col(col).alias(out))
-    return pos.join(back, [*by, _POS], "left").drop(_POS)
+    return _lag_segmented(df, [col], [out], n, by, [order, *list(tiebreak)],
+                          segment_width).select(*df.columns, out)
 
 
 def lag_all_columns(df: DataFrame, n: int, by: str | Sequence[str] = "game_id",
@@ -140,11 +191,9 @@ def lag_all_columns(df: DataFrame, n: int, by: str | Sequence[str] = "game_id",
     by = _as_list(by)
     fixed = [*by, order, *[k for k in keep if k not in by and k != order]]
     moving = [c for c in df.columns if c not in fixed]
-    if segment_width is None:
+    if segment_width is None or n <= 0:
         w = Window.partitionBy(*by).orderBy(order, *list(tiebreak))
         return df.select(*fixed, *[F.lag(c, n).over(w).alias(c + suffix) for c in moving])
-    pos = row_position(df, by, order, tiebreak, out=_POS, segment_width=segment_width)
-    back = pos.select(*by, (F.col(_POS) + F.lit(n)).alias(_POS),
-                      *[F.col(c).alias(c + suffix) for c in moving])
-    return (pos.select(*by, _POS, *[c for c in fixed if c not in by])
-            .join(back, [*by, _POS], "left").drop(_POS))
+    outs = [f"__lag{j}" for j in range(len(moving))]
+    res = _lag_segmented(df, moving, outs, n, by, [order, *list(tiebreak)], segment_width)
+    return res.select(*fixed, *[F.col(o).alias(c + suffix) for c, o in zip(moving, outs)])
