@@ -125,10 +125,17 @@ class Inputs:
         # silver is distinct by construction (its last step is the dedup)
         return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False)
 
+    @cached_property
+    def feature_base_shared(self) -> DataFrame:
+        """The lagged feature frame written once: the one-hot category job and
+        the query that uses the categories both read it."""
+        return materialize(self.feature_base, "feature_base")
+
     @cached_property
     def features(self) -> DataFrame:
-        return FT.feature_table(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES,
-                                dedup=False)
+        # same steps as FT.feature_table (no single-team filter), over the copy
+        return FT.one_hot(FT.normalize_names(self.feature_base_shared),
+                          ["event_type", "away_team"])
 
     @cached_property
     def splits(self) -> tuple[DataFrame, DataFrame]:
@@ -454,7 +461,7 @@ def one_game_lag(spark, sf_dir):
 
 
 def one_hot(spark, sf_dir):
-    return FT.one_hot(_in(spark, sf_dir).feature_base, ["event_type", "away_team"])
+    return FT.one_hot(_in(spark, sf_dir).feature_base_shared, ["event_type", "away_team"])
 
 
 # ---------------------------------------------------------------------------
