@@ -21,6 +21,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from courtline.functions.constants import MODEL_DROP_COLUMNS
 
@@ -55,7 +56,6 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_share_of: int = 5, seed:
 
 def feature_columns(df: DataFrame, label: str = LABEL,
                     exclude: Sequence[str] = (*MODEL_DROP_COLUMNS, *LEAKY, FOLD)) -> list[str]:
-    from pyspark.sql.types import NumericType
     ex = set(exclude) | {label}
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, NumericType) and f.name not in ex]
@@ -74,6 +74,11 @@ def _assembler(cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol="features")
 
 
+def fit(train: DataFrame, estimator, cols: Sequence[str]):
+    """Assemble ``cols`` into a vector and fit ``estimator`` (a PipelineModel)."""
+    return Pipeline(stages=[_assembler(cols), estimator]).fit(train)
+
+
 def model_catalog(seed: int = 42) -> dict:
     return {
         "linear_regression": LinearRegression(labelCol=LABEL, featuresCol="features"),
@@ -86,8 +91,7 @@ def model_catalog(seed: int = 42) -> dict:
 
 
 def fit_predict(train: DataFrame, score: DataFrame, estimator, cols: Sequence[str]) -> DataFrame:
-    model = Pipeline(stages=[_assembler(cols), estimator]).fit(train)
-    return model.transform(score).drop("features")
+    return fit(train, estimator, cols).transform(score).drop("features")
 
 
 def abs_error(label: str = LABEL, pred: str = PREDICTION) -> Column:

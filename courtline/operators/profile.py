@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.functions.expressions import null_safe_corr
@@ -93,8 +93,6 @@ def exact_quantiles(long: DataFrame, col_stats: dict, probs: Sequence[float],
                     buckets: int = 4096) -> dict:
     """Exact quantiles of (column_name, value) rows; ``col_stats`` maps a
     column to (count, min, max).  Returns {(column, p): value}."""
-    from pyspark.sql import Window
-
     targets: dict[str, set[int]] = {}
     plan = {}
     for c, (n, lo, hi) in col_stats.items():

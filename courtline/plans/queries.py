@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +21,14 @@ from courtline.operators import medallion as M
 from courtline.operators import modeling as ML
 from courtline.operators import profile as PR
 from courtline.operators import quality as Q
-from courtline.operators.windows import lag_all_columns
+from courtline.operators.windows import lag_all_columns, lag_rows
 from courtline.plans import params as P
 from courtline.plans.pipeline import medallion
 from courtline.session import ensure_checkpoint_dir, materialize, scratch_path
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
 from courtline.sources.fixtures import game_bronze, play_by_play_bronze
+from courtline.streaming.ingest import ingest_to_bronze
 
 DATABASE = "courtline"
 
@@ -172,7 +174,6 @@ def union_seasons(spark, sf_dir):
 
 def incremental_ingest(spark, sf_dir):
     """Season files streamed into a bronze folder (availableNow), read back."""
-    from courtline.streaming.ingest import ingest_to_bronze
     bronze = _in(spark, sf_dir).bronze
     src = _season_files(spark, sf_dir)
     target = scratch_path(spark, "bronze")
@@ -446,7 +447,6 @@ def time_of_day(spark, sf_dir):
 
 
 def lag_40(spark, sf_dir):
-    from courtline.operators.windows import lag_rows
     s = _in(spark, sf_dir).silver_shared.select("game_id", "event_num", "score_margin_complete")
     return lag_rows(s, "score_margin_complete", K.MOMENTUM_LAG, "score_margin_40_events_ago")
 
@@ -521,8 +521,7 @@ def model_comparison(spark, sf_dir):
     train, test, cols = _train_test_cols(spark, sf_dir)
     parts = []
     for name, est in ML.model_catalog().items():
-        from pyspark.ml import Pipeline
-        model = Pipeline(stages=[ML._assembler(cols), est]).fit(train)
+        model = ML.fit(train, est, cols)
         for split, df in (("train", train), ("test", test)):
             parts.append(model.transform(df).agg(
                 F.lit(name).alias("model"), F.lit(split).alias("split"),
@@ -546,8 +545,7 @@ def ml_results(spark, sf_dir):
 def actual_vs_predicted(spark, sf_dir):
     train, test, cols = _train_test_cols(spark, sf_dir)
     model = ML.model_catalog()["decision_tree"]
-    from pyspark.ml import Pipeline
-    fitted = Pipeline(stages=[ML._assembler(cols), model]).fit(train)
+    fitted = ML.fit(train, model, cols)
     return ML.actual_vs_predicted(ML.score_splits(fitted, train, test))
 
 
@@ -568,13 +566,11 @@ TEAM_STATS_FEATURES = ["count_home", "count_away", "avg_points_for_home", "avg_p
 
 def score_new(spark, sf_dir):
     """Linear model of the home/away margin, test MSE, and one new record scored."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.regression import LinearRegression
     data = _team_stats_training(spark, sf_dir)
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     lr = LinearRegression(labelCol="margin", featuresCol="features")
-    model = Pipeline(stages=[ML._assembler(TEAM_STATS_FEATURES), lr]).fit(train)
+    model = ML.fit(train, lr, TEAM_STATS_FEATURES)
     mse = model.transform(test).agg(
         F.avg((F.col("margin") - F.col("prediction")) ** 2)).first()[0]
     new = spark.createDataFrame([(44, 44, 98.0, 98.0, 24)],
