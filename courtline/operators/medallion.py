@@ -109,9 +109,19 @@ def dedup(df: DataFrame) -> DataFrame:
 
 def play_by_play_silver(bronze: DataFrame, sep: str = "_",
                         segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
+    """Typed, named, filled, completed, de-duplicated plays.
+
+    Exact copies are removed *before* the fill as well as after it.  Before:
+    partial aggregation collapses copies map-side, so a row copied a billion
+    times never reaches the per-game window as one giant task (copies carry
+    identical fill values, so the result is unchanged).  After: rows that only
+    became identical through the fill; that dedup reuses the window's
+    partitioning and adds no shuffle.
+    """
     df = project_play_columns(bronze)
     df = type_play_columns(df)
     df = merge_names(df, sep)
+    df = df.dropDuplicates()
     df = fill_scores_forward(df, segment_width=segment_width, keep_segment=True)
     df = complete_scores(df)
     return dedup(df)

@@ -58,13 +58,9 @@ class Inputs:
     def named(self) -> DataFrame:
         return M.merge_names(self.typed)
 
-    @cached_property
-    def filled_seg(self) -> DataFrame:
-        return M.fill_scores_forward(self.named, keep_segment=True)
-
     @cached_property
     def filled(self) -> DataFrame:
-        return self.filled_seg.drop(M.SEGMENT_COLUMN)
+        return M.fill_scores_forward(self.named)
 
     @cached_property
     def completed(self) -> DataFrame:
@@ -72,7 +68,7 @@ class Inputs:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return M.dedup(M.complete_scores(self.filled_seg))
+        return M.play_by_play_silver(self.bronze)
 
     @cached_property
     def silver_shared(self) -> DataFrame:
