@@ -358,8 +358,11 @@ def visual_shots_made(spark, sf_dir):
 
 
 def visual_top_events_by_player(spark, sf_dir):
+    # the gold is read twice (latest seasons + ranking): build it on the
+    # written silver so silver itself is computed once
     i = _in(spark, sf_dir)
-    return A.top_events_by_player(i.player_gold, i.lookup, P.TOP_K, P.LATEST_SEASONS)
+    gold = M.play_by_player_gold(i.silver_shared)
+    return A.top_events_by_player(gold, i.lookup, P.TOP_K, P.LATEST_SEASONS)
 
 
 def visual_avg_points(spark, sf_dir):
