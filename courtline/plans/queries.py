@@ -532,6 +532,13 @@ def model_comparison(spark, sf_dir):
     return out
 
 
+def best_model_metrics(spark, sf_dir):
+    """Held-out R², MSE, MAE (rounded to 3) of the grid-search winner."""
+    train, test, cols = _train_test_cols(spark, sf_dir)
+    best, _ = ML.grid_search(train, cols)
+    return ML.regression_metrics(best.transform(test))
+
+
 def ml_results(spark, sf_dir):
     train, test, cols = _train_test_cols(spark, sf_dir)
     best, _ = ML.grid_search(train, cols)
@@ -658,6 +665,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cv_metrics": cv_metrics,
     "grid_search": grid_search,
     "model_comparison": model_comparison,
+    "best_model_metrics": best_model_metrics,
     "ml_results": ml_results,
     "actual_vs_predicted": actual_vs_predicted,
     "score_new": score_new,

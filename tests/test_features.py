@@ -102,3 +102,14 @@ def test_official_team_filters(spark):
     both = FT.official_teams(s, P.OFFICIAL_TEAMS, True).count()
     either = FT.official_teams(s, P.OFFICIAL_TEAMS, False).count()
     assert 0 < both < either <= s.count()
+
+
+def test_regression_metrics_bounds(spark):
+    from courtline.operators.modeling import regression_metrics
+    df = spark.createDataFrame([(1, 1.5), (3, 2.0), (-2, 0.5), (4, 4.0)],
+                               "score_margin_complete int, prediction double")
+    m = regression_metrics(df).first()
+    assert m.rows == 4 and m.mae >= 0 and m.mse >= 0 and m.r2 <= 1
+    assert m.mae == round((0.5 + 1 + 2.5 + 0) / 4, 3) and m.mse == round((0.25 + 1 + 6.25 + 0) / 4, 3)
+    perfect = regression_metrics(df.withColumn("prediction", F.col("score_margin_complete")))
+    assert perfect.first().r2 == 1.0

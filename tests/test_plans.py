@@ -6,6 +6,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 SKIP = {"cv_metrics", "grid_search", "model_comparison", "ml_results", "actual_vs_predicted",
+        "best_model_metrics",
         "linear_regression", "decision_tree", "score_new"}
 KEYS = [k for k in E.queries() if k not in SKIP]
 
