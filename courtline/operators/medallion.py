@@ -107,6 +107,37 @@ def dedup(df: DataFrame) -> DataFrame:
     return out.drop(SEGMENT_COLUMN) if SEGMENT_COLUMN in df.columns else out
 
 
+def _typed_named_projection(bronze: DataFrame, sep: str = "_",
+                            columns: Sequence[str] = K.PLAY_COLUMNS,
+                            season_source: str = K.RAW_SEASON_COLUMN) -> DataFrame:
+    """project_play_columns + type_play_columns + merge_names as one projection
+    (same columns and values; one plan step instead of several)."""
+    types = {f.name: f.dataType for f in bronze.schema.fields}
+    src = season_source if season_source in types else "season"
+    merged = {"home_team_city", "home_team_name", "away_team_city", "away_team_name",
+              "home_description", "visitor_description"}
+    out = []
+    for c in columns:
+        if c not in types or c == "season" or c in merged:
+            continue
+        if c == "score_margin":
+            out.append(margin_to_int(col_of(c), types[c]).alias(c))
+        elif c in ("event_num", "event_type", "event_action_type", "video_available_flag"):
+            out.append(to_int(col_of(c), types[c]).alias(c))
+        else:
+            out.append(col_of(c))
+    out.append(col_of(src).alias("season"))
+    if "event_num" in types:
+        out.append(to_int(col_of("event_num"), types["event_num"]).alias("event_column"))
+    out += [
+        join_names(col_of("home_team_city"), col_of("home_team_name"), sep).alias("home_team"),
+        join_names(col_of("away_team_city"), col_of("away_team_name"), sep).alias("away_team"),
+        join_names(col_of("home_description"), col_of("visitor_description"), "")
+        .alias("play_description"),
+    ]
+    return bronze.select(*out)
+
+
 def play_by_play_silver(bronze: DataFrame, sep: str = "_",
                         segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
     """Typed, named, filled, completed, de-duplicated plays.
@@ -118,9 +149,7 @@ def play_by_play_silver(bronze: DataFrame, sep: str = "_",
     became identical through the fill; that dedup reuses the window's
     partitioning and adds no shuffle.
     """
-    df = project_play_columns(bronze)
-    df = type_play_columns(df)
-    df = merge_names(df, sep)
+    df = _typed_named_projection(bronze, sep)
     df = df.dropDuplicates()
     df = fill_scores_forward(df, segment_width=segment_width, keep_segment=True)
     df = complete_scores(df)
