@@ -24,11 +24,17 @@ _DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "courtline", extra: dict | None = None) -> SparkSession:
+                app_name: str = "courtline", extra: dict | None = None,
+                input_bytes: int | None = None) -> SparkSession:
+    """Session with AQE, UTC and no UI.  ``input_bytes`` (the size of the
+    parquet input) applies ``cluster_conf`` sizing for a cluster run."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULT_CONF.items():
+    conf = dict(_DEFAULT_CONF)
+    if input_bytes:
+        conf.update(cluster_conf(input_bytes))
+    for k, v in conf.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
