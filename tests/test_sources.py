@@ -76,3 +76,12 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_declared_schemas_match_files(spark):
+    from courtline.sources.tables import SCHEMAS, read_table, table_path
+    for name in SCHEMAS:
+        inferred = spark.read.parquet(table_path(SF_SMALL, name)).schema
+        declared = read_table(spark, SF_SMALL, name).schema
+        assert [(f.name, f.dataType) for f in inferred] == \
+            [(f.name, f.dataType) for f in declared], name
