@@ -70,9 +70,9 @@ def load_vocabulary(path: str, pattern: str):
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
-    low = text if text.islower() else text.lower()
+    low = text.lower()
     found = []
-    if any(k in low for k in ("passw", "secret", "token", "api")) or not text.isascii():
+    if any(k in low for k in ("passw", "secret", "token", "api")):
         found += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text)
                   if m.end(2) - m.start(2) >= MIN_VALUE]
     if "AKIA" in text:
