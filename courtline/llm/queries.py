@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from courtline.llm import licenses, quality, secrets
+from courtline.llm import licenses, packing, quality, secrets, sharding, warc
 from courtline.llm.oracles import ORACLES
+from courtline.session import scratch_path
 from courtline.sources.tables import table_path
 
 
@@ -16,12 +18,29 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(read(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.page_rows(warc.assemble(warc.read_archives(spark, path, with_payload=False)))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard",
+        "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -33,7 +52,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op5_secrets": op5_secrets,
+    "op6_warc": op6_warc,
+    "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
 }
