@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import licenses, packing, quality, secrets, sharding, warc
+from courtline.llm import licenses, packing, quality, secrets, sharding, suffix_tree, warc
+from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
 from courtline.sources.tables import table_path
@@ -24,6 +25,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN)
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(read(spark, sf_dir, "documents"),
+                                       held_out=crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -53,6 +59,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_lm": op4_lm,
     "op5_secrets": op5_secrets,
     "op6_warc": op6_warc,
     "op8_sharding": op8_sharding,
