@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import licenses, packing, quality, secrets, sharding, suffix_tree, warc
+from courtline.llm import licenses, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
 from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
@@ -25,6 +25,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    third = crc_mod(F.col("doc_id"), 3)
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), usable=third != 1)
+    return toxicity.score_documents(docs, model, held_out=third == 1)
+
+
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(read(spark, sf_dir, "documents"),
                                        held_out=crc_mod(F.col("doc_id"), 7) == 2)
@@ -59,6 +66,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op4_lm": op4_lm,
     "op5_secrets": op5_secrets,
     "op6_warc": op6_warc,
