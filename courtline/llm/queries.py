@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import licenses, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
+from courtline.llm import licenses, near_dup, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
 from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
@@ -48,6 +48,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_rows(warc.assemble(warc.read_archives(spark, path, with_payload=False)))
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents")).select(
         "doc_id", F.col("bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -70,6 +74,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm": op4_lm,
     "op5_secrets": op5_secrets,
     "op6_warc": op6_warc,
+    "op7_near_dup": op7_near_dup,
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
