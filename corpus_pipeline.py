@@ -1,4 +1,4 @@
-"""The training-data pipeline: documents through the stages below, in order.
+"""The training-data pipeline: documents through five stages, in order.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 Parquet and read again as the next stage's ``docs``.  All stages but the last
@@ -9,26 +9,52 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from courtline.llm import quality, secrets
+from courtline.llm import decontaminate, near_dup, packing, quality, secrets
 from courtline.session import materialize
 from courtline.sources.tables import table_path
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+#: Near copies from this Jaccard similarity (in percent) on are one group.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    return near_dup.keep_one(docs, percent=NEAR_PERCENT)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(table_path(sf_dir, "benchmark")))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets in its text masked."""
-    return secrets.redact_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                                  public_tokenizers.PATTERN)
+    return secrets.redact_secrets(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in training sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-STAGES = [("quality_rules", quality_rules), ("secret_scan", secret_scan)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
 
+#: MinHash, LSH and tokenizers are beyond SQL; tests compare the stages with
+#: brute force instead.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import licenses, near_dup, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
+from courtline.llm import decontaminate, licenses, near_dup, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
 from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
@@ -32,6 +32,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model, held_out=third == 1)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"),
+                                    read(spark, sf_dir, "benchmark")).drop("uid")
+
+
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(read(spark, sf_dir, "documents"),
                                        held_out=crc_mod(F.col("doc_id"), 7) == 2)
@@ -71,6 +76,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
+    "op3_decontaminate": op3_decontaminate,
     "op4_lm": op4_lm,
     "op5_secrets": op5_secrets,
     "op6_warc": op6_warc,
