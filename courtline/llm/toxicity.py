@@ -303,7 +303,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MA
               .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     # at most max_rows rows of two numbers
-    sample = materialize(docs.join(F.broadcast(picked), "doc_id").select("toxic", "text"), "labelled")
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+                         .select("toxic", "text"), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     lexicon = learn_lexicon(sample, sizes.get(1, 0), sizes.get(0, 0), max_stems)
     rows = extract(sample, lexicon, "toxic int, x array<double>", _FEATURES,
