@@ -13,15 +13,16 @@ def col_of(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def to_int(c: Column, source_type=None) -> Column:
+def to_int(c: Column, source_type=None, target: str = "int") -> Column:
     """Lenient integer cast that never raises under ANSI mode.
 
-    Text such as ``'12.0'`` goes through double first; anything unparsable
+    Whole numbers in text are cast as they are, so that long ones stay exact;
+    other text such as ``'12.0'`` goes through double.  Anything unparsable
     becomes null instead of failing the job.
     """
     if source_type is not None and isinstance(source_type, NumericType):
-        return c.try_cast("int")
-    return c.try_cast("double").try_cast("int")
+        return c.try_cast(target)
+    return F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
 
 
 def margin_to_int(c: Column, source_type=None) -> Column:
@@ -53,13 +54,16 @@ def as_timestamp(c: Column, source_type=None) -> Column:
     if isinstance(source_type, (TimestampType, TimestampNTZType)):
         return c
     if source_type is not None and not isinstance(source_type, StringType):
-        return c.cast("timestamp")
-    return F.to_timestamp(c)
+        return c.try_cast("timestamp")
+    return F.try_to_timestamp(c)
 
 
 def time_of_day(c: Column) -> Column:
-    """Clock text ``'H:m[:s]'`` normalised to ``'HH:mm:ss'``."""
-    return F.date_format(F.to_timestamp(c, "H:m[:s]"), "HH:mm:ss")
+    """Clock text, ``'7:05 PM'`` or ``'19:05[:30]'``, as ``'HH:mm:ss'``; other text is null."""
+    text = F.upper(F.trim(c))
+    formats = ("h:mm a", "h:mm:ss a", "H:m[:s]")
+    return F.date_format(F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)),
+                         "HH:mm:ss")
 
 
 def replace_values(c: Column, mapping: dict) -> Column:

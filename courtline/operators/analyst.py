@@ -23,7 +23,8 @@ def event_type_lookup(spark: SparkSession) -> DataFrame:
 
 
 def _named(gold: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
-    lk = F.broadcast(lookup.select("event_id", "event_name"))
+    # the planner broadcasts the lookup if its measured size allows
+    lk = lookup.select("event_id", "event_name")
     return gold.join(lk, gold.event_type == lk.event_id, how)
 
 
@@ -75,8 +76,7 @@ def shots_made_by_players(player_gold: DataFrame, lookup: DataFrame,
     an inner join, which Catalyst rewrites.
     """
     j = _named(player_gold, lookup, "left")
-    return (j.filter(F.col("player1_name").isNotNull() & F.col("event_name").isNotNull()
-                     & (F.col("event_name") == event_name)
+    return (j.filter((F.col("event_name") == event_name)
                      & F.col("player1_name").isin(list(players)))
             .select("season", F.col("player1_name").alias("player_name"), "event_name", "count")
             .orderBy("event_name", F.desc("count"), "season", "player_name"))

@@ -11,15 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType
 
 from courtline.functions import constants as K
 from courtline.functions.expressions import (as_timestamp, replace_values, season_start_year,
                                              season_two_digits, time_of_day)
-from courtline.operators.windows import DEFAULT_SEGMENT_WIDTH, lag_rows
-
-# Largest number of categories one-hot encoding will expand into columns.
-MAX_ONE_HOT_CATEGORIES = 1000
+from courtline.operators.quality import expectation_report
+from courtline.operators.windows import SEGMENT_ROWS, lag_rows
 
 
 def drop_columns(df: DataFrame, cols: Sequence[str] = K.FEATURE_DROP_COLUMNS) -> DataFrame:
@@ -65,7 +62,7 @@ def clock_time(df: DataFrame, col: str = "wc_time_string", out: str = "time_of_d
 
 
 def momentum(df: DataFrame, n: int = K.MOMENTUM_LAG, value: str = "score_margin_complete",
-             segment_width: int | None = DEFAULT_SEGMENT_WIDTH, drop_warmup: bool = True
+             segment_rows: int | None = SEGMENT_ROWS, drop_warmup: bool = True
              ) -> DataFrame:
     """``value`` n events ago within the game, and the change since then.
 
@@ -75,7 +72,7 @@ def momentum(df: DataFrame, n: int = K.MOMENTUM_LAG, value: str = "score_margin_
     lagged_name = f"score_margin_{n}_events_ago" if value == "score_margin_complete" \
         else f"{value}_{n}_events_ago"
     out = lag_rows(df, value, n, lagged_name, by="game_id", order="event_num",
-                   segment_width=segment_width)
+                   segment_rows=segment_rows)
     out = out.withColumn(f"momentum_{n}", F.col(value) - F.col(lagged_name))
     if drop_warmup:
         out = out.na.drop(subset=[f"momentum_{n}"])
@@ -91,61 +88,30 @@ def _dummy_name(col: str, value) -> str:
     return f"{col}_{value}"
 
 
-def category_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_ONE_HOT_CATEGORIES
-                    ) -> dict:
-    """Sorted distinct non-null values of each column, found in one job.
+def one_hot(df: DataFrame, values: dict[str, Sequence], dtype: str = "tinyint") -> DataFrame:
+    """Replace each column of ``values`` by 0/1 indicators named ``<col>_<value>``.
 
-    The columns are unpivoted to (column, value) text pairs and de-duplicated
-    (partial aggregation first); at most ``limit`` values per column plus one
-    reach the driver.  More than ``limit`` raises instead of truncating.
+    The categories are declared, so the schema does not depend on the data, no job
+    looks for them and their number has no limit; ``unlisted`` reports rows with
+    other values, which get all zeros, as nulls do.  Values are compared as
+    literals of the column's type, so 0.1 meets a FLOAT 0.1.
     """
-    cols = list(cols)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
-        .alias("p")).select("p.*").filter(F.col("v").isNotNull()).distinct()
-    rows = pairs.limit(len(cols) * limit + 1).collect()
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out: dict = {c: [] for c in cols}
-    for r in rows:
-        out[r["c"]].append(r["v"])
-    for c in cols:
-        if len(out[c]) > limit:
-            raise ValueError(f"{c} has more than {limit} categories; pass values explicitly")
-        conv = _python_type(types[c])
-        out[c] = sorted(conv(v) for v in out[c])
-    return out
-
+    types = dict(df.dtypes)
+    exprs = {_dummy_name(c, v): F.when(F.col(c) == F.lit(v).cast(types[c]), 1).otherwise(0).cast(dtype)
+             for c, vs in values.items() for v in vs}
+    return df.withColumns(exprs).drop(*values)
 
-def _python_type(dtype):
-    if isinstance(dtype, IntegralType):
-        return int
-    if isinstance(dtype, FractionalType):
-        return float
-    return str
 
-
-def one_hot(df: DataFrame, cols: Sequence[str], values: dict | None = None,
-            dtype: str = "tinyint") -> DataFrame:
-    """Replace each column by 0/1 indicators named ``<col>_<value>``.
-
-    Categories come from ``values`` when given (stable schema), else from the
-    data (sorted, one small job for all columns).  A null row gets all zeros.
-    Indicators are plain ``CASE`` projections, so the encoding itself is a
-    narrow, codegen'd map.
-    """
-    values = dict(values or {})
-    missing = [c for c in cols if values.get(c) is None]
-    if missing:
-        values.update(category_values(df, missing))
-    exprs = {}
-    for c in cols:
-        for v in values[c]:
-            exprs[_dummy_name(c, v)] = F.when(F.col(c) == F.lit(v), 1).otherwise(0).cast(dtype)
-    return df.withColumns(exprs).drop(*cols)
+def unlisted(df: DataFrame, values: dict[str, Sequence]) -> DataFrame:
+    """An expectation for each column of ``values``: rows hold a listed value or null."""
+    types = dict(df.dtypes)
+    return expectation_report(df, [
+        (f"{c} is listed", F.col(c).isNull() | F.col(c).isin([F.lit(v).cast(types[c]) for v in vs]))
+        for c, vs in values.items()])
 
 
 def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
-                 n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                 n: int = K.MOMENTUM_LAG, segment_rows: int | None = SEGMENT_ROWS,
                  dedup: bool = True) -> DataFrame:
     """Silver -> cleaned, calendar, lagged frame (before one-hot).
 
@@ -161,15 +127,13 @@ def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict |
         df = rename_teams(df, renames)
     df = calendar_features(df)
     df = df.withColumn("game_year", season_start_year(F.col("season")))
-    return momentum(df, n, segment_width=segment_width)
+    return momentum(df, n, segment_rows=segment_rows)
 
 
-def feature_table(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
-                  home_team: str | None = None, one_hot_values: dict | None = None,
-                  n: int = K.MOMENTUM_LAG, segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
-                  dedup: bool = True) -> DataFrame:
-    df = feature_base(silver, teams, renames, n, segment_width, dedup)
+def feature_table(base: DataFrame, values: dict[str, Sequence],
+                  home_team: str | None = None) -> DataFrame:
+    """The model's input from ``feature_base``: one home team or all, normalised
+    names, indicators for the columns of ``values``."""
     if home_team is not None:
-        df = df.filter(F.col("home_team") == home_team)
-    df = normalize_names(df)
-    return one_hot(df, ["event_type", "away_team"], one_hot_values)
+        base = base.filter(F.col("home_team") == home_team)
+    return normalize_names(one_hot(normalize_names(base), values))

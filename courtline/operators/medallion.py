@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions import constants as K
 from courtline.functions.expressions import col_of, join_names, margin_to_int, to_int
-from courtline.operators.windows import DEFAULT_SEGMENT_WIDTH, forward_fill
+from courtline.operators.windows import SEGMENT_ROWS, forward_fill
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -29,6 +29,11 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in have]
 
 
+INT_COLUMNS = ("event_type", "event_action_type", "video_available_flag")
+MERGED_COLUMNS = ("home_team_city", "home_team_name", "away_team_city", "away_team_name",
+                  "home_description", "visitor_description")
+
+
 def project_play_columns(bronze: DataFrame, columns: Sequence[str] = K.PLAY_COLUMNS,
                          season_source: str = K.RAW_SEASON_COLUMN) -> DataFrame:
     """Keep the listed columns that exist, plus ``season`` (renamed from ``season.x``)."""
@@ -38,19 +43,19 @@ def project_play_columns(bronze: DataFrame, columns: Sequence[str] = K.PLAY_COLU
 
 
 def type_play_columns(df: DataFrame) -> DataFrame:
-    """Integer casts that never raise; ``event_num`` itself is cast (so it
-    orders numerically) and ``event_column`` keeps an equal copy."""
+    """Integer casts that never raise; ``event_num`` itself is cast (to a long, so it
+    orders numerically at any size) and ``event_column`` keeps an equal copy."""
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = {}
     if "score_margin" in types:
         exprs["score_margin"] = margin_to_int(F.col("score_margin"), types["score_margin"])
-    for c in ("event_num", "event_type", "event_action_type", "video_available_flag"):
+    for c in INT_COLUMNS:
         if c in types:
             exprs[c] = to_int(F.col(c), types[c])
-    out = df.withColumns(exprs)
     if "event_num" in types:
-        out = out.withColumn("event_column", F.col("event_num"))
-    return out
+        exprs["event_num"] = exprs["event_column"] = to_int(F.col("event_num"), types["event_num"],
+                                                            "bigint")
+    return df.withColumns(exprs)
 
 
 def merge_names(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -63,26 +68,44 @@ def merge_names(df: DataFrame, sep: str = "_") -> DataFrame:
                 "play_description": join_names(F.col("home_description"),
                                                F.col("visitor_description"), ""),
             })
-            .drop("home_team_city", "home_team_name", "away_team_city", "away_team_name",
-                  "home_description", "visitor_description"))
+            .drop(*MERGED_COLUMNS))
 
 
 SEGMENT_COLUMN = "__event_segment"
 
 
 def fill_scores_forward(df: DataFrame, cols: Sequence[str] = K.SCORE_COLUMNS,
-                        segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
-                        keep_segment: bool = False) -> DataFrame:
+                        segment_rows: int | None = SEGMENT_ROWS,
+                        keep_segment: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Carry the last known score values forward within each game, by event order.
 
-    ``keep_segment`` keeps the event-segment id (a function of ``event_num``)
-    so the de-duplication after it reuses the window's partitioning.
+    ``keep_segment`` keeps the event-segment id (a function of ``event_num``), if
+    games are cut, so the de-duplication after it reuses the window's
+    partitioning.  ``counted``: see ``forward_fill``.
     """
     return forward_fill(df, _present(df, cols), by="game_id", order="event_num",
-                        segment_width=segment_width,
+                        segment_rows=segment_rows, counted=counted,
                         segment_column=SEGMENT_COLUMN if keep_segment else None)
 
 
+COPIES_PER_ARRAY = 10_000
+
+
+def fill_with_copies(df: DataFrame, segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
+    """``fill_scores_forward`` of rows that may be copies: a row and its copies are
+    filled as one and repeated afterwards, so a row copied many times is no load on
+    its game's window.  Copies carry equal values, so the result is the same."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    filled = fill_scores_forward(counted, segment_rows=segment_rows, counted=df)
+    size = F.lit(COPIES_PER_ARRAY)
+    # two steps, so that no array is longer than the copies of a chunk
+    chunks = filled.select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / size))).alias("__chunk"))
+    left = F.least(size, F.col("__copies") - F.col("__chunk") * size)
+    return chunks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("__i")).select(
+        *df.columns)
+
+
 def complete_scores(df: DataFrame) -> DataFrame:
     """``*_complete`` copies of the score columns, with defaults where still null."""
     out = df.withColumns({
@@ -107,39 +130,8 @@ def dedup(df: DataFrame) -> DataFrame:
     return out.drop(SEGMENT_COLUMN) if SEGMENT_COLUMN in df.columns else out
 
 
-def _typed_named_projection(bronze: DataFrame, sep: str = "_",
-                            columns: Sequence[str] = K.PLAY_COLUMNS,
-                            season_source: str = K.RAW_SEASON_COLUMN) -> DataFrame:
-    """project_play_columns + type_play_columns + merge_names as one projection
-    (same columns and values; one plan step instead of several)."""
-    types = {f.name: f.dataType for f in bronze.schema.fields}
-    src = season_source if season_source in types else "season"
-    merged = {"home_team_city", "home_team_name", "away_team_city", "away_team_name",
-              "home_description", "visitor_description"}
-    out = []
-    for c in columns:
-        if c not in types or c == "season" or c in merged:
-            continue
-        if c == "score_margin":
-            out.append(margin_to_int(col_of(c), types[c]).alias(c))
-        elif c in ("event_num", "event_type", "event_action_type", "video_available_flag"):
-            out.append(to_int(col_of(c), types[c]).alias(c))
-        else:
-            out.append(col_of(c))
-    out.append(col_of(src).alias("season"))
-    if "event_num" in types:
-        out.append(to_int(col_of("event_num"), types["event_num"]).alias("event_column"))
-    out += [
-        join_names(col_of("home_team_city"), col_of("home_team_name"), sep).alias("home_team"),
-        join_names(col_of("away_team_city"), col_of("away_team_name"), sep).alias("away_team"),
-        join_names(col_of("home_description"), col_of("visitor_description"), "")
-        .alias("play_description"),
-    ]
-    return bronze.select(*out)
-
-
 def play_by_play_silver(bronze: DataFrame, sep: str = "_",
-                        segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
+                        segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
     """Typed, named, filled, completed, de-duplicated plays.
 
     Exact copies are removed *before* the fill as well as after it.  Before:
@@ -149,9 +141,9 @@ def play_by_play_silver(bronze: DataFrame, sep: str = "_",
     became identical through the fill; that dedup reuses the window's
     partitioning and adds no shuffle.
     """
-    df = _typed_named_projection(bronze, sep)
-    df = df.dropDuplicates()
-    df = fill_scores_forward(df, segment_width=segment_width, keep_segment=True)
+    named = merge_names(type_play_columns(project_play_columns(bronze)), sep)
+    df = fill_scores_forward(named.dropDuplicates(), segment_rows=segment_rows, keep_segment=True,
+                             counted=named)
     df = complete_scores(df)
     return dedup(df)
 

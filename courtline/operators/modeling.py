@@ -35,6 +35,11 @@ LEAKY = ("momentum_40", "away_score_complete", "home_score_complete", "event_col
          "season_two_digits")
 
 
+# Spark's trees are bounded (at most depth 30) and split on binned values; these are
+# its defaults, stated because an unbounded exact tree would differ.
+TREE_DEPTH, TREE_BINS = 5, 32
+
+
 def time_split(features: DataFrame, test_period: int = 4, test_year: int = 2022
                ) -> tuple[DataFrame, DataFrame]:
     """(train, test): train excludes the test period and the test season."""
@@ -50,10 +55,17 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_share_of: int = 5, seed:
     Unlike ``randomSplit`` the assignment of a row never changes when a task
     is retried or partitions move.
     """
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(test_share_of))
+    h = F.pmod(row_hash(keys, seed), F.lit(test_share_of))
     return df.withColumn("split", F.when(h == 0, F.lit("test")).otherwise(F.lit("train")))
 
 
+def row_hash(keys: Sequence[str], seed: int) -> Column:
+    """A number of 32 bits from the MD5 of ``seed|key|key..`` (nulls as empty text):
+    the same in every engine, so that a split can be checked outside Spark."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def feature_columns(df: DataFrame, label: str = LABEL,
                     exclude: Sequence[str] = (*MODEL_DROP_COLUMNS, *LEAKY, FOLD)) -> list[str]:
     ex = set(exclude) | {label}
@@ -61,13 +73,12 @@ def feature_columns(df: DataFrame, label: str = LABEL,
             if isinstance(f.dataType, NumericType) and f.name not in ex]
 
 
-def with_folds(df: DataFrame, k: int = 5, keys: Sequence[str] = ("game_id", "event_num"),
+def with_folds(df: DataFrame, k: int = 5, keys: Sequence[str] = ("game_id",),
                seed: int = 42) -> DataFrame:
-    """Fold id 0..k-1 from a hash of the row key: deterministic under retries,
-    computed per row (no global sort or row numbering).  Pass ``keys=("game_id",)``
-    to keep every game inside one fold when there are enough games."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])
-    return df.withColumn(FOLD, F.pmod(h, F.lit(k)).cast("int"))
+    """Fold id 0..k-1 from a hash of the game: deterministic under retries, computed
+    per row.  A game lies in one fold, as its neighbouring plays share their
+    forward-filled score and would tell the held-out fold its answers."""
+    return df.withColumn(FOLD, F.pmod(row_hash(keys, seed), F.lit(k)).cast("int"))
 
 
 def _assembler(cols: Sequence[str]) -> VectorAssembler:
@@ -82,7 +93,8 @@ def fit(train: DataFrame, estimator, cols: Sequence[str]):
 def model_catalog(seed: int = 42) -> dict:
     return {
         "linear_regression": LinearRegression(labelCol=LABEL, featuresCol="features"),
-        "decision_tree": DecisionTreeRegressor(labelCol=LABEL, featuresCol="features", seed=seed),
+        "decision_tree": DecisionTreeRegressor(labelCol=LABEL, featuresCol="features", seed=seed,
+                                               maxDepth=TREE_DEPTH, maxBins=TREE_BINS),
         "random_forest": RandomForestRegressor(labelCol=LABEL, featuresCol="features", seed=seed,
                                                numTrees=20),
         "gradient_boosting": GBTRegressor(labelCol=LABEL, featuresCol="features", seed=seed,
@@ -102,13 +114,15 @@ def regression_metrics(scored: DataFrame, label: str = LABEL, pred: str = PREDIC
                        digits: int = 3) -> DataFrame:
     """R², MSE, MAE in one aggregate pass, rounded to ``digits``.
 
-    The total sum of squares is n·Σy² − (Σy)² over n, so it needs no second
-    pass for the mean.
+    The total sum of squares is the population variance times the count, which
+    does not cancel for labels far from zero.  Rows without a label or a prediction
+    count nowhere.
     """
+    scored = scored.filter(F.col(label).isNotNull() & F.col(pred).isNotNull())
     y = F.col(label).cast("double")
     e = y - F.col(pred).cast("double")
     n = F.count(F.lit(1))
-    sst = (F.sum(y * y) - F.sum(y) * F.sum(y) / n)
+    sst = F.var_pop(y) * n
     return scored.agg(
         n.alias("rows"),
         F.round(F.lit(1.0) - F.try_divide(F.sum(e * e), sst), digits).alias("r2"),

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.functions.expressions import null_safe_corr
+from courtline.operators.quality import sql_text
+from courtline.session import materialize
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
@@ -30,26 +32,30 @@ def distinct_values_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.select("value").distinct().orderBy(F.asc_nulls_first("value"))
 
 
-def first_groups(df: DataFrame, key: str = "game_id", n: int = 20) -> DataFrame:
-    """Rows of the first ``n`` distinct keys in key order.
+def first_groups(df: DataFrame, key: str = "game_id", n: int = 20,
+                 keys_of: DataFrame | None = None) -> DataFrame:
+    """Rows of the first ``n`` distinct keys in key order.  ``keys_of`` is a cheaper
+    frame with the same keys to take them from (default: ``df``).
 
     The key list is a top-``n`` (partial top-k per partition, then one merge),
     bounded by ``n`` rows, so it is broadcast into a semi-join.
     """
-    keys = df.select(key).distinct().orderBy(F.asc_nulls_last(key)).limit(n)
+    keys = (df if keys_of is None else keys_of).select(key).distinct().orderBy(
+        F.asc_nulls_last(key)).limit(n)
     return df.join(F.broadcast(keys), key, "left_semi")
 
 
 def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRIBE_PROBS,
-             approx: bool = False, accuracy: int = 100_000, digits: int | None = None,
-             buckets: int = 4096) -> DataFrame:
+             approx: bool = False, accuracy: int = 100_000, digits: int | None = None
+             ) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per column, one row per column.
 
     Quartiles are exact (linear interpolation between closest ranks, as
     pandas) and computed without gathering a column into one task: values are
-    reduced to (value, count) pairs, spread over ``buckets`` equal-width
-    buckets per column, and ranked with a running count inside each bucket
-    plus the bucket's offset.  Only the rows holding the wanted ranks (two per
+    reduced to (value, count) pairs and dealt by ranges of (column, value), which
+    Spark draws from a sample so that each holds about as many pairs, however the
+    values lie; a running count in each range plus the counts of the ranges before
+    it ranks them.  Only the rows holding the wanted ranks (two per
     quantile) reach the driver.  ``approx=True`` uses ``percentile_approx``
     instead.  ``digits`` rounds mean and std.
     """
@@ -62,7 +68,7 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
         F.min(c).cast("double").alias(f"min{i}"),
         F.max(c).cast("double").alias(f"max{i}"))])
     stack = ", ".join(
-        f"'{c}', count{i}, mean{i}, std{i}, min{i}, max{i}" for i, c in enumerate(cols))
+        f"{sql_text(c)}, count{i}, mean{i}, std{i}, min{i}, max{i}" for i, c in enumerate(cols))
     stats = base.selectExpr(
         f"stack({len(cols)}, {stack}) as (column_name, count, mean, std, min, max)")
 
@@ -77,8 +83,7 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
             "column_name", "count", "mean", "std", "min", *names, "max")
 
     srows = {r["column_name"]: r for r in stats.collect()}     # one row per column
-    quant = exact_quantiles(long, {c: (srows[c]["count"], srows[c]["min"], srows[c]["max"])
-                                   for c in cols}, probs, buckets)
+    quant = exact_quantiles(long, {c: srows[c]["count"] for c in cols}, probs)
     out = []
     for c in cols:
         r = srows[c]
@@ -89,13 +94,29 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
     return df.sparkSession.createDataFrame(out, schema)
 
 
-def exact_quantiles(long: DataFrame, col_stats: dict, probs: Sequence[float],
-                    buckets: int = 4096) -> dict:
-    """Exact quantiles of (column_name, value) rows; ``col_stats`` maps a
-    column to (count, min, max).  Returns {(column, p): value}."""
+def ranked_values(long: DataFrame) -> DataFrame:
+    """Distinct (column_name, value) with ``start`` and ``cum``, the ranks it holds."""
+    pairs = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
+    pairs = pairs.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id())
+    pairs = materialize(pairs, "value_counts")  # keeps the ranges for both uses
+    totals = pairs.groupBy("column_name", "part").agg(F.sum("freq").alias("tot"))
+    w_off = (Window.partitionBy("column_name").orderBy("part")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("column_name", "part",
+                            F.coalesce(F.sum("tot").over(w_off), F.lit(0)).alias("offset"))
+    w_run = (Window.partitionBy("column_name", "part").orderBy("value")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (pairs.join(offsets, ["column_name", "part"])
+            .withColumn("cum", F.col("offset") + F.sum("freq").over(w_run))
+            .withColumn("start", F.col("cum") - F.col("freq")))
+
+
+def exact_quantiles(long: DataFrame, counts: dict[str, int], probs: Sequence[float]) -> dict:
+    """Exact quantiles of (column_name, value) rows; ``counts`` has the rows of each
+    column.  Returns {(column, p): value}."""
     targets: dict[str, set[int]] = {}
     plan = {}
-    for c, (n, lo, hi) in col_stats.items():
+    for c, n in counts.items():
         if not n:
             continue
         for p in probs:
@@ -106,25 +127,7 @@ def exact_quantiles(long: DataFrame, col_stats: dict, probs: Sequence[float],
             targets.setdefault(c, set()).update({r0, r1})
     if not targets:
         return {}
-    lit_map = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
-    lo = F.element_at(lit_map({c: float(v[1]) for c, v in col_stats.items() if v[0]}),
-                      F.col("column_name"))
-    width = F.element_at(lit_map({c: float(v[2] - v[1]) for c, v in col_stats.items() if v[0]}),
-                         F.col("column_name"))
-    bucket = F.when(width > 0, F.least(F.floor((F.col("value") - lo) / width * buckets),
-                                       F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    vc = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
-          .withColumn("bucket", bucket))
-    totals = vc.groupBy("column_name", "bucket").agg(F.sum("freq").alias("tot"))
-    w_off = (Window.partitionBy("column_name").orderBy("bucket")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("column_name", "bucket",
-                            F.coalesce(F.sum("tot").over(w_off), F.lit(0)).alias("offset"))
-    w_run = (Window.partitionBy("column_name", "bucket").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (vc.join(offsets, ["column_name", "bucket"])
-              .withColumn("cum", F.col("offset") + F.sum("freq").over(w_run))
-              .withColumn("start", F.col("cum") - F.col("freq")))
+    ranked = ranked_values(long)
     wanted = F.element_at(F.create_map(*[x for c, rs in targets.items() for x in (
         F.lit(c), F.array(*[F.lit(r).cast("long") for r in sorted(rs)]))]), F.col("column_name"))
     hits = (ranked.filter(F.exists(wanted, lambda r: (r >= F.col("start")) & (r < F.col("cum"))))
@@ -171,35 +174,41 @@ def corr_lower_triangle(df: DataFrame, cols: Sequence[str], digits: int = 9) ->
     return corr_matrix(df, cols, digits).filter(F.col("i") > F.col("j"))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins between min and max; the top edge is closed.
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """Equal-width bins between min and max of each column; the top edge is closed.
 
-    One tiny aggregate fetches (min, max) to the driver; the binning is then a
-    projection plus a grouped count.  Empty bins are reported with count 0.
-    A constant column puts every value in bin 1.
+    One aggregate fetches (min, max) of all columns to the driver; the binning is
+    then one pass over (column, bin) pairs.  Empty bins are reported with count 0, a
+    constant column puts every value in bin 1, a column without values has no bins.
     """
-    lo, hi = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
+    edges = df.agg(*[f(c).cast("double") for c in cols for f in (F.min, F.max)]).first()
+    spans = {c: (edges[2 * i], edges[2 * i + 1]) for i, c in enumerate(cols) if edges[2 * i] is not None}
     spark = df.sparkSession
-    if lo is None:
-        return spark.createDataFrame([], "bin INT, lower DOUBLE, upper DOUBLE, count LONG")
-    width = hi - lo
-    v = F.col(col).cast("double")
-    if width == 0:
-        b = F.lit(1)
-    else:
-        b = F.least(F.floor((v - F.lit(lo)) * F.lit(float(bins)) / F.lit(width)).cast("int") + 1,
-                    F.lit(bins))
-    counts = (df.filter(F.col(col).isNotNull()).select(b.alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    edges = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    step = width / bins
-    edges = edges.select(
-        "bin",
-        (F.lit(lo) + (F.col("bin") - 1) * F.lit(step)).alias("lower"),
-        F.when(F.col("bin") == bins, F.lit(hi))
-         .otherwise(F.lit(lo) + F.col("bin") * F.lit(step)).alias("upper"))
-    return (edges.join(counts, "bin", "left")
-            .select("bin", "lower", "upper", F.coalesce("count", F.lit(0).cast("long")).alias("count")))
+    rows = [(c, b, lo + (b - 1) * ((hi - lo) / bins), hi if b == bins else lo + b * ((hi - lo) / bins))
+            for c, (lo, hi) in spans.items() for b in range(1, bins + 1)]
+    table = spark.createDataFrame(rows, "column_name STRING, bin INT, lower DOUBLE, upper DOUBLE")
+    if not spans:
+        return table.withColumn("count", F.lit(0).cast("long"))
+
+    def bin_of(c, lo, hi):
+        v = F.col(c).cast("double")
+        if lo == hi:
+            return F.when(v.isNotNull(), 1)
+        at = F.floor((v - F.lit(lo)) * F.lit(float(bins)) / F.lit(hi - lo)).cast("int") + 1
+        return F.when(v.isNotNull(), F.least(at, F.lit(bins)))
+
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), bin_of(c, *span).alias("bin"))
+        for c, span in spans.items()])).alias("x")).select("x.*").filter("bin is not null")
+    counts = long.groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("count"))
+    return table.join(counts, ["column_name", "bin"], "left").select(
+        "column_name", "bin", "lower", "upper",
+        F.coalesce("count", F.lit(0).cast("long")).alias("count"))
+
+
+def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
+    """``histograms`` of one column."""
+    return histograms(df, [col], bins).drop("column_name")
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, digits: int | None = None

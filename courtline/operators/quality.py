@@ -22,23 +22,22 @@ def expect(df: DataFrame, name: str, predicate: Column) -> tuple[DataFrame, Obse
     return out, obs
 
 
-def expectation_report(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """One row per (name, frame, predicate): rows, violating rows, passing share.
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def expectation_report(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
+    """One row per (name, predicate): rows and violating rows, all in one pass.
 
     A null predicate result counts as a violation (as the SQL ``IS NOT NULL``
     style expectations intend).
     """
-    parts = []
-    for name, df, pred in checks:
-        ok = F.coalesce(pred, F.lit(False))
-        parts.append(df.agg(
-            F.lit(name).alias("expectation"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(~ok).alias("violations")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(~F.coalesce(p, F.lit(False))).alias(f"v{i}") for i, (_, p) in enumerate(checks)])
+    stack = ", ".join(f"{sql_text(name)}, v{i}" for i, (name, _) in enumerate(checks))
+    return wide.selectExpr(f"stack({len(checks)}, {stack}) as (expectation, violations)", "rows").select(
+        "expectation", "rows", "violations")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -46,7 +45,7 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or df.columns)
     wide = df.agg(F.count(F.lit(1)).alias("__rows"),
                   *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
+    stack = ", ".join(f"{sql_text(c)}, n{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
         f"stack({len(cols)}, {stack}) as (column_name, null_count)", "__rows as row_count")
 

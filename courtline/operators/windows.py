@@ -1,37 +1,40 @@
 """Ordered-within-group operators that stay parallel when one group is huge.
 
-A plain ``Window.partitionBy(game)`` puts every row of a game in one task.
-If a single game (or a mislabelled id) holds a third of all rows, that task
-is the whole job.  The operators here split each group into *segments* of
-the ordering key (``floor(order / segment_width)``), do the heavy window work
-per (group, segment) in parallel, and stitch segments together with a tiny
-per-segment summary table:
-
-* ``forward_fill``: carry-in value for a segment = last non-null value of the
-  earlier segments (window over the summary, one row per segment), put in
-  front of the segment's rows so one window pass fills everything.
-* ``row_position``: 1-based position in the group = rows in earlier segments
-  + position inside the segment.
-* ``lag_rows``: a window ``lag`` inside each segment; the first ``n`` rows of
-  a segment get their values from "halo" copies of the preceding segments'
-  last rows, matched by an equi-join on (group, segment, relative index).
-
-Results are exact and identical to the single-window form (tests check it).
+A plain ``Window.partitionBy(game)`` puts every row of a game in one task.  That
+is the best plan for ordinary games, and the only trouble is a game with so many
+rows that its task is the whole job.  So the operators first count the rows of
+each group (one aggregate over the key column) and find the *hot* groups, those
+above ``segment_rows``; there are at most rows / ``segment_rows`` of them.  Without
+any, the plain window runs and nothing else.
+
+A hot group is cut at approximate quantiles of its ordering key into segments of
+about ``segment_rows`` rows; every other group is segment 0.  So there are at most
+groups + rows / ``segment_rows`` segments however the keys are spread.  The window
+runs per (group, segment), and only hot groups need stitching:
+
+* ``forward_fill``: a segment's carry-in value is the last non-null value of the
+  segments before it (a window over one summary row per segment); the carry row
+  goes in front of the segment's rows;
+* ``lag_rows``: the first ``n`` rows of a segment get their values from "halo" copies
+  of the last rows of the segments before, matched on (group, segment, index).
+
+Results equal the single-window form; group and order keys may be null (nulls
+come first, in segment 0, and match each other).  Cuts lie between values of the
+order key, so rows tied on it stay in one segment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of an ordering-key segment.  A regular game has < 1,000 events, so it
-# is one segment; a giant group is cut into pieces of at most this many keys.
-DEFAULT_SEGMENT_WIDTH = 1 << 16
+# Rows of a group that one window task sorts; regular games have < 1,000.
+SEGMENT_ROWS = 2_000_000
 
 _SEG = "__seg"
-_POS = "__pos"
 
 
 def _as_list(x) -> list[str]:
@@ -40,49 +43,86 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _segment(order: str, width: int) -> Column:
-    return F.floor(F.col(order) / F.lit(width)).cast("long")
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of two lists of columns."""
+    return reduce(lambda a, b: a & b, (F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)))
+
+
+def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "event_num",
+             segment_rows: int | None = SEGMENT_ROWS) -> DataFrame | None:
+    """(group keys as ``__k0``.., ``__cuts``) for the groups above ``segment_rows``
+    rows, or None if there are none.
+
+    Reads the key columns of ``df`` only.  ``df`` may hold more rows than the frame
+    the cuts are used on (copies not yet removed): segments then come out smaller.
+    """
+    by = _as_list(by)
+    if segment_rows is None:
+        return None
+    keys = [f"__k{i}" for i in range(len(by))]
+    hot = (df.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)])
+           .agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > segment_rows).collect())
+    if not hot:
+        return None
+    pieces = -(-max(r["__rows"] for r in hot) // segment_rows)
+    schema = ", ".join(f"{k} {dict(df.dtypes)[b]}" for b, k in zip(by, keys))
+    spark = df.sparkSession
+    groups = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
+    quantiles = F.percentile_approx(order, [i / pieces for i in range(1, pieces)], 100 * pieces)
+    # at most rows / segment_rows groups, with as many cuts as the largest needs
+    cuts = (df.join(F.broadcast(groups), _same(by, keys)).groupBy(*keys)
+            .agg(F.array_sort(F.array_distinct(quantiles)).alias("__cuts")).collect())
+    return spark.createDataFrame([tuple(r) for r in cuts],
+                                 f"{schema}, __cuts array<{dict(df.dtypes)[order]}>")
+
+
+def _with_segment(df: DataFrame, by: list[str], order: str, cuts: DataFrame) -> DataFrame:
+    """``df`` with its segment; segment i of a hot group holds the keys above i cuts."""
+    keys = [c for c in cuts.columns if c != "__cuts"]
+    above = F.size(F.filter("__cuts", lambda c: c < F.col(order)))
+    return (df.join(F.broadcast(cuts), _same(by, keys), "left")
+            .withColumn(_SEG, F.when(F.col("__cuts").isNull(), 0).otherwise(above))
+            .drop("__cuts", *keys))
+
+
+def _only_hot(df: DataFrame, by: list[str], cuts: DataFrame) -> DataFrame:
+    keys = [c for c in cuts.columns if c != "__cuts"]
+    return df.join(F.broadcast(cuts.drop("__cuts")), _same(by, keys), "left_semi")
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "game_id",
                  order: str = "event_num", tiebreak: Sequence[str] = (),
-                 segment_width: int | None = DEFAULT_SEGMENT_WIDTH,
+                 segment_rows: int | None = SEGMENT_ROWS, counted: DataFrame | None = None,
                  segment_column: str | None = None) -> DataFrame:
     """Replace each null in ``cols`` by the last non-null value earlier in its group.
 
-    ``segment_width=None`` uses one window per group (fine when groups are
-    known to be small).  ``segment_column`` keeps the segment id under that
-    name: the output is hash-partitioned by (group, segment), so a later
-    whole-row de-duplication that includes it needs no second shuffle.
+    ``segment_rows=None`` uses one window per group.  ``counted`` is a cheaper frame
+    with the same keys to look for hot groups in (default: ``df``).
+    ``segment_column`` keeps the segment id, if there are hot groups, under that
+    name: the output is hash-partitioned by (group, segment), so a later whole-row
+    de-duplication that includes it needs no second shuffle.
     """
-    by = _as_list(by)
-    cols = list(cols)
-    tiebreak = list(tiebreak)
-    orders = [order, *tiebreak]
-    if segment_width is None:
+    by, cols, orders = _as_list(by), list(cols), [order, *tiebreak]
+    cuts = hot_cuts(df if counted is None else counted, by, order, segment_rows)
+    if cuts is None:
         w = (Window.partitionBy(*by).orderBy(*orders)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
-    seg_df = df.withColumn(_SEG, _segment(order, segment_width))
+    rows = _with_segment(df, by, order, cuts)
     keys = [*by, _SEG]
-
-    # 1. per (group, segment): the last non-null value of each column.  Only
-    #    the key, order and filled columns are read (pruned scan), and the
-    #    max(struct(order, value)) aggregate is partial before its shuffle.
-    summary = seg_df.groupBy(*keys).agg(*[
+    # the last non-null value of each segment of the hot groups, and from it the
+    # carry-in of each segment: one row per segment
+    summary = _only_hot(rows, by, cuts).groupBy(*keys).agg(*[
         F.max(F.when(F.col(c).isNotNull(),
                      F.struct(*[F.col(o) for o in orders], F.col(c).alias("v"))))
         .getField("v").alias(f"__l{i}") for i, c in enumerate(cols)])
-    # 2. carry-in of each segment = last non-null of the earlier segments
-    #    (one row per segment, so this window is small even for a huge group)
     w_carry = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, *[
         F.last(f"__l{i}", ignorenulls=True).over(w_carry).alias(c) for i, c in enumerate(cols)])
-    # 3. each segment's carry row goes first in its window partition; one
-    #    shuffle of the data rows, one window pass, no join
-    rows = seg_df.withColumn("__m", F.lit(1))
-    both = rows.unionByName(carry.withColumn("__m", F.lit(0)), allowMissingColumns=True)
+    # the carry row goes first in its window partition: one shuffle, no join
+    both = rows.withColumn("__m", F.lit(1)).unionByName(
+        carry.withColumn("__m", F.lit(0)), allowMissingColumns=True)
     w = (Window.partitionBy(*keys).orderBy("__m", *orders)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = both.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
@@ -92,97 +132,70 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "
     return out.select(*df.columns)
 
 
-def row_position(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "event_num",
-                 tiebreak: Sequence[str] = (), out: str = "row_pos",
-                 segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
-    """1-based position of each row within its group, in ``order`` (then tiebreak)."""
-    by = _as_list(by)
-    orders = [order, *list(tiebreak)]
-    if segment_width is None:
-        w = Window.partitionBy(*by).orderBy(*orders)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
+def _halo(rows: DataFrame, cols: Sequence[str], outs: Sequence[str], n: int, by: list[str],
+          orders: list[str]) -> DataFrame:
+    """For the first ``n`` rows of each segment of ``rows`` (hot groups): ``__h*`` group
+    keys, ``__hs`` segment, ``__hr`` row number in it, and the values ``n`` rows back.
 
-    seg_df = df.withColumn(_SEG, _segment(order, segment_width))
-    keys = [*by, _SEG]
-    local = seg_df.withColumn(
-        out, F.row_number().over(Window.partitionBy(*keys).orderBy(*orders)).cast("long"))
-    # rows per segment = the largest local row number; same partitioning as
-    # ``local``, so no second scan or shuffle of the input
-    counts = local.groupBy(*keys).agg(F.max(out).alias("__n"))
-    w_off = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(w_off), F.lit(0))
-                            .alias("__offset"))
-    res = local.join(offsets, keys, "left")
-    return res.withColumn(out, F.col(out) + F.col("__offset")).drop(_SEG, "__offset")
-
-
-def _lag_segmented(df: DataFrame, cols: Sequence[str], outs: Sequence[str], n: int,
-                   by: list[str], orders: list[str], width: int) -> DataFrame:
-    """``df`` plus ``outs[j]`` = ``cols[j]`` of the row ``n`` rows earlier in the group.
-
-    One full shuffle, by (group, segment).  Inside a segment a window ``lag``
-    answers every row after the first ``n``.  Those first ``n`` rows look back
-    across the segment boundary: each segment's last rows are sent, as small
-    "halo" rows, to the following segments that can reach them (at most ``n``
-    rows back, so at most ``n`` segments ahead), and matched by an equi-join
-    on (group, segment, relative index).
+    A segment's last ``n`` rows go to the later segments within reach; segments
+    shorter than ``n`` pass the reach on to the next.
     """
-    order = orders[0]
     keys = [*by, _SEG]
-    seg_df = df.withColumn(_SEG, _segment(order, width))
     w = Window.partitionBy(*keys).orderBy(*orders)
-    local = seg_df.withColumns({
-        "__rn": F.row_number().over(w),
-        **{o: F.lag(c, n).over(w) for c, o in zip(cols, outs)}})
-
-    # per segment: row count, and the next (up to n) segments with their counts
-    counts = local.groupBy(*keys).agg(F.max("__rn").alias("__cnt"))
+    local = rows.select(*keys, F.row_number().over(w).alias("__rn"),
+                        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("__cnt"),
+                        *[F.col(c).alias(f"__v{j}") for j, c in enumerate(cols)])
     w_next = Window.partitionBy(*by).orderBy(_SEG).rowsBetween(1, n)
-    nxt = F.collect_list(F.struct(F.col(_SEG).alias("s"), F.col("__cnt").alias("c"))).over(w_next)
-    reach = counts.select(*keys, "__cnt", nxt.alias("__next"))
-    # gap before each following segment = rows of the segments in between
-    reach = reach.select(*keys, "__cnt", F.transform(
-        "__next", lambda x, i: F.struct(
-            x["s"].alias("s"),
-            F.aggregate(F.slice("__next", 1, i), F.lit(0).cast("long"),
-                        lambda acc, y: acc + y["c"]).alias("gap"))).alias("__next"))
-
-    # halo rows: a segment's last rows, copied to every later segment within reach
-    tail = (local.select(*keys, "__rn", *[F.col(c).alias(f"__v{j}") for j, c in enumerate(cols)])
-            .join(reach, keys)
-            .withColumn("__d", F.col("__cnt") - F.col("__rn"))
-            .filter(F.col("__d") < n))
-    halo = (tail.select(*by, *[f"__v{j}" for j in range(len(cols))], F.explode(F.filter(
+    following = F.collect_list(F.struct(F.col(_SEG).alias("s"), F.col("__cnt").alias("c"))).over(w_next)
+    counts = local.filter("__rn = 1").select(*keys, "__cnt")
+    # rows between a segment's end and each of the segments after it
+    reach = counts.select(*[F.col(k).alias(f"__q{i}") for i, k in enumerate(keys)],
+                          following.alias("__next"))
+    reach = reach.withColumn("__next", F.transform("__next", lambda x, i: F.struct(
+        x["s"].alias("s"), F.aggregate(F.slice("__next", 1, i), F.lit(0).cast("long"),
+                                       lambda acc, y: acc + y["c"]).alias("gap"))))
+    tail = local.withColumn("__back", F.col("__cnt") - F.col("__rn")).filter(F.col("__back") < n)
+    met = tail.join(reach, _same(keys, [f"__q{i}" for i in range(len(keys))]))
+    met = met.select("*", F.explode(F.filter(
         F.transform("__next", lambda x: F.struct(
-            x["s"].alias("s"), (F.col("__d") + x["gap"]).alias("dist"))),
-        lambda e: e["dist"] < n)).alias("__h"))
-        .select(*by, F.col("__h.s").alias(_SEG), (-F.col("__h.dist")).alias("__key"),
-                *[F.col(f"__v{j}").alias(o) for j, o in enumerate(outs)]))
-
-    helpers = [_SEG, "__rn"]
-    inside = local.filter(F.col("__rn") > n)
-    head = (local.filter(F.col("__rn") <= n).drop(*outs)
-            .withColumn("__key", F.col("__rn") - n)
-            .join(halo, [*keys, "__key"], "left").drop("__key"))
-    return inside.unionByName(head).drop(*helpers)
+            x["s"].alias("s"), (F.lit(n) - F.col("__back") - x["gap"]).alias("row"))),
+        lambda e: e["row"] > 0)).alias("__to"))
+    return met.select(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(by)],
+                      F.col("__to.s").alias("__hs"), F.col("__to.row").alias("__hr"),
+                      *[F.col(f"__v{j}").alias(f"__halo_{o}") for j, o in enumerate(outs)])
+
+
+def _lag(df: DataFrame, cols: Sequence[str], outs: Sequence[str], n: int, by: list[str],
+         orders: list[str], segment_rows: int | None) -> DataFrame:
+    """``df`` plus ``outs[j]`` = ``cols[j]`` of the row ``n`` rows earlier in the group."""
+    cuts = hot_cuts(df, by, orders[0], segment_rows) if n > 0 else None
+    if cuts is None:
+        w = Window.partitionBy(*by).orderBy(*orders)
+        return df.withColumns({o: F.lag(c, n).over(w) for c, o in zip(cols, outs)})
+    rows = _with_segment(df, by, orders[0], cuts)
+    w = Window.partitionBy(*by, _SEG).orderBy(*orders)
+    local = rows.withColumns({"__rn": F.row_number().over(w),
+                              **{o: F.lag(c, n).over(w) for c, o in zip(cols, outs)}})
+    halo = _halo(_only_hot(rows, by, cuts), cols, outs, n, by, orders)
+    first = [*[f"__h{i}" for i in range(len(by))], "__hs", "__hr"]
+    joined = local.join(halo, _same([*by, _SEG, "__rn"], first), "left")
+    # a halo row is met only by a row that has no lagged value in its own segment
+    return joined.select(*df.columns, *[
+        F.when(F.col("__hr").isNotNull(), F.col(f"__halo_{o}")).otherwise(F.col(o)).alias(o)
+        for o in outs])
 
 
 def lag_rows(df: DataFrame, col: str, n: int, out: str, by: str | Sequence[str] = "game_id",
              order: str = "event_num", tiebreak: Sequence[str] = (),
-             segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
+             segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
     """Value of ``col`` ``n`` rows earlier in the group (null for the first ``n``)."""
-    by = _as_list(by)
-    if segment_width is None or n <= 0:
-        w = Window.partitionBy(*by).orderBy(order, *list(tiebreak))
-        return df.withColumn(out, F.lag(col, n).over(w))
-    return _lag_segmented(df, [col], [out], n, by, [order, *list(tiebreak)],
-                          segment_width).select(*df.columns, out)
+    return _lag(df, [col], [out], n, _as_list(by), [order, *tiebreak], segment_rows)
 
 
 def lag_all_columns(df: DataFrame, n: int, by: str | Sequence[str] = "game_id",
                     order: str = "event_num", tiebreak: Sequence[str] = (),
                     keep: Sequence[str] = (), suffix: str = "",
-                    segment_width: int | None = DEFAULT_SEGMENT_WIDTH) -> DataFrame:
+                    segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
     """Shift every column ``n`` rows down within its group (a frame-wide shift).
 
     Columns in ``keep`` (plus the group and order columns) are kept as they
@@ -191,9 +204,6 @@ def lag_all_columns(df: DataFrame, n: int, by: str | Sequence[str] = "game_id",
     by = _as_list(by)
     fixed = [*by, order, *[k for k in keep if k not in by and k != order]]
     moving = [c for c in df.columns if c not in fixed]
-    if segment_width is None or n <= 0:
-        w = Window.partitionBy(*by).orderBy(order, *list(tiebreak))
-        return df.select(*fixed, *[F.lag(c, n).over(w).alias(c + suffix) for c in moving])
     outs = [f"__lag{j}" for j in range(len(moving))]
-    res = _lag_segmented(df, moving, outs, n, by, [order, *list(tiebreak)], segment_width)
+    res = _lag(df, moving, outs, n, by, [order, *tiebreak], segment_rows)
     return res.select(*fixed, *[F.col(o).alias(c + suffix) for c, o in zip(moving, outs)])

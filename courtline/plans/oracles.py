@@ -20,30 +20,19 @@ SILVER_COLUMNS = [
 ]
 # FIXED VALUES: Spark type names of the silver columns (as ``info()`` reports them).
 SILVER_TYPES = {
-    "game_id": "bigint", "game_date": "timestamp_ntz", "event_num": "int", "event_type": "int",
+    "game_id": "bigint", "game_date": "timestamp_ntz", "event_num": "bigint", "event_type": "int",
     "period": "int", "minute_game": "int", "wc_time_string": "string",
     "neutral_description": "string", "person1type": "int", "person2type": "int",
     "player3_id": "int", "player1_name": "string", "player1_team_abbreviation": "string",
     "player2_team_abbreviation": "string", "score": "string", "away_score": "int",
     "home_score": "int", "score_margin": "int", "team_leading": "string", "season": "string",
-    "event_column": "int", "home_team": "string", "away_team": "string",
+    "event_column": "bigint", "home_team": "string", "away_team": "string",
     "play_description": "string", "score_margin_complete": "int", "score_complete": "string",
     "away_score_complete": "int", "home_score_complete": "int",
     "team_leading_complete": "string",
 }
 NUMERIC = {"bigint", "int", "double", "smallint", "tinyint", "float"}
 
-# Categories the one-hot encoder finds in the feature frame of the sf0.01
-# tables (the encoder discovers them from the data, like ``get_dummies``;
-# a static SQL text has to list them).
-EVENT_TYPES = [1, 2, 3, 4, 11]
-AWAY_TEAMS = [
-    "AFRICA_NATION_10", "AFRICA_NATION_15", "AMERICA_NATION_11", "AMERICA_NATION_16",
-    "AMERICA_NATION_6", "ASIA_NATION_12", "ASIA_NATION_17", "ASIA_NATION_2",
-    "EUROPE_NATION_13", "EUROPE_NATION_8", "MIDDLE EAST_NATION_19", "MIDDLE EAST_NATION_4",
-    "MIDDLE EAST_NATION_9",
-]
-
 
 def _renamed(col: str) -> str:
     whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in P.TEAM_RENAMES.items())
@@ -78,23 +67,39 @@ WHERE momentum_40 IS NOT NULL
 
 def _one_hot_select(src: str, name=lambda s: s) -> str:
     ev = [f"CAST(CASE WHEN event_type = {v} THEN 1 ELSE 0 END AS TINYINT) AS "
-          f"\"{name(f'event_type_{v}')}\"" for v in EVENT_TYPES]
+          f"\"{name(f'event_type_{v}')}\"" for v in P.ONE_HOT_VALUES["event_type"]]
     aw = [f"CAST(CASE WHEN away_team = '{v}' THEN 1 ELSE 0 END AS TINYINT) AS "
-          f"\"{name(f'away_team_{v}')}\"" for v in AWAY_TEAMS]
+          f"\"{name(f'away_team_{v}')}\"" for v in P.ONE_HOT_VALUES["away_team"]]
     return f"SELECT * EXCLUDE (event_type, away_team), {', '.join(ev + aw)} FROM {src}"
 
 
-cte("features", _one_hot_select("f_base"), ("f_base",))
+cte("encoded", _one_hot_select("f_base"), ("f_base",))
+cte("features", _one_hot_select("f_base", name=lambda s: s.replace(" ", "_").lower()), ("f_base",))
+cte("train", "SELECT * FROM features WHERE period <> 4 AND game_year <> 2022", ("features",))
 cte("test_split", "SELECT * FROM features WHERE period = 4 AND game_year = 2022", ("features",))
-cte("margin", f"""
-SELECT h.home_team_name AS team_name, h.season, h.count AS count_home, a.count AS count_away,
-       h.avg_points_for AS avg_points_for_home, a.avg_points_for AS avg_points_for_away,
-       round(h.avg_points_for - a.avg_points_for, 0) + 0.0 AS margin,
-       h.avg_points_against AS avg_points_against_home,
-       a.avg_points_against AS avg_points_against_away
-FROM home_gold h JOIN away_gold a ON h.home_team_name = a.away_team_name AND h.season = a.season
-WHERE h.home_team_name NOT IN ({sql_list(P.EXCLUDED_TEAMS)})
+# both sides of a team's season as one row: an average per side, then a pivot
+cte("sides", f"""
+SELECT home_team_name AS team_name, season, 'home' AS side, count, avg_points_for, avg_points_against
+FROM home_gold WHERE home_team_name NOT IN ({sql_list(P.EXCLUDED_TEAMS)})
+UNION ALL
+SELECT away_team_name, season, 'away', count, avg_points_for, avg_points_against FROM away_gold
 """, ("home_gold", "away_gold"))
+cte("margin", """
+SELECT team_name, season,
+       max(count) FILTER (side = 'home') AS count_home,
+       max(count) FILTER (side = 'away') AS count_away,
+       max(avg_points_for) FILTER (side = 'home') AS avg_points_for_home,
+       max(avg_points_for) FILTER (side = 'away') AS avg_points_for_away,
+       round(max(avg_points_for) FILTER (side = 'home')
+             - max(avg_points_for) FILTER (side = 'away'), 0) + 0.0 AS margin,
+       max(avg_points_against) FILTER (side = 'home') AS avg_points_against_home,
+       max(avg_points_against) FILTER (side = 'away') AS avg_points_against_away
+FROM sides GROUP BY team_name, season HAVING count(DISTINCT side) = 2
+""", ("sides",))
+cte("named_events", """
+SELECT g.season, g.player1_name, g.count, l.event_name
+FROM lookup l, player_gold g WHERE l.event_id = g.event_type
+""", ("lookup", "player_gold"))
 
 
 def _q(ctes, body):
@@ -181,6 +186,29 @@ FROM edges e CROSS JOIN mm LEFT JOIN (SELECT bin, count(*) AS count FROM b GROUP
   ON e.bin = c.bin""", ["silver"])
 
 
+def histograms_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, h.* FROM ({histogram_body(c)}) h"
+             for c in K.PROFILE_NUMERIC_COLUMNS]
+    return _q(["silver"], " UNION ALL ".join(parts))
+
+
+def histogram_body(c: str) -> str:
+    n = P.HISTOGRAM_BINS
+    return f"""
+SELECT bin, lo + (bin - 1) * ((hi - lo) / {n}) AS lower,
+       CASE WHEN bin = {n} THEN hi ELSE lo + bin * ((hi - lo) / {n}) END AS upper,
+       (SELECT count(*) FROM silver WHERE bin = CASE WHEN hi = lo THEN 1 ELSE least(
+          CAST(floor((CAST({c} AS DOUBLE) - lo) * CAST({n} AS DOUBLE) / (hi - lo)) AS INTEGER) + 1, {n}) END
+        AND {c} IS NOT NULL) AS count
+FROM (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM silver),
+     (SELECT CAST(r AS INTEGER) AS bin FROM range(1, {n + 1}) t(r))"""
+
+
+def _hashed(text: str, seed: int = 42) -> str:
+    """The number that ``modeling.row_hash`` makes of ``seed|text``."""
+    return f"CAST('0x' || substr(md5('{seed}|' || {text}), 1, 8) AS BIGINT)"
+
+
 def one_game_lag_sql() -> str:
     moving = [c for c in SILVER_COLUMNS if c not in ("game_id", "event_num")]
     lags = ", ".join(f"lag({c}, {K.MOMENTUM_LAG}) OVER w AS {c}" for c in moving)
@@ -220,6 +248,12 @@ SELECT l.event_id, l.event_name, COALESCE(c.plays, 0) AS plays
 FROM lookup l LEFT JOIN (SELECT event_type, count(*) AS plays FROM silver GROUP BY event_type) c
   ON l.event_id = c.event_type"""),
     "feature_table": _q(["features"], "SELECT * FROM features"),
+    "team_feature_table": _q(["features"],
+                             f"SELECT * FROM features WHERE home_team = '{P.HOME_TEAM}'"),
+    "unlisted_categories": _q(["f_base"], " UNION ALL ".join(
+        f"SELECT '{c} is listed' AS expectation, count(*) AS rows, "
+        f"count(*) FILTER ({c} NOT IN ({sql_list(v)})) AS violations FROM f_base"
+        for c, v in P.ONE_HOT_VALUES.items())),
     "preview_rows": _q(["silver"], f"SELECT * FROM silver ORDER BY game_id, event_num "
                                    f"LIMIT {P.PREVIEW_ROWS}"),
     # projection / filter / shaping
@@ -245,9 +279,9 @@ FROM lookup l LEFT JOIN (SELECT event_type, count(*) AS plays FROM silver GROUP
     "null_profile": null_profile_sql(),
     "sparse_columns": sparse_columns_sql(),
     "column_info": column_info_sql(),
-    "expectation": _q(["p_filled", "silver"], """
+    "expectation": _q(["silver"], """
 SELECT 'score_margin is not null (before defaults)' AS expectation, count(*) AS rows,
-       count(*) - count(score_margin) AS violations FROM p_filled
+       count(*) - count(score_margin) AS violations FROM silver
 UNION ALL
 SELECT 'score_margin_complete is not null', count(*), count(*) - count(score_margin_complete)
 FROM silver"""),
@@ -265,29 +299,23 @@ SELECT (SELECT count(*) FROM pbp) - (SELECT count(*) FROM (SELECT DISTINCT * FRO
     "team_stats_season_home_gold": _q(["home_gold"], "SELECT * FROM home_gold"),
     "team_stats_season_away_gold": _q(["away_gold"], "SELECT * FROM away_gold"),
     "season_event_counts": _q(["event_gold", "lookup"], """
-SELECT P.season, ET.event_name AS event_type, P.count
-FROM event_gold P JOIN lookup ET ON P.event_type = ET.event_id
-ORDER BY P.season DESC"""),
-    "player_season_event_counts": _q(["player_gold", "lookup"], """
-SELECT P.season, ET.event_name AS event_type, P.player1_name, P.count
-FROM player_gold P JOIN lookup ET ON P.event_type = ET.event_id
-ORDER BY P.season DESC"""),
+SELECT season, (SELECT event_name FROM lookup WHERE event_id = event_type) AS event_type, count
+FROM event_gold WHERE event_type IN (SELECT event_id FROM lookup)"""),
+    "player_season_event_counts": _q(["named_events"], """
+SELECT season, event_name AS event_type, player1_name, count FROM named_events"""),
     "team_stats_margin": _q(["margin"], "SELECT * FROM margin"),
-    "visual_shots_made": _q(["player_gold", "lookup"], f"""
-SELECT t1.season, t1.player1_name AS player_name, t2.event_name, t1.count AS count
-FROM player_gold t1 LEFT JOIN lookup t2 ON t1.event_type = t2.event_id
-WHERE t1.player1_name IS NOT NULL AND t2.event_name IS NOT NULL AND t2.event_name = 'Shot Made'
-  AND t1.player1_name IN ({_players})
-ORDER BY 3, 4 DESC"""),
-    "visual_top_events_by_player": _q(["player_gold", "lookup"], f"""
-SELECT season, event_type, player1_name, count FROM (
-  SELECT P.season, ET.event_name AS event_type, P.player1_name, P.count,
-         RANK() OVER (PARTITION BY P.season ORDER BY P.count DESC) AS ranking
-  FROM player_gold P JOIN lookup ET ON P.event_type = ET.event_id
-  WHERE P.player1_name IS NOT NULL
-    AND P.season IN (SELECT DISTINCT season FROM player_gold ORDER BY season DESC
-                     LIMIT {P.LATEST_SEASONS}))
-WHERE ranking <= {P.TOP_K}"""),
+    "visual_shots_made": _q(["named_events"], f"""
+SELECT season, player1_name AS player_name, event_name, count FROM named_events
+WHERE event_name = 'Shot Made' AND player1_name IN ({_players})"""),
+    "visual_top_events_by_player": _q(["named_events", "player_gold"], f"""
+SELECT season, event_name AS event_type, player1_name, count
+FROM (SELECT e.*, 1 + (SELECT count(*) FROM named_events o WHERE o.season = e.season
+                       AND o.player1_name IS NOT NULL AND o.count > e.count) AS place
+      FROM named_events e
+      SEMI JOIN (SELECT season FROM player_gold GROUP BY season ORDER BY season DESC
+                 LIMIT {P.LATEST_SEASONS}) USING (season)
+      WHERE e.player1_name IS NOT NULL)
+WHERE place <= {P.TOP_K}"""),
     "visual_avg_points": _q(["margin"], """
 SELECT season, team_name, avg_points_for_home, avg_points_for_away FROM margin"""),
     "latest_seasons": _q(["player_gold"], f"""
@@ -351,18 +379,36 @@ SELECT game_id, event_num, score_margin_complete,
 FROM silver"""),
     "momentum": _q(["f_base"], "SELECT * FROM f_base"),
     "one_game_lag": one_game_lag_sql(),
-    "one_hot": _q(["features"], "SELECT * FROM features"),
+    "one_hot": _q(["encoded"], "SELECT * FROM encoded"),
     # models (SQL-expressible parts)
-    "train_split": _q(["features"],
-                      "SELECT * FROM features WHERE period <> 4 AND game_year <> 2022"),
+    "train_split": _q(["train"], "SELECT * FROM train"),
     "test_split": _q(["test_split"], "SELECT * FROM test_split"),
     "regression_metrics": _q(["test_split"], """
 SELECT count(*) AS rows,
-       round(1.0 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*)), 3) AS r2,
+       round(1.0 - sum(e * e) / (var_pop(y) * count(*)), 3) AS r2,
        round(avg(e * e), 3) AS mse, round(avg(abs(e)), 3) AS mae
 FROM (SELECT CAST(score_margin_complete AS DOUBLE) AS y,
              CAST(score_margin_complete AS DOUBLE) - CAST(score_margin_40_events_ago AS DOUBLE) AS e
       FROM test_split)"""),
+    "random_split": _q(["margin"], f"""
+SELECT team_name, season, count_home, count_away, avg_points_for_home, avg_points_for_away, margin,
+       TRY_CAST(right(season, 2) AS INTEGER) AS season_two_digits,
+       CASE WHEN {_hashed("coalesce(team_name, '') || '|' || coalesce(season, '')")} % 5 = 0
+            THEN 'test' ELSE 'train' END AS split
+FROM margin"""),
+    "fold_sizes": _q(["train"], f"""
+SELECT CAST({_hashed("CAST(game_id AS VARCHAR)")} % 5 AS INTEGER) AS fold,
+       count(DISTINCT game_id) AS games, count(*) AS plays
+FROM train GROUP BY 1"""),
+    "simple_regression": _q(["train"], """
+SELECT round(regr_slope(score_margin_complete, score_margin_40_events_ago), 6) AS slope,
+       round(regr_intercept(score_margin_complete, score_margin_40_events_ago), 6) AS intercept
+FROM train"""),
+    "ml_results_actual": _q(["train", "test_split"], """
+SELECT game_id, event_num, minute_game, score_margin_complete, 'train' AS split FROM train
+UNION ALL
+SELECT game_id, event_num, minute_game, score_margin_complete, 'test' FROM test_split"""),
+    "histograms": histograms_sql(),
 }
 
 

@@ -2,10 +2,12 @@
 
 On the test tables teams are ``<region>_<nation>`` (city ``_`` name), so the
 team lists below take the place of the real league lists in
-``functions.constants`` (``LEAGUE_TEAMS`` / ``LEAGUE_RENAMES``), which are
-the defaults for real play-by-play data.
+``functions.constants`` (``LEAGUE_TEAMS`` / ``LEAGUE_RENAMES``), which a caller
+passes for real play-by-play data.
 """
 
+from courtline.functions.constants import EVENT_TYPE_LOOKUP
+
 # FIXED VALUES: region of nation i is REGIONS[i % 5] in the test tables.
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
@@ -18,6 +20,16 @@ TEAM_RENAMES = {
     for a, b in ((1, 2), (3, 4), (5, 6))
 }
 
+# Categories of the one-hot columns: the event types of the lookup and type 11,
+# which has no name there, and the official teams by their current names.
+ONE_HOT_VALUES = {
+    "event_type": sorted({event for event, _ in EVENT_TYPE_LOOKUP} | {11}),
+    "away_team": sorted({TEAM_RENAMES.get(t, t) for t in OFFICIAL_TEAMS}),
+}
+
+# The team whose games the single-team feature table keeps.
+HOME_TEAM = "ASIA_NATION_2"
+
 # Game-level team names excluded by the home/away comparison (NOT IN).
 EXCLUDED_TEAMS = [f"NATION_{i}" for i in range(20, 25)]
 

@@ -7,6 +7,7 @@ until the caller acts on the returned frame).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import cached_property
 
@@ -24,13 +25,18 @@ from courtline.operators import quality as Q
 from courtline.operators.windows import lag_all_columns, lag_rows
 from courtline.plans import params as P
 from courtline.plans.pipeline import medallion
-from courtline.session import ensure_checkpoint_dir, materialize, scratch_path
+from courtline.session import materialize, scratch_path, shared_copy
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
 from courtline.sources.fixtures import game_bronze, play_by_play_bronze
 from courtline.streaming.ingest import ingest_to_bronze
 
-DATABASE = "courtline"
+
+
+def _database(sf_dir: str) -> str:
+    """A database for each input, so that tables of one input never replace those
+    of another."""
+    return f"courtline_{zlib.crc32(sf_dir.rstrip('/').encode()):08x}"
 
 
 class Inputs:
@@ -38,6 +44,11 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame written once per application and input for all queries that read
+        it more than once; a lost executor re-reads files."""
+        return shared_copy(self.spark, name, self.sf_dir.rstrip("/"), build)
+
     @cached_property
     def bronze(self) -> DataFrame:
         return play_by_play_bronze(self.spark, self.sf_dir)
@@ -60,7 +71,7 @@ class Inputs:
 
     @cached_property
     def filled(self) -> DataFrame:
-        return M.fill_scores_forward(self.named)
+        return M.fill_with_copies(self.named)
 
     @cached_property
     def completed(self) -> DataFrame:
@@ -72,15 +83,7 @@ class Inputs:
 
     @cached_property
     def silver_shared(self) -> DataFrame:
-        """Silver materialised once for consumers that read it more than once
-        (self-joins, a discovery job plus the query, repeated model fits).
-
-        Written as parquet under the shared ``spark.checkpoint.dir``: it cuts
-        the lineage, a lost executor re-reads files instead of re-running the
-        bronze joins and the window, and readers prune columns and push
-        filters into the scan of the copy.
-        """
-        return materialize(self.silver, "play_by_play_silver")
+        return self.shared("play_by_play_silver", lambda: self.silver)
 
     @cached_property
     def game_silver(self) -> DataFrame:
@@ -106,15 +109,10 @@ class Inputs:
     def away_gold(self) -> DataFrame:
         return M.team_stats_season_away_gold(self.game_silver)
 
-    @cached_property
-    def game_silver_shared(self) -> DataFrame:
-        """Game silver materialised once: the home and away gold tables both
-        read it (as the pipeline does with its written table)."""
-        return materialize(self.game_silver, "overall_game_silver")
-
     @cached_property
     def margin_table(self) -> DataFrame:
-        g = self.game_silver_shared
+        # the home and away gold tables both read the written game silver
+        g = self.shared("overall_game_silver", lambda: self.game_silver)
         return A.team_stats_margin(M.team_stats_season_home_gold(g),
                                    M.team_stats_season_away_gold(g), P.EXCLUDED_TEAMS)
 
@@ -123,27 +121,25 @@ class Inputs:
         # silver is distinct by construction (its last step is the dedup)
         return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False)
 
-    @cached_property
-    def feature_base_shared(self) -> DataFrame:
-        """The lagged feature frame written once: the one-hot category job and
-        the query that uses the categories both read it."""
-        return materialize(self.feature_base, "feature_base")
-
     @cached_property
     def features(self) -> DataFrame:
-        # same steps as FT.feature_table (no single-team filter), over the copy
-        return FT.one_hot(FT.normalize_names(self.feature_base_shared),
-                          ["event_type", "away_team"])
+        return FT.feature_table(self.feature_base, P.ONE_HOT_VALUES)
 
     @cached_property
     def splits(self) -> tuple[DataFrame, DataFrame]:
-        return ML.time_split(self.features)
+        return ML.time_split(self.shared("features", lambda: self.features))
 
 
 def _in(spark, sf_dir) -> Inputs:
     return Inputs(spark, sf_dir)
 
 
+def _saved(spark, sf_dir, df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
+    """``df`` written as a table of the input's database, read back."""
+    with C.namespace(spark, _database(sf_dir)) as db:
+        return C.read_table(spark, C.save_table(df, table, db, comment=comment))
+
+
 # ---------------------------------------------------------------------------
 # scans, sources, sinks
 # ---------------------------------------------------------------------------
@@ -159,13 +155,13 @@ def _season_files(spark, sf_dir) -> str:
 
 def scan_latest_files(spark, sf_dir):
     path = _season_files(spark, sf_dir)
-    return FS.read_latest(spark, path, n=2)
+    return FS.read_latest(spark, path, n=2, schema=_in(spark, sf_dir).bronze.schema)
 
 
 def union_seasons(spark, sf_dir):
     path = _season_files(spark, sf_dir)
     names = FS.list_folders(spark, path)
-    return FS.union_seasons(FS.read_each(spark, path, names))
+    return FS.union_seasons(FS.read_each(spark, path, names, _in(spark, sf_dir).bronze.schema))
 
 
 def incremental_ingest(spark, sf_dir):
@@ -178,16 +174,15 @@ def incremental_ingest(spark, sf_dir):
 
 
 def table_roundtrip(spark, sf_dir):
-    C.use_database(spark, DATABASE)
-    C.save_table(_in(spark, sf_dir).event_gold, "play_by_event_gold_copy",
-                 comment="Plays by season and event type")
-    return C.read_table(spark, "play_by_event_gold_copy")
+    return _saved(spark, sf_dir, _in(spark, sf_dir).event_gold, "play_by_event_gold_copy",
+                  "Plays by season and event type")
 
 
 def medallion_pipeline(spark, sf_dir):
     """Run bronze -> silver -> gold as tables; report each table's row count."""
     i = _in(spark, sf_dir)
-    tables = medallion().run(spark, DATABASE, {"play_bronze": i.bronze, "game_bronze": i.game})
+    with C.namespace(spark, _database(sf_dir)) as db:
+        tables = medallion().run(spark, db, {"play_bronze": i.bronze, "game_bronze": i.game})
     parts = [spark.table(t).agg(F.lit(name).alias("table_name"),
                                 F.count(F.lit(1)).alias("rows"))
              for name, t in tables.items()]
@@ -199,16 +194,27 @@ def medallion_pipeline(spark, sf_dir):
 
 def event_lookup(spark, sf_dir):
     """Lookup created by DDL + INSERT, joined to the silver play counts."""
-    C.use_database(spark, DATABASE)
-    lk = C.create_lookup_table(spark, "event_type_lookup", K.EVENT_TYPE_LOOKUP, database=DATABASE)
+    with C.namespace(spark, _database(sf_dir)) as db:
+        lk = C.create_lookup_table(spark, "event_type_lookup", K.EVENT_TYPE_LOOKUP, database=db)
     return A.plays_per_event_name(_in(spark, sf_dir).silver, lk)
 
 
 def feature_table(spark, sf_dir):
-    C.use_database(spark, DATABASE)
-    C.drop_table(spark, C.qualified("ml_game_features", DATABASE))
-    name = C.save_table(_in(spark, sf_dir).features, "ml_game_features", DATABASE)
-    return C.read_table(spark, name)
+    with C.namespace(spark, _database(sf_dir)) as db:
+        C.drop_table(spark, C.qualified("ml_game_features", db))
+    return _saved(spark, sf_dir, _in(spark, sf_dir).features, "ml_game_features")
+
+
+def team_feature_table(spark, sf_dir):
+    """The feature table of one home team."""
+    base = _in(spark, sf_dir).feature_base
+    return _saved(spark, sf_dir, FT.feature_table(base, P.ONE_HOT_VALUES, home_team=P.HOME_TEAM),
+                  "ml_team_features")
+
+
+def unlisted_categories(spark, sf_dir):
+    """Rows whose event type or away team the one-hot columns do not list."""
+    return FT.unlisted(_in(spark, sf_dir).feature_base, P.ONE_HOT_VALUES)
 
 
 def preview_rows(spark, sf_dir):
@@ -248,7 +254,8 @@ def drop_columns(spark, sf_dir):
 
 
 def normalize_names(spark, sf_dir):
-    return FT.normalize_names(_in(spark, sf_dir).features)
+    # categories with blanks make column names with blanks
+    return FT.normalize_names(FT.one_hot(_in(spark, sf_dir).feature_base, P.ONE_HOT_VALUES))
 
 
 def regulation_time(spark, sf_dir):
@@ -293,12 +300,9 @@ def column_info(spark, sf_dir):
 
 
 def expectation(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    return Q.expectation_report([
-        ("score_margin is not null (before defaults)", i.filled,
-         F.col("score_margin").isNotNull()),
-        ("score_margin_complete is not null", i.silver,
-         F.col("score_margin_complete").isNotNull()),
+    return Q.expectation_report(_in(spark, sf_dir).silver, [
+        ("score_margin is not null (before defaults)", F.col("score_margin").isNotNull()),
+        ("score_margin_complete is not null", F.col("score_margin_complete").isNotNull()),
     ])
 
 
@@ -340,16 +344,17 @@ def team_stats_season_away_gold(spark, sf_dir):
 
 def season_event_counts(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return A.season_event_counts(i.event_gold, i.lookup)
+    return _saved(spark, sf_dir, A.season_event_counts(i.event_gold, i.lookup), "season_event_counts")
 
 
 def player_season_event_counts(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return A.player_season_event_counts(i.player_gold, i.lookup)
+    return _saved(spark, sf_dir, A.player_season_event_counts(i.player_gold, i.lookup),
+                  "player_season_event_counts")
 
 
 def team_stats_margin(spark, sf_dir):
-    return _in(spark, sf_dir).margin_table
+    return _saved(spark, sf_dir, _in(spark, sf_dir).margin_table, "team_stats_margin")
 
 
 def visual_shots_made(spark, sf_dir):
@@ -358,10 +363,9 @@ def visual_shots_made(spark, sf_dir):
 
 
 def visual_top_events_by_player(spark, sf_dir):
-    # the gold is read twice (latest seasons + ranking): build it on the
-    # written silver so silver itself is computed once
+    # read twice (latest seasons, ranking), so the small gold is written
     i = _in(spark, sf_dir)
-    gold = M.play_by_player_gold(i.silver_shared)
+    gold = i.shared("play_by_player_gold", lambda: i.player_gold)
     return A.top_events_by_player(gold, i.lookup, P.TOP_K, P.LATEST_SEASONS)
 
 
@@ -378,7 +382,9 @@ def latest_seasons(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def first_games(spark, sf_dir):
-    return PR.first_groups(_in(spark, sf_dir).silver_shared, "game_id", P.FIRST_GAMES)
+    # silver has the games of bronze; its filter on them reaches the scans
+    i = _in(spark, sf_dir)
+    return PR.first_groups(i.silver, "game_id", P.FIRST_GAMES, keys_of=i.projected)
 
 
 def game_name(spark, sf_dir):
@@ -405,9 +411,14 @@ def distinct_teams(spark, sf_dir):
     return PR.distinct_values_long(_in(spark, sf_dir).silver, ["home_team", "away_team"])
 
 
+def _profiled(spark, sf_dir):
+    """The profiled columns of silver alone, written as they are read twice."""
+    i = _in(spark, sf_dir)
+    return i.shared("profiled", lambda: i.silver.select(*K.PROFILE_NUMERIC_COLUMNS))
+
+
 def describe_numeric(spark, sf_dir):
-    return PR.describe(_in(spark, sf_dir).silver_shared, K.PROFILE_NUMERIC_COLUMNS,
-                       digits=P.FLOAT_DIGITS)
+    return PR.describe(_profiled(spark, sf_dir), K.PROFILE_NUMERIC_COLUMNS, digits=P.FLOAT_DIGITS)
 
 
 def corr_matrix(spark, sf_dir):
@@ -425,8 +436,12 @@ def margin_by_minute(spark, sf_dir):
 
 
 def histogram(spark, sf_dir):
-    return PR.histogram(_in(spark, sf_dir).silver_shared, "score_margin_complete",
-                        P.HISTOGRAM_BINS)
+    return PR.histogram(_profiled(spark, sf_dir), "score_margin_complete", P.HISTOGRAM_BINS)
+
+
+def histograms(spark, sf_dir):
+    """Histograms of all six numeric columns."""
+    return PR.histograms(_profiled(spark, sf_dir), K.PROFILE_NUMERIC_COLUMNS, P.HISTOGRAM_BINS)
 
 
 # ---------------------------------------------------------------------------
@@ -455,12 +470,13 @@ def momentum(spark, sf_dir):
 
 
 def one_game_lag(spark, sf_dir):
-    g = _in(spark, sf_dir).silver_shared.filter(F.col("game_id") == P.ONE_GAME_ID)
+    # one game of silver: the filter reaches the scans
+    g = _in(spark, sf_dir).silver.filter(F.col("game_id") == P.ONE_GAME_ID)
     return lag_all_columns(g, K.MOMENTUM_LAG, keep=(), suffix="")
 
 
 def one_hot(spark, sf_dir):
-    return FT.one_hot(_in(spark, sf_dir).feature_base_shared, ["event_type", "away_team"])
+    return FT.one_hot(_in(spark, sf_dir).feature_base, P.ONE_HOT_VALUES)
 
 
 # ---------------------------------------------------------------------------
@@ -482,8 +498,8 @@ def regression_metrics(spark, sf_dir):
 
 
 def _train_test_cols(spark, sf_dir):
+    # both read the written feature table
     train, test = _in(spark, sf_dir).splits
-    train = train.cache()
     return train, test, ML.feature_columns(train)
 
 
@@ -542,10 +558,31 @@ def best_model_metrics(spark, sf_dir):
 def ml_results(spark, sf_dir):
     train, test, cols = _train_test_cols(spark, sf_dir)
     best, _ = ML.grid_search(train, cols)
-    scored = ML.score_splits(best, train, test)
-    C.use_database(spark, DATABASE)
-    name = C.save_table(scored, "ml_results", DATABASE)
-    return C.read_table(spark, name)
+    return _saved(spark, sf_dir, ML.score_splits(best, train, test).drop("split"), "ml_results")
+
+
+def ml_results_actual(spark, sf_dir):
+    """The columns of the predictions table that do not depend on the fit."""
+    train, test, cols = _train_test_cols(spark, sf_dir)
+    model = ML.fit(train, ML.model_catalog()["decision_tree"], cols)
+    return _saved(spark, sf_dir, ML.score_splits(model, train, test).drop("predictions"),
+                  "ml_results_actual")
+
+
+def fold_sizes(spark, sf_dir):
+    """Games and plays of each cross-validation fold."""
+    train, _, _ = _train_test_cols(spark, sf_dir)
+    return ML.with_folds(train).groupBy(ML.FOLD).agg(
+        F.countDistinct("game_id").alias("games"), F.count(F.lit(1)).alias("plays"))
+
+
+def simple_regression(spark, sf_dir):
+    """Slope and intercept of the margin on the margin 40 events ago."""
+    train, _, _ = _train_test_cols(spark, sf_dir)
+    model = ML.fit(train, ML.model_catalog()["linear_regression"], ["score_margin_40_events_ago"])
+    line = model.stages[-1]
+    return spark.createDataFrame([(round(float(line.coefficients[0]), 6), round(float(line.intercept), 6))],
+                                 "slope double, intercept double")
 
 
 def actual_vs_predicted(spark, sf_dir):
@@ -597,6 +634,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_pipeline": medallion_pipeline,
     "event_lookup": event_lookup,
     "feature_table": feature_table,
+    "team_feature_table": team_feature_table,
+    "unlisted_categories": unlisted_categories,
     "preview_rows": preview_rows,
     # projection / filter / shaping
     "silver_projection": silver_projection,
@@ -647,6 +686,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corr_lower_triangle": corr_lower_triangle,
     "margin_by_minute": margin_by_minute,
     "histogram": histogram,
+    "histograms": histograms,
     # features
     "season_features": season_features,
     "calendar_features": calendar_features,
@@ -667,6 +707,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_comparison": model_comparison,
     "best_model_metrics": best_model_metrics,
     "ml_results": ml_results,
+    "ml_results_actual": ml_results_actual,
+    "fold_sizes": fold_sizes,
+    "simple_regression": simple_regression,
     "actual_vs_predicted": actual_vs_predicted,
     "score_new": score_new,
 }
@@ -674,7 +717,3 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
-
-
-def prepare(spark: SparkSession) -> None:
-    ensure_checkpoint_dir(spark)

@@ -58,7 +58,7 @@ FROM (SELECT event_id, ts, user_id, event_type, value FROM events
 
 cte("pbp", """
 SELECT s.user_id AS game_id,
-       CAST(s.event_id AS INTEGER) AS event_num,
+       s.event_id AS event_num,
        CASE s.event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
             WHEN 'signup' THEN 4 ELSE 11 END AS event_type,
        1 + CAST(floor((extract(day FROM s.ts) - 1) / 6.0) AS INTEGER) AS period,

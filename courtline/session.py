@@ -1,13 +1,15 @@
 """Session construction and shared-storage locations.
 
 On a cluster the deployment owns ``spark.checkpoint.dir`` (a shared, durable
-folder).  We only set one ourselves when it is unset, i.e. in local runs and
-tests, and every scratch path used by the library hangs off that setting so
-nothing ever lands on a machine-local folder of an executor.
+folder) and a session without it is refused.  Only for a local master, where
+driver and executors are one process, is a temporary folder made.  Every scratch
+path used by the library hangs off that setting; ``release_scratch`` deletes what
+a session has written there.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -72,9 +74,13 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder.  If unset, a local master gets a temporary
+    one; any other raises, as its executors could not see such a folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = tempfile.mkdtemp(prefix="courtline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -84,8 +90,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that holds all scratch data of this application."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/courtline-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/courtline-scratch/{spark.sparkContext.applicationId}"
+
+
+_SHARED: dict[tuple[str, str, str], str] = {}
+
+
+def shared_copy(spark: SparkSession, name: str, source: str, build):
+    """``materialize(build(), name)``, once for each (application, source, name):
+    later calls read the copy.  ``source`` names the input, which must not change
+    while the copy is in use; ``release_scratch`` forgets all copies."""
+    key = (spark.sparkContext.applicationId, source, name)
+    if key not in _SHARED:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _SHARED[key] = path
+    return spark.read.parquet(_SHARED[key])
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Deletes everything this application has written to scratch folders.  Frames
+    that still read from there must not be used any more."""
+    app = spark.sparkContext.applicationId
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for key in [k for k in _SHARED if k[0] == app]:
+        del _SHARED[key]
 
 
 def materialize(df, name: str):

@@ -8,7 +8,8 @@ joins on that key read co-located files without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,17 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+@contextmanager
+def namespace(spark: SparkSession, name: str) -> Iterator[str]:
+    """``name`` is the current database within the block, the caller's one after it."""
+    before = spark.catalog.currentDatabase()
+    use_database(spark, name)
+    try:
+        yield name
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def table_location(spark: SparkSession, table: str, database: str | None = None) -> str:
     """Folder of a table: ``<database location>/<table>``."""
     db = database or spark.catalog.currentDatabase()
@@ -46,8 +58,8 @@ def save_table(df: DataFrame, table: str, database: str | None = None,
         w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     w.saveAsTable(name)
     if comment:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES "
-                  f"('comment' = '{comment.replace(chr(39), '')}')")
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{text}')")
     return name
 
 
@@ -56,13 +68,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> bool:
-    """Drop if it exists; never raises (returns whether it was there)."""
-    try:
-        existed = spark.catalog.tableExists(name)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        return existed
-    except Exception:  # noqa: BLE001 - a missing catalog/table is not an error here
-        return False
+    """Drop if it exists; returns whether it was there.  Faults such as missing
+    permissions are raised."""
+    existed = spark.catalog.tableExists(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return existed
 
 
 def create_lookup_table(spark: SparkSession, table: str, rows: Sequence[tuple],

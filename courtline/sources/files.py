@@ -14,7 +14,6 @@ from functools import reduce
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -33,14 +32,11 @@ def write_season_files(df: DataFrame, path: str, season_col: str = "season",
                        max_records_per_file: int = 5_000_000) -> str:
     """One folder per season, written in parallel with few, large files.
 
-    Range partitioning on (season, row hash) gives every task one contiguous
-    slice of one season (so about one file per task), and a big season spans
-    as many tasks as its size needs — a season holding a third of all rows
-    is split, never written by one task.  The task count follows
-    ``spark.sql.shuffle.partitions`` (see ``session.cluster_conf``).
+    The rebalance hint gathers a season's rows, and adaptive execution splits the
+    partitions above its advisory size by whole map outputs: a season holding a
+    third of all rows, or one row copied many times, is written by many tasks.
     """
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    (df.repartitionByRange(F.col(season_col), row_hash).write.mode("overwrite")
+    (df.hint("rebalance", season_col).write.mode("overwrite")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(season_col).parquet(path))
     return path

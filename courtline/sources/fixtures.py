@@ -42,7 +42,7 @@ def _side(teams: DataFrame, prefix: str) -> DataFrame:
 # JVM side; the same text runs in the DuckDB oracle).
 _PLAY_EXPRS = [
     "user_id AS game_id",
-    "CAST(event_id AS INT) AS event_num",
+    "event_id AS event_num",
     "CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 "
     "WHEN 'signup' THEN 4 ELSE 11 END AS event_type",
     "1 + CAST(floor((day(ts) - 1) / 6.0) AS INT) AS period",

@@ -47,8 +47,8 @@ def test_lookup_left_join_keeps_every_event_name(spark):
     assert len(out) == len(EVENT_TYPE_LOOKUP) and out[1] == 2 and out[2] == 0 and 11 not in out
 
 
-def test_one_hot_category_cap_raises(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        FT.category_values(df, ["c"], limit=10)
-    assert len(FT.category_values(df, ["c"], limit=20)["c"]) == 20
+def test_one_hot_takes_any_number_of_categories(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("c"))
+    out = FT.one_hot(df, {"c": [str(i) for i in range(1200)]})
+    assert len(out.columns) == 1200
+    assert out.agg(*[F.sum(f"c_{i}").alias(str(i)) for i in range(30)]).first() == (1,) * 30

@@ -6,13 +6,13 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
-# one_hot / feature_table oracles list the categories present at sf0.01, so
-# they are checked by the driver-style run at sf0.01, not here.
 FAST_KEYS = [
     "scan_bronze", "dedup_plays", "game_silver", "team_stats_margin", "season_event_counts",
     "visual_top_events_by_player", "visual_shots_made", "null_profile", "describe_numeric",
     "corr_matrix", "histogram", "game_name", "first_games", "top_shot_makers", "momentum",
-    "lag_40", "regression_metrics", "expectation", "duplicate_count",
+    "lag_40", "regression_metrics", "expectation", "duplicate_count", "one_hot", "feature_table",
+    "normalize_names", "train_split", "random_split", "fold_sizes", "simple_regression", "histograms",
+    "team_feature_table", "unlisted_categories",
 ]
 
 

@@ -13,12 +13,27 @@ from courtline.plans.queries import Inputs
 
 def test_one_hot_indicators(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "a")], "id int, t string")
-    out = FT.one_hot(df, ["t"])
-    assert out.columns == ["id", "t_a", "t_b"]
+    out = FT.one_hot(df, {"t": ["a", "b", "c"]})
+    assert out.columns == ["id", "t_a", "t_b", "t_c"]
     sums = {r.id: r.t_a + r.t_b for r in out.collect()}
     assert sums == {1: 1, 2: 1, 3: 0, 4: 1}
-    fixed = FT.one_hot(df, ["t"], {"t": ["a", "b", "c"]})
-    assert fixed.columns == ["id", "t_a", "t_b", "t_c"]
+    report = FT.unlisted(df, {"t": ["a"]}).first()
+    assert (report.expectation, report.rows, report.violations) == ("t is listed", 4, 1)
+
+
+def test_one_hot_compares_in_the_type_of_the_column(spark):
+    df = spark.createDataFrame([(0.1,), (0.25,)], "x float")
+    rows = [tuple(r) for r in FT.one_hot(df, {"x": [0.1, 0.25]}).collect()]
+    assert rows == [(1, 0), (0, 1)]
+    assert FT.unlisted(df, {"x": [0.1, 0.25]}).first().violations == 0
+
+
+def test_single_team_feature_table(spark):
+    base = Inputs(spark, SF_SMALL).feature_base
+    one = FT.feature_table(base, P.ONE_HOT_VALUES, home_team=P.HOME_TEAM)
+    every = FT.feature_table(base, P.ONE_HOT_VALUES)
+    assert one.columns == every.columns and not any(" " in c for c in one.columns)
+    assert {r.home_team for r in one.select("home_team").distinct().collect()} <= {P.HOME_TEAM}
 
 
 def test_rename_is_simultaneous(spark):
@@ -36,6 +51,33 @@ def test_calendar_season_clock(spark):
     assert out.time_of_day == "09:05:07"
 
 
+def test_clock_texts(spark):
+    texts = ["7:05 PM", "12:00 am", "19:05", "9:05:07", "10:11:12 pm", "noon", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "wc_time_string string")
+    assert [r.time_of_day for r in FT.clock_time(df).collect()] == [
+        "19:05:00", "00:00:00", "19:05:00", "09:05:07", "22:11:12", None, None, None]
+    dates = spark.createDataFrame([("2023-02-14",), ("not a date",)], "game_date string")
+    assert [r.game_month for r in FT.calendar_features(dates).collect()] == [2, None]
+
+
+def test_quantiles_with_one_extreme_value(spark):
+    """Ranges hold about as many values each, however far one value lies."""
+    df = spark.range(20_000).select((F.col("id") / 100).alias("x")).union(
+        spark.range(1).select(F.lit(1e9).alias("x")))
+    long = df.select(F.lit("x").alias("column_name"), F.col("x").alias("value"))
+    sizes = [r["count"] for r in PR.ranked_values(long).groupBy("part").count().collect()]
+    assert len(sizes) == 1 or max(sizes) < 20_001 / len(sizes) * 3
+    got = PR.describe(df, ["x"]).first()
+    assert (got.p25, got.p50, got.p75) == (50.0, 100.0, 150.0)
+
+
+def test_histograms_of_odd_columns(spark):
+    df = spark.createDataFrame([(1.0, 5, None), (2.0, 5, None), (None, 5, None)], "a double, b int, c int")
+    rows = {(r.column_name, r.bin): r["count"] for r in PR.histograms(df, ["a", "b", "c"], 2).collect()}
+    assert rows == {("a", 1): 1, ("a", 2): 1, ("b", 1): 3, ("b", 2): 0}
+    assert PR.histogram(df, "a", 2).columns == ["bin", "lower", "upper", "count"]
+
+
 def test_normalize_names(spark):
     df = spark.createDataFrame([(1, 2)], "`Away Team` int, `X` int")
     assert FT.normalize_names(df).columns == ["away_team", "x"]

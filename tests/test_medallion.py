@@ -74,12 +74,32 @@ def test_fixture_sizes(spark):
     assert Q.duplicate_count(i.bronze).first()["duplicate_rows"] == 20
 
 
+def test_large_event_numbers_stay(spark):
+    df = spark.createDataFrame([("5000000000",), ("9007199254740993",), ("12.0",), ("x",)], "event_num string")
+    got = [r.event_num for r in M.type_play_columns(df).collect()]
+    assert got == [5000000000, 9007199254740993, 12, None]
+
+
+def test_fill_repeats_copies_afterwards(spark, monkeypatch):
+    monkeypatch.setattr(M, "COPIES_PER_ARRAY", 3)
+    rows = [(1, 1, 5)] * 7 + [(1, 2, None)] * 4 + [(1, 3, 9)]
+    df = spark.createDataFrame(rows, "game_id long, event_num long, score_margin int")
+    for segment_rows in (2, None):
+        out = M.fill_with_copies(df, segment_rows)
+        assert sorted(map(tuple, out.collect())) == [(1, 1, 5)] * 7 + [(1, 2, 5)] * 4 + [(1, 3, 9)]
+
+
+def test_silver_scans_the_events_once(spark):
+    plan = Inputs(spark, SF_SMALL).silver._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_id#") and plan.count("Relation [event_id") == 1
+
+
 def test_expectation_observation(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "x int")
     out, obs = Q.expect(df, "x not null", F.col("x").isNotNull())
     assert out.count() == 3                     # warn mode keeps rows
     assert obs.get["violations"] == 1
-    rep = Q.expectation_report([("x not null", df, F.col("x").isNotNull())]).first()
+    rep = Q.expectation_report(df, [("x's not null", F.col("x").isNotNull())]).first()
     assert (rep.rows, rep.violations) == (3, 1)
 
 
@@ -109,8 +129,8 @@ def test_silver_with_hot_game_matches_plain_window(spark):
                          rnd.choice(["TIE", "3", "-4"]) if purchase else None,
                          "Home" if purchase else None))
     raw = spark.createDataFrame(rows + rows[:20], RAW)
-    seg = M.play_by_play_silver(raw, segment_width=16)
-    plain = M.play_by_play_silver(raw, segment_width=None)
+    seg = M.play_by_play_silver(raw, segment_rows=16)
+    plain = M.play_by_play_silver(raw, segment_rows=None)
     cols = sorted(seg.columns)
     assert sorted(seg.columns) == sorted(plain.columns)
     from collections import Counter

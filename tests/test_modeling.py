@@ -24,11 +24,33 @@ def test_hash_split_and_folds_are_deterministic(spark):
     assert [r.split for r in a] == [r.split for r in b]
     share = sum(r.split == "test" for r in a) / len(a)
     assert 0.15 < share < 0.25
-    folds = ML.with_folds(df, 5)
+    folds = ML.with_folds(df, 5, keys=["game_id", "event_num"])
     got = {r.fold for r in folds.select("fold").distinct().collect()}
     assert got == {0, 1, 2, 3, 4}
 
 
+def test_a_game_lies_in_one_fold(spark):
+    df = spark.range(3000).select((F.col("id") % 60).alias("game_id"), F.col("id").alias("event_num"))
+    per_game = ML.with_folds(df).groupBy("game_id").agg(F.countDistinct("fold").alias("n"))
+    assert per_game.filter("n > 1").count() == 0
+
+
+def test_r2_does_not_cancel(spark):
+    df = spark.range(1000).select((F.col("id") % 10 + 1e9).alias("y"), (F.col("id") % 10 + 1e9 + 1).alias("p"))
+    df = df.union(spark.createDataFrame([(None, 1.0), (1.0, None)], "y double, p double"))
+    r = ML.regression_metrics(df, label="y", pred="p").first()
+    assert (r.rows, r.r2, r.mse, r.mae) == (1000, round(1 - 1 / 8.25, 3), 1.0, 1.0)
+
+
+def test_tree_finds_a_known_split(spark):
+    df = spark.createDataFrame([(float(x), 10.0 if x < 4 else 20.0) for x in range(10)] * 5,
+                               f"x double, {ML.LABEL} double")
+    model = ML.fit(df, ML.model_catalog()["decision_tree"], ["x"])
+    assert {(r.x, r.prediction) for r in model.transform(df).collect()} == {
+        (float(x), 10.0 if x < 4 else 20.0) for x in range(10)}
+    assert model.stages[-1].depth == 1
+
+
 def test_feature_columns_leave_out_label_ids_and_leaks(spark):
     df = spark.createDataFrame([(1, 2, 3, 4.0, 5, "x", 1)],
                                "game_id long, event_num int, score_margin_complete int, "
@@ -46,5 +68,5 @@ def test_pipeline_detects_cycles():
 
 def test_null_predicate_counts_as_violation(spark):
     df = spark.createDataFrame([(1,), (None,)], "x int")
-    rep = Q.expectation_report([("x > 0", df, F.col("x") > 0)]).first()
+    rep = Q.expectation_report(df, [("x > 0", F.col("x") > 0)]).first()
     assert (rep.rows, rep.violations) == (2, 1)

@@ -33,6 +33,10 @@ def test_filters_reach_the_scan(spark):
     assert "Not(In(n_name" in plan
 
 
+def test_one_game_lag_filters_the_scan(spark):
+    assert "EqualTo(user_id,7)" in _plan(E.queries()["one_game_lag"](spark, SF_SMALL))
+
+
 def test_top_k_per_season_is_partial(spark):
     df = E.queries()["visual_top_events_by_player"](spark, SF_SMALL)
     df.collect()

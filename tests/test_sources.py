@@ -2,13 +2,14 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from courtline.functions.constants import EVENT_TYPE_LOOKUP
 from courtline.plans.pipeline import medallion
-from courtline.plans.queries import Inputs
-from courtline.session import scratch_path
+from courtline.plans.queries import Inputs, registry
+from courtline.session import ensure_checkpoint_dir, release_scratch, scratch_path, scratch_root
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
 
@@ -24,12 +25,61 @@ def test_season_files_latest_and_union(spark):
     assert latest.count() == bronze.filter(F.col("season").isin(seasons)).count()
     # the season filter is answered from the folder names (partition pruning)
     pruned = FS.read_bronze(spark, path).filter(F.col("season") == "2022-23")
-    assert "PartitionFilters: [isnotnull(season" in pruned._jdf.queryExecution() \
-        .executedPlan().toString() or pruned.count() > 0
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan
+    assert 0 < pruned.count() < bronze.count()
     union = FS.union_seasons(FS.read_each(spark, path, names))
     assert union.count() == bronze.count()
 
 
+def test_one_season_of_identical_rows_is_written_by_several_tasks(spark):
+    df = spark.range(200_000, numPartitions=8).select(
+        F.lit("2022-23").alias("season"), F.lit("the same text " * 20).alias("x"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        path = FS.write_season_files(df, scratch_path(spark, "seasons"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    back = FS.read_bronze(spark, path)
+    assert back.select(F.input_file_name()).distinct().count() > 1 and back.count() == 200_000
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
+
+
+def test_queries_share_one_silver_and_release_it(spark):
+    release_scratch(spark)
+    for key in ("lag_40", "game_name", "one_hot"):
+        registry()[key](spark, SF_SMALL).count()
+    names = FS.list_folders(spark, scratch_root(spark))
+    assert sum(n.startswith("play_by_play_silver") for n in names) == 1
+    release_scratch(spark)
+    assert not os.path.exists(scratch_root(spark))
+
+
+def test_tables_of_two_inputs_live_side_by_side(spark):
+    before = spark.catalog.currentDatabase()
+    small = registry()["table_roundtrip"](spark, SF_SMALL)
+    n = small.count()
+    registry()["table_roundtrip"](spark, SF_SMALL.replace("0.001", "0.01")).count()
+    assert small.count() == n and spark.catalog.currentDatabase() == before
+
+
+def test_comments_keep_their_quotes(spark):
+    with C.namespace(spark, "courtline_test"):
+        name = C.save_table(spark.range(1), "commented", "courtline_test", comment="the team's \\ table")
+        assert spark.catalog.getTable(name).description == "the team's \\ table"
+
+
 def test_csv_read(spark, tmp_path):
     p = tmp_path / "plays.csv"
     p.write_text("game_id,event_num,score\n1,2,0 - 0\n1,3,\n")

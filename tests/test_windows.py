@@ -1,43 +1,43 @@
-"""Segmented (hot-key safe) window operators equal the single-window forms."""
+"""Hot groups, cut by rows, give what the plain window gives."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from courtline.operators.windows import forward_fill, lag_all_columns, lag_rows, row_position
+from courtline.operators.windows import forward_fill, hot_cuts, lag_all_columns, lag_rows
 
 
-def _frame(spark, seed=7, hot_rows=300, small_games=6):
+def _frame(spark, seed=7, hot_rows=300, small_games=6, spread=1):
     rnd = random.Random(seed)
     rows = []
-    # one hot game with most of the rows, a few ordinary games, one empty-ish
+    # one hot game with most of the rows, a few ordinary games
     for g, n in [(1, hot_rows)] + [(g, rnd.randint(1, 30)) for g in range(2, 2 + small_games)]:
         nums = rnd.sample(range(0, n * 5), n)
         for e in nums:
             v = rnd.choice([None, None, None, rnd.randint(-20, 20)])
             s = rnd.choice([None, None, f"{rnd.randint(0, 99)} - {rnd.randint(0, 99)}"])
-            rows.append((g, e, v, s))
-    return spark.createDataFrame(rows, "game_id long, event_num int, margin int, score string")
+            rows.append((g, e * spread, v, s))
+    return spark.createDataFrame(rows, "game_id long, event_num long, margin int, score string")
 
 
 def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
-@pytest.mark.parametrize("width", [1, 7, 50, 1 << 16])
-def test_forward_fill_segmented_equals_plain(spark, width):
+@pytest.mark.parametrize("rows", [2, 7, 50, 1000])
+def test_forward_fill_of_hot_groups_equals_plain(spark, rows):
     df = _frame(spark)
     cols = ["game_id", "event_num", "margin", "score"]
-    plain = forward_fill(df, ["margin", "score"], segment_width=None)
-    seg = forward_fill(df, ["margin", "score"], segment_width=width)
-    assert _rows(seg, cols) == _rows(plain, cols)
+    plain = forward_fill(df, ["margin", "score"], segment_rows=None)
+    cut = forward_fill(df, ["margin", "score"], segment_rows=rows)
+    assert _rows(cut, cols) == _rows(plain, cols)
 
 
 def test_forward_fill_properties(spark):
     df = _frame(spark)
-    once = forward_fill(df, ["margin"], segment_width=9)
-    twice = forward_fill(once, ["margin"], segment_width=9)
+    once = forward_fill(df, ["margin"], segment_rows=9)
+    twice = forward_fill(once, ["margin"], segment_rows=9)
     assert _rows(once, once.columns) == _rows(twice, twice.columns)
     # no null after the first non-null within a game
     pdf = once.toPandas().sort_values(["game_id", "event_num"])
@@ -50,29 +50,66 @@ def test_forward_fill_properties(spark):
                 raise AssertionError("null after a non-null value")
 
 
-@pytest.mark.parametrize("width", [1, 13, 1 << 16])
-def test_row_position_and_lag(spark, width):
+@pytest.mark.parametrize("rows", [1, 3, 13, 1000])
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_lag_of_hot_groups_equals_plain(spark, rows, n):
     df = _frame(spark)
     cols = ["game_id", "event_num", "margin", "m_lag"]
-    plain = lag_rows(df, "margin", 5, "m_lag", segment_width=None)
-    seg = lag_rows(df, "margin", 5, "m_lag", segment_width=width)
-    assert _rows(seg, cols) == _rows(plain, cols)
-    pos = row_position(df, out="p", segment_width=width)
-    ref = row_position(df, out="p", segment_width=None)
-    assert _rows(pos, ["game_id", "event_num", "p"]) == _rows(ref, ["game_id", "event_num", "p"])
+    plain = lag_rows(df, "margin", n, "m_lag", segment_rows=None)
+    cut = lag_rows(df, "margin", n, "m_lag", segment_rows=rows)
+    assert _rows(cut, cols) == _rows(plain, cols)
+
+
+def test_null_keys_and_ties(spark):
+    """Null group and order keys match each other; ties are ordered by the tiebreak."""
+    rnd = random.Random(3)
+    rows = [(g, rnd.choice([None, *range(6)]), i, rnd.choice([None, i]))
+            for i, g in enumerate([1] * 60 + [None] * 40 + [2] * 5)]
+    df = spark.createDataFrame(rows, "game_id long, event_num long, id int, margin int")
+    cols = ["game_id", "event_num", "id", "margin"]
+    for n in (1, 4):
+        plain = lag_rows(df, "margin", n, "out", tiebreak=["id"], segment_rows=None)
+        cut = lag_rows(df, "margin", n, "out", tiebreak=["id"], segment_rows=8)
+        assert _rows(cut, [*cols, "out"]) == _rows(plain, [*cols, "out"])
+    plain = forward_fill(df, ["margin"], tiebreak=["id"], segment_rows=None)
+    cut = forward_fill(df, ["margin"], tiebreak=["id"], segment_rows=8)
+    assert _rows(cut, cols) == _rows(plain, cols)
+
+
+def test_lag_meets_rows_before_null_order_keys(spark):
+    df = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, 1, 3), (1, 2, 4), (1, 3, 5)],
+                               "game_id long, event_num long, id int")
+    for rows in (2, None):
+        got = {r.id: r.prev for r in lag_rows(df, "id", 1, "prev", tiebreak=["id"], segment_rows=rows).collect()}
+        assert got == {1: None, 2: 1, 3: 2, 4: 3, 5: 4}
+
+
+@pytest.mark.parametrize("spread", [1, 1000])
+def test_segments_follow_rows_not_the_key_range(spark, spread):
+    df = _frame(spark, hot_rows=400, spread=spread)
+    cuts = hot_cuts(df, segment_rows=100).collect()
+    assert [r["__k0"] for r in cuts] == [1]
+    assert len(cuts[0]["__cuts"]) + 1 <= 400 // 100 + 1
+    assert hot_cuts(df, segment_rows=1000) is None
+
+
+def test_ordinary_games_take_the_plain_window(spark):
+    df = _frame(spark)
+    plan = lag_rows(df, "margin", 40, "out")._jdf.queryExecution().toString()
+    assert "__seg" not in plan and "Join" not in plan
 
 
 def test_lag_all_columns(spark):
     df = _frame(spark)
-    a = lag_all_columns(df, 3, segment_width=4)
-    b = lag_all_columns(df, 3, segment_width=None)
+    a = lag_all_columns(df, 3, segment_rows=4)
+    b = lag_all_columns(df, 3, segment_rows=None)
     assert sorted(a.columns) == sorted(b.columns)
     assert _rows(a, b.columns) == _rows(b, b.columns)
 
 
 def test_lag_first_rows_are_null(spark):
     df = _frame(spark)
-    out = lag_rows(df, "event_num", 40, "prev", segment_width=11)
+    out = lag_rows(df, "event_num", 40, "prev", segment_rows=11)
     per_game = out.groupBy("game_id").agg(F.count(F.lit(1)).alias("n"),
                                           F.count("prev").alias("with_prev")).collect()
     for r in per_game:
