@@ -2,21 +2,27 @@
 
 Words are runs of ``[^\\x20\\x09-\\x0D]`` unless an operator says otherwise, and
 only A-Z is lower-cased, so that Spark, Python and SQL agree byte for byte.
-Python workers import this package: ship it with ``--py-files`` on a cluster.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import string
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bits of the largest bitmap that is broadcast (16 MB).
+MAX_BITS = 1 << 27
+
 SPACES = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -91,7 +97,90 @@ def batches_of(rows: Iterable[tuple], schema: pa.Schema, size: int = 2000) -> It
             schema=schema)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the application, once, as
+    ``--py-files`` would: they import the operators' functions by name."""
+    app, package = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app in _SHIPPED or not package.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="courtline-code-")) / "courtline-code.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(app)
+
+
+def in_python(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with the workers supplied with this package."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def map_rows(df: DataFrame, fn, schema: str, arrow: pa.Schema) -> DataFrame:
     """``fn`` maps an iterator of row tuples to an iterator of row tuples, in
     Arrow batches; a task holds one batch at a time."""
-    return df.mapInArrow(lambda batches: batches_of(fn(rows_of(batches)), arrow), schema)
+    return in_python(df, lambda batches: batches_of(fn(rows_of(batches)), arrow), schema)
+
+
+_PAGE = 1 << 13  # bytes of a bitmap that travel as one row
+_PAGES = pa.schema([("page", pa.int64()), ("data", pa.binary())])
+
+
+def bitmap(keys: DataFrame, n_keys: int) -> np.ndarray:
+    """Bytes with two bits set for each ``key``; at most MAX_BITS bits, put together
+    by Spark, so the driver receives its pages only."""
+    bits = min(MAX_BITS, max(1 << 20, 1 << math.ceil(math.log2(64 * n_keys + 1))))
+    spots = keys.select(F.explode(F.array(*(
+        F.shiftrightunsigned("key", s).bitwiseAND(bits - 1) for s in (0, 32)))).alias("p"))
+    cells = spots.groupBy(F.shiftright("p", 3).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(p & 7 as int))")).alias("bits"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, value = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for page in np.unique(at // _PAGE).tolist():
+                data, here = np.zeros(_PAGE, np.uint8), at // _PAGE == page
+                data[at[here] % _PAGE] = value[here]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([page], pa.int64()), pa.array([data.tobytes()], pa.binary())],
+                    schema=_PAGES)
+
+    pages = in_python(cells.repartition(F.floor(F.col("at") / _PAGE)).sortWithinPartitions("at"), run,
+                      "page long, data binary")
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pages.collect():
+        out[r["page"] * _PAGE:(r["page"] + 1) * _PAGE] |= np.frombuffer(r["data"], np.uint8)
+    return out
+
+
+def in_bitmap(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Positions of the keys that may be in the table."""
+    mask = np.uint64(len(table) * 8 - 1)
+    hit = np.arange(len(keys))
+    for s in (0, 32):
+        p = (keys[hit] >> np.uint64(s)) & mask
+        hit = hit[(table[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+    return hit
+
+
+def only_listed(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose long ``column`` may be among the ``keys`` (a frame of
+    one long column), before they are shuffled to meet them: no listed row is lost,
+    and few others stay while there are fewer than MAX_BITS / 10 keys."""
+    spread = keys.select(F.xxhash64(keys.columns[0]).alias("key"))
+    table = df.sparkSession.sparkContext.broadcast(bitmap(spread, keys.count()))
+    schema = df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            hit = in_bitmap(key.view(np.uint64), table.value)
+            part = b.select(range(b.num_columns - 1))
+            if len(hit):
+                yield part.take(pa.array(hit))
+
+    return in_python(df.withColumn("_spread", F.xxhash64(column)), run, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a key that one task numbers, on average.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 10_000
 
 
 def number_within(df: DataFrame, key: str, order: list[str], name: str, total: int,

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import map_rows
+from courtline.llm.common import in_python, map_rows
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -166,4 +166,4 @@ def redact_secrets(docs: DataFrame, vocabulary: str, pattern: str, text: str = "
                     cols[length] = pa.array(n, b.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return in_python(docs, clean, docs.schema)

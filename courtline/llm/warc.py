@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm.common import batches_of
+from courtline.llm.common import batches_of, in_python
 
 CRLF = "\r\n"
 MIN_REVISIT_BYTES = 1000
@@ -235,7 +235,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 yield from batches_of((_row(h, x, with_payload) for h, x in parse(data)), _ARROW, 256)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(rows, _SCHEMA)
+    return in_python(files.select("content"), rows, _SCHEMA)
 
 
 def assemble(records: DataFrame) -> DataFrame:
