@@ -16,7 +16,7 @@ weight of its lexicon entry.  A document's score is a logistic function of the
 pattern sums, so a word alone decides nothing: its clause does.
 
 Learning uses labelled rows outside the held-out third only, at most
-``max_rows`` of them by hash of the id: word beginnings that mark toxic
+``max_rows`` of them by hash of the id, exact copies once: word beginnings that mark toxic
 documents (by log odds, G test against their number) join the hand-written
 lexicon, then the pattern weights are fitted by ridge regression.  All texts are
 scored whole.  Inputs of a score are the text and nothing else.
@@ -41,14 +41,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import batches_of, map_rows, rows_of
+from courtline.llm.common import batches_of, in_python, map_rows, rows_of
 from courtline.session import materialize
 
 THRESHOLD = 0.7
 MAX_ROWS = 20_000
 MAX_STEMS = 2_000
 MIN_TOXIC_DOCS = 4
+MIN_TOXIC_SHARE = 0.02  # of toxic documents, so that the words of a few near copies are no lexicon
 STEM_LENGTHS = range(3, 11)
+MIN_LOG_ODDS = 3.0
 
 # -- lexicon ----------------------------------------------------------------
 
@@ -239,8 +241,8 @@ def stem_counts(sample: DataFrame, limit: int = 1 << 20) -> DataFrame:
             yield from ((s, counts[1][s], counts[0][s]) for s in {*counts[0], *counts[1]})
         yield from batches_of(rows(), _STEMS, 1 << 14)
 
-    return sample.select("toxic", "text").mapInArrow(run, "stem string, toxic long, clean long").groupBy(
-        "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = in_python(sample.select("toxic", "text"), run, "stem string, toxic long, clean long")
+    return counts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _plogp(a: Column, expected: Column) -> Column:
@@ -257,13 +259,15 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int, max_stems: int) ->
     if not toxic or not clean:
         return Lexicon(priors, frozenset(THREATS))
     total = toxic + clean
-    counted = materialize(stem_counts(sample).filter(F.col("toxic") >= MIN_TOXIC_DOCS), "stems")
+    counted = materialize(stem_counts(sample).filter(
+        F.col("toxic") >= max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * toxic)), "stems")
     n = F.col("toxic") + F.col("clean")
     g = 2 * (_plogp(F.col("toxic"), n * toxic / total) + _plogp(F.col("clean"), n * clean / total)
              + _plogp(toxic - F.col("toxic"), (total - n) * toxic / total)
              + _plogp(clean - F.col("clean"), (total - n) * clean / total))
     odds = (F.ln((F.col("toxic") + 0.5) / (toxic + 1)) - F.ln((F.col("clean") + 0.5) / (clean + 1)))
-    scored = counted.select("stem", g.alias("g"), odds.alias("odds")).filter("odds > 1")
+    scored = counted.select("stem", g.alias("g"), odds.alias("odds")).filter(
+        F.col("odds") >= MIN_LOG_ODDS)
     tested = max(1, scored.count())
     best = scored.filter(F.col("g") >= 2 * math.log(20 * tested)).orderBy(
         F.desc("g"), F.desc(F.length("stem")), "stem").limit(max_stems).collect()
@@ -281,13 +285,21 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, f
     positive, less for negated and reported matches."""
     prior = np.array([2.0 / (1 + ("negated" in m) + ("reported" in m)) for _, m in PATTERNS] + [-3.0])
     a, w = np.c_[x, np.ones(len(x))], prior.copy()
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+
+    def loss(w):
+        z = a @ w
+        return np.logaddexp(0, z).sum() - y @ z + ridge / 2 * ((w - prior) ** 2).sum()
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
         gradient = a.T @ (p - y) + ridge * (w - prior)
         hessian = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        step, size, now = np.linalg.solve(hessian, gradient), 1.0, loss(w)
+        # a full step can overshoot where the classes are far apart
+        while size > 1e-6 and loss(w - size * step) > now - 1e-4 * size * (gradient @ step):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w[:-1], float(w[-1])
 
@@ -304,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MA
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     # at most max_rows rows of two numbers
     sample = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-                         .select("toxic", "text"), "labelled")
+                         .select("toxic", "text").distinct(), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     lexicon = learn_lexicon(sample, sizes.get(1, 0), sizes.get(0, 0), max_stems)
     rows = extract(sample, lexicon, "toxic int, x array<double>", _FEATURES,
