@@ -4,15 +4,18 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles.
 ``HASHES`` MinHash values are cut into bands, and documents that agree on a band
 share a bucket.  The same values fold into an odd sketch: each (index, value)
 flips one bit of a small bitmap, so the XOR of two bitmaps counts the values in
-which two documents differ, most precisely when they differ in few.  Candidates
-whose sketches rule out the threshold are dropped; the others are confirmed on
-the full sets.
+which two documents differ, most precisely when they differ in few.  A second bitmap holds
+the parities of the whole set: its XOR count is at most the symmetric difference,
+so it drops pairs without ever dropping a link, most of them where sets are not
+much larger than the bitmap.  The candidates left are confirmed on the full sets.
 
 The work stays linear in the size of a group of copies:
 
 * documents with equal sets form a class, aggregated before anything else, and
   only its smallest id goes on;
-* first, each member of a bucket is compared with the bucket's smallest id;
+* first, each member of a bucket is compared with the bucket's pivot; buckets of
+  different bands take different pivots (``PIVOTS`` orders of the ids), so that a
+  large group of near copies is joined through several of them;
 * pairs of members are compared only in buckets that still hold several
   components after that, in tiles of bounded size, by sketch, and only across
   components.  No pair is skipped otherwise: a bucket of any size is covered.
@@ -20,8 +23,8 @@ The work stays linear in the size of a group of copies:
 Links become components by label propagation with pointer jumping.
 
 Missed links: at Jaccard 0.85, a pair shares no band of 5 in 24 with probability
-(1 - 0.85^5)^24 < 1e-6; it differs in 18 of 120 values on average, standard
-deviation 3.9, and the sketch drops pairs from an estimate of 48 on.
+(1 - 0.85^5)^24 < 1e-6; it differs in 18 of 120 values on average, and the sketch
+drops pairs from 6.5 standard deviations above that on.
 
 Defined results: a null, empty or wordless text has an empty set, links with
 nothing and is its own component; shorter texts than five words are one shingle;
@@ -42,16 +45,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import WordHashes, batches_of, lower_words, map_rows, mix, rows_of, seeds, signed
+from courtline.llm.common import (WordHashes, batches_of, in_python, lower_words, map_rows, mix, only_listed,
+                                  rows_of, seeds, signed)
 from courtline.session import materialize
 
 WIDTH = 5
 BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 SKETCH_BITS = 512
+PARITY_BITS = 2048
 PERCENT = 85
-#: Sketches drop a pair estimated to differ in so large a share of the values.
-MAX_DIFFERENT = 0.4
+#: Sketches drop a pair this many standard deviations beyond the threshold.
+MARGIN = 6.5
+PIVOTS = 8
 TILE = 1024
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -101,11 +107,29 @@ class Signer:
         return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def most_differing_bits(hashes: int = HASHES, bits: int = SKETCH_BITS,
-                        share: float = MAX_DIFFERENT) -> int:
-    """XOR count expected if ``share`` of the values differ, each difference
-    flipping two bits."""
-    return round(bits / 2 * (1 - math.exp(-2 * 2 * share * hashes / bits)))
+def parities(items: np.ndarray, bits: int = PARITY_BITS) -> bytes:
+    """The parity of the number of set members in each of ``bits`` cells."""
+    odd = np.bincount((items % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_link(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches (rows of words) allow a link; ``sizes`` adds up the
+    sizes of each pair's sets."""
+    flipped = np.bitwise_count(one ^ two)
+    cut = SKETCH_BITS // 64
+    values = flipped[:, :cut].sum(axis=1, dtype=np.int64)
+    members = flipped[:, cut:].sum(axis=1, dtype=np.int64)
+    return ((values < most_differing_bits(percent))
+            & (members * (100 + percent) <= sizes * (100 - percent)))
+
+
+def most_differing_bits(percent: int, hashes: int = HASHES, bits: int = SKETCH_BITS) -> int:
+    """XOR count expected of a pair that differs in as many values as a pair at the
+    threshold ever does; a value that differs flips two bits."""
+    share = 1 - percent / 100
+    values = hashes * share + MARGIN * math.sqrt(hashes * share * (1 - share))
+    return math.ceil(bits / 2 * (1 - math.exp(-4 * values / bits))) + 1
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
@@ -123,7 +147,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield doc, 0, None, None, None
                 continue
             low = signer.minima(items)
-            yield (doc, len(items), xxhash.xxh3_128_digest(items.tobytes()), signer.sketch(low),
+            yield (doc, len(items), xxhash.xxh3_128_digest(items.tobytes()),
+                   signer.sketch(low) + parities(items),
                    signed(signer.keys(low)).tolist())
 
     return map_rows(docs, sign, "doc_id long, n_shingles long, digest binary, sketch binary, "
@@ -152,17 +177,20 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int)
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a, c = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-                    if b.num_rows else np.zeros((0, 1), np.uint8) for i in (2, 3))
-            few = np.bitwise_count(a ^ c).sum(axis=1, dtype=np.int64) < most_differing_bits()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(i).filter(pa.array(few)) for i in range(2)], names=["a", "b"])
-
-    near = near.select("a", "b", "sketch_a", "sketch_b").mapInArrow(similar, "a long, b long")
+            if b.num_rows:
+                one, two = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64)
+                            .reshape(b.num_rows, -1) for i in (2, 3))
+                ok = pa.array(may_link(one, two, b.column(4).to_numpy(), percent))
+                yield pa.RecordBatch.from_arrays([b.column(i).filter(ok) for i in range(2)],
+                                                 names=["a", "b"])
+
+    sizes = F.col("n_shingles_a") + F.col("n_shingles_b")
+    near = in_python(near.select("a", "b", "sketch_a", "sketch_b", sizes), similar, "a long, b long")
     near = materialize(near, "candidates")
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(shingle_sets(
-        docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])), "sets")
+    ids = materialize(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    # the texts stay where they are: their sets are made there, and few are moved
+    sets = shingle_sets(only_listed(docs, "doc_id", ids)).dropDuplicates(["doc_id"])
+    sets = materialize(sets.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
     both = F.size(F.array_intersect("items_a", "items_b"))
@@ -218,14 +246,13 @@ def across_components(members: DataFrame, percent: int) -> DataFrame:
                     yield from tile_pairs(group, low != high, percent)
         yield from batches_of(rows(), _PAIRS, 1 << 14)
 
-    return tiles.mapInArrow(run, "a long, b long").distinct()
+    return in_python(tiles, run, "a long, b long").distinct()
 
 
 def tile_pairs(rows: list[tuple], between: bool, percent: int) -> Iterator[tuple[int, int]]:
     part, rep, label, size = (np.array([r[i] for r in rows]) for i in (3, 4, 6, 7))
     tested = rep == np.array([r[5] for r in rows])  # the pivot met all members before
     sketch = np.frombuffer(b"".join(r[8] for r in rows), np.uint64).reshape(len(rows), -1)
-    limit = most_differing_bits()
     for i in range(len(rows) - 1):
         rest = slice(i + 1, None)
         ok = (label[rest] != label[i]) & ~tested[rest] & (not tested[i])
@@ -234,7 +261,7 @@ def tile_pairs(rows: list[tuple], between: bool, percent: int) -> Iterator[tuple
         ok &= 100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i])
         at = np.flatnonzero(ok) + i + 1
         if len(at):
-            near = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64) < limit
+            near = may_link(sketch[at], sketch[i:i + 1], size[at] + size[i], percent)
             for j in at[near].tolist():
                 yield int(min(rep[i], rep[j])), int(max(rep[i], rep[j]))
 
@@ -249,11 +276,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = materialize(usable.join(classes, F.col("doc_id") == F.col("rep"), "left_semi")
                        .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "keys"), "reps")
 
-    banded = reps.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n"))
-    members = materialize(banded.join(buckets.filter("n > 1").drop("n"), "key"), "members")
-
-    first = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    # XOR with a constant reorders the ids; the least of each order is the pivot
+    orders = F.array(*(F.lit(int(x)) for x in signed(seeds(PIVOTS, 4) >> np.uint64(1))))
+    banded = reps.select(F.col("doc_id").alias("rep"), F.posexplode("keys").alias("band", "key"))
+    banded = banded.select("rep", "key", F.get(orders, F.col("band") % PIVOTS).alias("order"))
+    buckets = banded.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(F.col("order"))).alias("least"),
+                                        F.count(F.lit(1)).alias("n"))
+    members = materialize(banded.join(buckets.filter("n > 1").drop("n"), "key").select(
+        "key", "rep", F.col("least").bitwiseXOR(F.col("order")).alias("pivot")), "members")
+
+    first = members.filter("rep <> pivot").select(F.least("pivot", "rep").alias("a"),
+                                                  F.greatest("pivot", "rep").alias("b"))
     links = confirmed(first.distinct(), reps, docs, percent)
     labels = components(links)
 

@@ -75,8 +75,8 @@ def test_chains_and_members_that_link_past_the_pivot(spark, monkeypatch):
 
 def test_tiles_cover_all_pairs_of_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "TILE", 3)
-    monkeypatch.setattr(near_dup, "most_differing_bits", lambda: 10 ** 6)
-    rows = [(1, i, 0, i, 100, bytes(64)) for i in range(20)]
+    monkeypatch.setattr(near_dup, "most_differing_bits", lambda percent: 10 ** 6)
+    rows = [(1, i, 0, i, 100, bytes(320)) for i in range(20)]
     members = spark.createDataFrame(rows, "key long, rep long, pivot long, label long, n_shingles long, sketch binary")
     pairs = {(r.a, r.b) for r in near_dup.across_components(members, 85).collect()}
     assert pairs == {(i, j) for i in range(1, 20) for j in range(i + 1, 20)}
@@ -93,11 +93,24 @@ def test_odd_sketches_keep_similar_sets(same):
         a, b = np.split(rng.integers(0, 2 ** 63, own, dtype=np.uint64), [own // 2])
         one, two = (np.frombuffer(signer.sketch(signer.minima(np.r_[shared, x])), np.uint8) for x in (a, b))
         bits.append(int(np.bitwise_count(one ^ two).sum()))
-    assert max(bits) < near_dup.most_differing_bits()
+    assert max(bits) < near_dup.most_differing_bits(85)
     estimate = -near_dup.SKETCH_BITS / 4 * np.log(1 - 2 * np.array(bits) / near_dup.SKETCH_BITS)
     assert abs(1 - estimate.mean() / near_dup.HASHES - same) < 0.02
 
 
+def test_parities_never_drop_a_link():
+    rng = np.random.default_rng(6)
+    for n in (3, 150, 5000):
+        shared = rng.integers(0, 2 ** 63, n * 85, dtype=np.uint64)
+        a, b = np.split(rng.integers(0, 2 ** 63, n * 15, dtype=np.uint64), [n * 7])
+        one, two = np.r_[shared, a], np.r_[shared, b]  # Jaccard similarity 0.85
+        words = [np.frombuffer(bytes(64) + near_dup.parities(x), np.uint64)[None] for x in (one, two)]
+        sizes = np.array([len(one) + len(two)])
+        assert near_dup.may_link(*words, sizes, 85).all()
+        if n == 3:
+            assert not near_dup.may_link(*words, sizes, 90).any()
+
+
 def test_shingles():
     h = WordHashes(size=4)
     assert len(near_dup.shingles(lower_words("a b c d e f g"), h)) == 3
