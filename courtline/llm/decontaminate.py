@@ -10,7 +10,8 @@ that until the target recall is reached (``repetitions``).
 
 Windows are as long as items.  They start at minimizers of the word pairs, so
 that an item and its copy within a document start their windows at the same
-words; an item is keyed from its first ``STARTS`` minimizers.  A walk from a start
+words; an item is keyed from its first ``STARTS`` minimizers, those in its second
+half left out but for the first.  A walk from a start
 serves all window sizes: an item of m words uses the size class of the largest
 class size not above m and samples steps that a walk makes within that size.
 Items too short to hold a minimizer are matched at every position.
@@ -36,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import WordHashes, batches_of, map_rows, mix, rows_of, seeds, signed
+from courtline.llm.common import (WordHashes, batches_of, bitmap, in_bitmap, in_python, map_rows, mix,
+                                  only_listed, rows_of, seeds, signed)
 from courtline.session import materialize
 
 WORD = re.compile(r"[^\W_]+")
@@ -44,12 +46,11 @@ MAX_EDIT_SHARE = 0.15
 TARGET_RECALL = 0.95
 #: Steps on which the walks of an item and a copy at the threshold agree.
 AGREEMENT = 0.7
-SAMPLES = 4
+SAMPLES = 5
 WALKS = 2
-MINIMIZER = 8
+MINIMIZER = 12
 STARTS = 4
 CLASSES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
-MAX_BITS = 1 << 27
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -160,7 +161,7 @@ _ITEM_KEYS = pa.schema([("item_id", pa.int64()), ("n_words", pa.int64()), ("word
 def item_starts(symbols: np.ndarray) -> list[tuple[int, int, bool]]:
     """(words skipped, size class, matched at every position) of an item's windows."""
     marks = minimizers(symbols)[:STARTS].tolist()
-    spots = [(m, False) for m in marks] or [(0, True)]
+    spots = [(m, False) for i, m in enumerate(marks) if not i or 2 * m <= len(symbols)] or [(0, True)]
     return [(a, max(c for c in CLASSES if c <= len(symbols) - a), every) for a, every in spots]
 
 
@@ -184,30 +185,6 @@ def item_keys(items: DataFrame) -> DataFrame:
                                 "everywhere boolean, key long", _ITEM_KEYS)
 
 
-def bitmap(keys: DataFrame, n_keys: int) -> np.ndarray:
-    """Bytes with two bits set for each key; at most MAX_BITS bits, built by
-    Spark, so the driver holds its words only."""
-    bits = min(MAX_BITS, max(1 << 20, 1 << math.ceil(math.log2(64 * n_keys + 1))))
-    spots = keys.select(F.explode(F.array(*(
-        F.shiftrightunsigned("key", s).bitwiseAND(bits - 1) for s in (0, 32)))).alias("p"))
-    words = spots.groupBy(F.shiftright("p", 3).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(p & 7 as int))")).alias("bits")).collect()
-    out = np.zeros(bits // 8, np.uint8)
-    for r in words:
-        out[r["at"]] = r["bits"]
-    return out
-
-
-def in_bitmap(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Positions of the keys that may be in the table."""
-    mask = np.uint64(len(table) * 8 - 1)
-    hit = np.arange(len(keys))
-    for s in (0, 32):
-        p = (keys[hit] >> np.uint64(s)) & mask
-        hit = hit[(table[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0]
-    return hit
-
-
 # -- documents --------------------------------------------------------------
 
 _FOUND = pa.schema([("uid", pa.int64()), ("start", pa.int64()), ("key", pa.int64())])
@@ -255,7 +232,7 @@ def survivors(docs: DataFrame, sizes: dict[int, bool], table, pad: int) -> DataF
 
         yield from batches_of(rows(), _FOUND, 1 << 14)
 
-    return docs.mapInArrow(run, "uid long, start long, key long")
+    return in_python(docs, run, "uid long, start long, key long")
 
 
 def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
@@ -296,7 +273,8 @@ def verified(places: DataFrame, share: float) -> DataFrame:
                 most = int(share * n)
                 a = max(0, s["begin"] - 2 * most)
                 region = symbols[a:max(0, s["begin"]) + n + 2 * most]
-                if len(region) < n - most:
+                # a word that the region lacks is an edit
+                if np.isin(item, region).sum() < n - most or best.get(s["item_id"], (1,))[0] == 0:
                     continue
                 edits, b, e = align(item, region)
                 if edits <= most:
@@ -338,7 +316,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         ["uid", "item_id", "words", "begin"])
     spots = places.groupBy(F.col("uid").alias("of")).agg(F.collect_list(
         F.struct("item_id", "words", "begin")).alias("spots"))
-    return verified(docs.dropDuplicates(["uid"]).join(spots, F.col("uid") == F.col("of")).select(
+    spots = materialize(spots, "spots")
+    held = only_listed(docs, "uid", spots.select("of")).dropDuplicates(["uid"])
+    return verified(held.join(spots, F.col("uid") == F.col("of")).select(
         "doc_id", "uid", "text", "spots"), max_edit_share)
 
 

@@ -5,7 +5,7 @@ import pytest
 
 from cases import ODD, docs, small_docs
 from courtline.llm import decontaminate as dc
-from courtline.llm.common import WordHashes
+from courtline.llm.common import WordHashes, bitmap, in_bitmap, only_listed
 
 RNG = random.Random(8)
 VOCABULARY = [f"w{i}" for i in range(3000)]
@@ -126,9 +126,16 @@ def test_empty_null_and_repeated(spark):
     assert dc.drop_leaks(df, items(spark, [])).count() == 4
 
 
+def test_only_listed_loses_no_row(spark):
+    df = spark.range(20_000).selectExpr("id as doc_id", "if(id % 2 = 0, null, 'x') as text")
+    kept = {r.doc_id for r in only_listed(df, "doc_id", spark.range(0, 20_000, 40)).collect()}
+    assert set(range(0, 20_000, 40)) <= kept and len(kept) < 600
+    assert only_listed(df, "doc_id", spark.range(0)).count() == 0
+
+
 def test_bitmap(spark):
     keys = np.random.default_rng(1).integers(-2 ** 63, 2 ** 63, 500)
-    table = dc.bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long"), 500)
-    assert len(dc.in_bitmap(keys.view(np.uint64), table)) == 500
+    table = bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long"), 500)
+    assert len(in_bitmap(keys.view(np.uint64), table)) == 500
     others = np.random.default_rng(2).integers(0, 2 ** 63, 20_000).view(np.uint64)
-    assert len(dc.in_bitmap(others, table)) < 20
+    assert len(in_bitmap(others, table)) < 20
