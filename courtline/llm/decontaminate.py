@@ -1,7 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, edit verification.
 
-Texts are compared as sequences of words (letters and digits, lower case).  The
-CGK walk copies the symbol under a pointer to its output at every step and then
+Texts are compared as sequences of words in lower case (ASCII characters other
+than letters and digits part words).  The CGK walk copies the symbol under a pointer to its output at every step and then
 moves the pointer on or not, as a random function of (step, symbol) tells.  Two
 texts at a small edit distance give outputs at a small Hamming distance, as both
 pointers fall into step again after an edit.  Sampling ``SAMPLES`` output steps
@@ -10,8 +10,8 @@ that until the target recall is reached (``repetitions``).
 
 Windows are as long as items.  They start at minimizers of the word pairs, so
 that an item and its copy within a document start their windows at the same
-words; an item is keyed from its first ``STARTS`` minimizers, those in its second
-half left out but for the first.  A walk from a start
+words; an item is keyed from its first ``STARTS`` minimizers, but for the first one
+only those in its first third.  A walk from a start
 serves all window sizes: an item of m words uses the size class of the largest
 class size not above m and samples steps that a walk makes within that size.
 Items too short to hold a minimizer are matched at every position.
@@ -29,7 +29,6 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ from courtline.llm.common import (WordHashes, batches_of, bitmap, in_bitmap, in_
                                   only_listed, rows_of, seeds, signed)
 from courtline.session import materialize
 
-WORD = re.compile(r"[^\W_]+")
+_PARTING = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MAX_EDIT_SHARE = 0.15
 TARGET_RECALL = 0.95
 #: Steps on which the walks of an item and a copy at the threshold agree.
@@ -64,8 +63,8 @@ def repetitions(recall: float = TARGET_RECALL, agreement: float = AGREEMENT,
 TABLES = -(-repetitions() // WALKS)
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").translate(_PARTING).split() if text else []
 
 
 def steps_of(size: int) -> int:
@@ -161,7 +160,7 @@ _ITEM_KEYS = pa.schema([("item_id", pa.int64()), ("n_words", pa.int64()), ("word
 def item_starts(symbols: np.ndarray) -> list[tuple[int, int, bool]]:
     """(words skipped, size class, matched at every position) of an item's windows."""
     marks = minimizers(symbols)[:STARTS].tolist()
-    spots = [(m, False) for i, m in enumerate(marks) if not i or 2 * m <= len(symbols)] or [(0, True)]
+    spots = [(m, False) for i, m in enumerate(marks) if not i or 3 * m <= len(symbols)] or [(0, True)]
     return [(a, max(c for c in CLASSES if c <= len(symbols) - a), every) for a, every in spots]
 
 

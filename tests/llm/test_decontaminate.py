@@ -41,7 +41,7 @@ def found(spark, texts, benchmark, **options):
 def test_exact_leaks_of_the_small_tables(spark):
     texts = [t for _, t in small_docs(spark)]
     benchmark = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
-    spell = lambda t: " " + " ".join(dc.words_of(t)) + " "
+    spell = lambda t: b" " + b" ".join(dc.words_of(t)) + b" "
     want = {(i, j) for i, t in enumerate(texts) for j, b in enumerate(benchmark) if spell(b) in spell(t)}
     got = found(spark, [*texts, *ODD], [*benchmark, None, "", "?!"])
     assert want and want <= set(got)
