@@ -8,13 +8,13 @@ pointers fall into step again after an edit.  Sampling ``SAMPLES`` output steps
 gives an LSH key; ``WALKS`` independent walks with ``TABLES`` samples each repeat
 that until the target recall is reached (``repetitions``).
 
-Windows are as long as items.  They start at minimizers of the word pairs, so
-that an item and its copy within a document start their windows at the same
-words; an item is keyed from its first ``STARTS`` minimizers, but for the first one
-only those in its first third.  A walk from a start
-serves all window sizes: an item of m words uses the size class of the largest
-class size not above m and samples steps that a walk makes within that size.
-Items too short to hold a minimizer are matched at every position.
+Windows are short, so that edits leave some of an item's windows alone, and they
+start all over the item: an item of ``LONG`` words or more at each minimizer of its word
+pairs, so that an item and its copy within a document start at the same words, a
+shorter one at every position.  An item is found if one key of one window is the same,
+and its begin is told from the window by the words before it.  A key that took its
+symbols from fewer places than its class asks for says little and is left out on both
+sides; an item without any other key uses a smaller size class.
 
 Keys of documents are tested in the task against a bitmap of the items' keys of
 at most ``MAX_BITS`` bits, whatever the number of items; survivors are joined with
@@ -28,6 +28,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -45,11 +46,14 @@ MAX_EDIT_SHARE = 0.15
 TARGET_RECALL = 0.95
 #: Steps on which the walks of an item and a copy at the threshold agree.
 AGREEMENT = 0.7
-SAMPLES = 5
+SAMPLES = 4
 WALKS = 2
-MINIMIZER = 12
-STARTS = 4
-CLASSES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
+MINIMIZER = 3
+#: Items of so many words have minimizers enough that some outlive the edits.
+LONG = 13
+#: Window sizes, with the item lengths from which they are used and the places that a
+#: key's symbols must come from.
+CLASSES = {1: (1, 1), 2: (2, 1), 3: (3, 1), 4: (4, 2), 6: (10, 4)}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -81,15 +85,27 @@ def sampled_steps(size: int, walk: int, table: int) -> list[int]:
     return sorted(order[:SAMPLES].tolist())
 
 
+def telling(size: int, walk: int, table: int) -> np.ndarray:
+    """Whether a key's symbols come from places enough, by the moves of the walk
+    before its last sample (a bit for each step)."""
+    steps = sampled_steps(size, walk, table)
+    path = np.arange(1 << steps[-1])
+    places = np.ones(len(path), np.int64)
+    for a, b in itertools.pairwise(steps):
+        places += (path & ((1 << b) - (1 << a))) > 0
+    return places >= CLASSES[size][1]
+
+
 class Embedder:
     """Keys of windows for the size classes in use."""
 
     def __init__(self, sizes: list[int]):
         self.sizes = sorted(sizes)
         self.steps = steps_of(self.sizes[-1]) if sizes else 0
-        self.salts = [seeds(self.steps // 64 + 1, 7000 + w) for w in range(WALKS)]
+        self.salts = [seeds(1, 7000 + w) for w in range(WALKS)]
         self.plan: list[dict[int, list[int]]] = []  # walk -> step -> keys that sample it
         self.key_size = [(c, w, t) for w in range(WALKS) for c in self.sizes for t in range(TABLES)]
+        self.telling = [telling(*key) for key in self.key_size]
         for walk in range(WALKS):
             at: dict[int, list[int]] = {}
             for i, (c, w, t) in enumerate(self.key_size):
@@ -98,9 +114,9 @@ class Embedder:
                         at.setdefault(s, []).append(i)
             self.plan.append(at)
 
-    def keys(self, symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(size class, keys at each start); ``symbols`` ends with enough padding
-        for a walk of ``self.steps`` steps from any start."""
+    def keys(self, symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size class, which of the starts have the key, their keys); ``symbols`` ends
+        with enough padding for a walk of ``self.steps`` steps from any start."""
         for walk in range(WALKS):
             salts, at = self.salts[walk], self.plan[walk]
             if not at:
@@ -108,20 +124,22 @@ class Embedder:
             held = {i: np.full(len(starts), seeds(1, c * 1009 + w * 101 + t)[0])
                     for i, (c, w, t) in enumerate(self.key_size) if w == walk}
             left = {i: len(sampled_steps(*self.key_size[i])) for i in held}
-            pointer, bits = starts.copy(), None
+            bits = mix(symbols ^ salts[0])
+            pointer, path = starts.copy(), np.zeros(len(starts), np.int64)
             for step in range(max(at) + 1):
-                if step % 64 == 0:
-                    bits = mix(symbols ^ salts[step // 64])
                 under = bits[pointer]
                 for i in at.get(step, ()):
                     held[i] *= _BASE
-                    held[i] += symbols[pointer] if step >= 64 else under
+                    held[i] += under
                     left[i] -= 1
                     if not left[i]:
-                        yield self.key_size[i][0], mix(held.pop(i))
-                under >>= np.uint64(step % 64)
+                        has = np.flatnonzero(self.telling[i][path])
+                        yield self.key_size[i][0], has, mix(held.pop(i)[has])
+                under >>= np.uint64(step)
                 under &= np.uint64(1)
-                pointer += under.view(np.int64)
+                moves = under.view(np.int64)
+                pointer += moves
+                path += moves << step
 
 
 def minimizers(symbols: np.ndarray, w: int = MINIMIZER) -> np.ndarray:
@@ -152,36 +170,45 @@ def padded(symbols: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]
 
 # -- items ------------------------------------------------------------------
 
-_ITEM_KEYS = pa.schema([("item_id", pa.int64()), ("n_words", pa.int64()), ("words", pa.list_(pa.int64())),
-                        ("size", pa.int32()), ("skip", pa.int32()), ("everywhere", pa.bool_()),
-                        ("key", pa.int64())])
+_ITEM_KEYS = pa.schema([("ref", pa.int64()), ("size", pa.int32()), ("skip", pa.int32()),
+                        ("everywhere", pa.bool_()), ("key", pa.int64())])
+
+
+def item_starts(symbols: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The words skipped by an item's windows, and whether they start everywhere."""
+    if len(symbols) < LONG:
+        return np.arange(len(symbols)), True
+    return minimizers(symbols), False
 
 
-def item_starts(symbols: np.ndarray) -> list[tuple[int, int, bool]]:
-    """(words skipped, size class, matched at every position) of an item's windows."""
-    marks = minimizers(symbols)[:STARTS].tolist()
-    spots = [(m, False) for i, m in enumerate(marks) if not i or 3 * m <= len(symbols)] or [(0, True)]
-    return [(a, max(c for c in CLASSES if c <= len(symbols) - a), every) for a, every in spots]
+def windows_of(symbols: np.ndarray, embedders: dict[int, Embedder]) -> tuple[int, bool, list[tuple[int, int]]]:
+    """(size class, whether matched at every position, (words skipped, key) of each window)."""
+    for size in sorted((c for c, (least, _) in CLASSES.items() if least <= len(symbols)), reverse=True):
+        e = embedders.setdefault(size, Embedder([size]))
+        data, _ = padded([symbols], e.steps + 1)
+        starts, every = item_starts(symbols)
+        starts = starts[starts <= len(symbols) - size]
+        found = [(skip, key) for _, has, keys in e.keys(data, starts)
+                 for skip, key in zip(starts[has].tolist(), signed(keys).tolist(), strict=True)]
+        if found:
+            return size, every, found
+    raise AssertionError("windows of one word have all their keys")
 
 
 def item_keys(items: DataFrame) -> DataFrame:
-    """One row per item, window start and key."""
+    """One row per item (ref, text), window start and key."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         hashes, embedders = WordHashes(), {}
-        for item, text in rows:
+        for ref, text in rows:
             symbols = hashes.of(words_of(text))
             if not len(symbols):
                 continue
-            for skip, size, every in item_starts(symbols):
-                e = embedders.setdefault(size, Embedder([size]))
-                data, _ = padded([symbols], e.steps + 1)
-                for _, key in e.keys(data, np.array([skip])):
-                    yield (item, len(symbols), signed(symbols).tolist(), size, skip, every,
-                           int(signed(key)[0]))
+            size, every, found = windows_of(symbols, embedders)
+            for skip, key in found:
+                yield ref, size, skip, every, key
 
-    return map_rows(items, run, "item_id long, n_words long, words array<long>, size int, skip int, "
-                                "everywhere boolean, key long", _ITEM_KEYS)
+    return map_rows(items, run, "ref long, size int, skip int, everywhere boolean, key long", _ITEM_KEYS)
 
 
 # -- documents --------------------------------------------------------------
@@ -209,9 +236,9 @@ def survivors(docs: DataFrame, sizes: dict[int, bool], table, pad: int) -> DataF
                 places = places[inside[places]]
                 for a in range(0, len(places), 1 << 16):
                     part = places[a:a + (1 << 16)]
-                    for _, keys in embedder.keys(data, part):
+                    for _, has, keys in embedder.keys(data, part):
                         hit = in_bitmap(keys, table.value)
-                        for p, k in zip(part[hit].tolist(), signed(keys[hit]).tolist(), strict=True):
+                        for p, k in zip(part[has[hit]].tolist(), signed(keys[hit]).tolist(), strict=True):
                             doc = int(np.searchsorted(firsts, p, "right")) - 1
                             yield uids[doc], p - int(firsts[doc]), k
 
@@ -257,29 +284,39 @@ _MATCH = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("item_id", pa.
                     ("end", pa.int64())])
 
 
+def stretches(begins: list[int], reach: int) -> Iterator[tuple[int, int]]:
+    """First and last of the begins that lie within ``reach`` of each other."""
+    begins, at = sorted(begins), 0
+    for i in range(1, len(begins) + 1):
+        if i == len(begins) or begins[i] > begins[at] + reach:
+            yield begins[at], begins[i - 1]
+            at = i
+
+
 def verified(places: DataFrame, share: float) -> DataFrame:
-    """``places`` (doc_id, uid, text, list of (item_id, words, begin)) to matches."""
+    """``places`` (doc_id, uid, text, list of (item_id, item, begins)) to matches."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         hashes = WordHashes()
         for doc, uid, text, spots in rows:
             symbols = hashes.of(words_of(text))
-            best: dict[int, tuple[int, int, int]] = {}
-            n_words: dict[int, int] = {}
+            best: dict[int, tuple[int, int, int, int]] = {}
             for s in spots:
-                item = np.array(s["words"], np.int64).view(np.uint64)
-                n = n_words[s["item_id"]] = len(item)
+                item = hashes.of(words_of(s["item"]))
+                n, found = len(item), s["item_id"]
                 most = int(share * n)
-                a = max(0, s["begin"] - 2 * most)
-                region = symbols[a:max(0, s["begin"]) + n + 2 * most]
-                # a word that the region lacks is an edit
-                if np.isin(item, region).sum() < n - most or best.get(s["item_id"], (1,))[0] == 0:
-                    continue
-                edits, b, e = align(item, region)
-                if edits <= most:
-                    best[s["item_id"]] = min(best.get(s["item_id"], (n, 0, 0)), (edits, a + b, a + e))
-            for item_id, (edits, b, e) in best.items():
-                yield doc, uid, item_id, n_words[item_id], edits, b, e
+                # windows of one copy tell begins that differ by its edits
+                for low, high in stretches(s["begins"], 2 * most):
+                    a = max(0, low - 2 * most)
+                    region = symbols[a:max(0, high) + n + 2 * most]
+                    # a word that the region lacks is an edit
+                    if np.isin(item, region).sum() < n - most or best.get(found, (1,))[0] == 0:
+                        continue
+                    edits, b, e = align(item, region)
+                    if edits <= most:
+                        best[found] = min(best.get(found, (n, 0, 0, n)), (edits, a + b, a + e, n))
+            for item_id, (edits, b, e, n) in best.items():
+                yield doc, uid, item_id, n, edits, b, e
 
     return map_rows(places, run, "doc_id long, uid long, item_id long, n_words long, edits long, "
                                  "begin long, end long", _MATCH)
@@ -300,8 +337,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        identity(doc_id, text).alias("uid"), F.col(text).alias("text"))
-    items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    keys = materialize(item_keys(items), "item_keys")
+    items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("item"))
+    items = items.withColumn("ref", identity("item_id", "item")).dropDuplicates(["ref"])
+    keys = materialize(item_keys(items.select("ref", "item")), "item_keys")
     used = keys.groupBy("size").agg(F.max("everywhere").alias("every"), F.count(F.lit(1)).alias("n"))
     used = used.collect()  # at most one row per class
     if not used:
@@ -310,11 +348,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     table = spark.sparkContext.broadcast(bitmap(keys, sum(r["n"] for r in used)))
     pad = steps_of(max(sizes)) + 1
     found = materialize(survivors(docs.select("uid", "text"), sizes, table, pad), "survivors")
-    places = found.join(keys, "key").select(
-        "uid", "item_id", "words", (F.col("start") - F.col("skip")).alias("begin")).dropDuplicates(
-        ["uid", "item_id", "words", "begin"])
-    spots = places.groupBy(F.col("uid").alias("of")).agg(F.collect_list(
-        F.struct("item_id", "words", "begin")).alias("spots"))
+    places = found.join(keys, "key").groupBy("uid", "ref").agg(
+        F.collect_set(F.col("start") - F.col("skip")).alias("begins"))
+    spots = places.join(items, "ref").groupBy(F.col("uid").alias("of")).agg(F.collect_list(
+        F.struct("item_id", "item", "begins")).alias("spots"))
     spots = materialize(spots, "spots")
     held = only_listed(docs, "uid", spots.select("of")).dropDuplicates(["uid"])
     return verified(held.join(spots, F.col("uid") == F.col("of")).select(

@@ -139,3 +139,30 @@ def test_bitmap(spark):
     assert len(in_bitmap(keys.view(np.uint64), table)) == 500
     others = np.random.default_rng(2).integers(0, 2 ** 63, 20_000).view(np.uint64)
     assert len(in_bitmap(others, table)) < 20
+
+
+def with_edits(words, n):
+    """``n`` random edits, added words all different."""
+    words = list(words)
+    for k in range(n):
+        i = RNG.randrange(len(words))
+        match RNG.randrange(3):
+            case 0:
+                words[i] = f"edited{k}"
+            case 1:
+                words.insert(i, f"added{k}")
+            case _:
+                del words[i]
+    return words
+
+
+def test_recall_by_length_at_the_threshold(spark):
+    """Every copy lies within the threshold, so brute force finds all."""
+    lengths = [length for length in (7, 8, 9, 10, 12, 13, 16, 20, 27, 40, 64, 300) for _ in range(60)]
+    benchmark = [sentence(length) for length in lengths]
+    texts = [" ".join([*sentence(30), *with_edits(b, int(dc.MAX_EDIT_SHARE * len(b))), *sentence(30)])
+             for b in benchmark]
+    got = set(found(spark, texts, [" ".join(b) for b in benchmark]))
+    for length in set(lengths):
+        same = [i for i, n in enumerate(lengths) if n == length]
+        assert len(got & {(i, i) for i in same}) >= dc.TARGET_RECALL * len(same), length
