@@ -166,3 +166,13 @@ def test_recall_by_length_at_the_threshold(spark):
     for length in set(lengths):
         same = [i for i, n in enumerate(lengths) if n == length]
         assert len(got & {(i, i) for i in same}) >= dc.TARGET_RECALL * len(same), length
+
+
+def test_edits_gathered_at_one_end(spark):
+    benchmark = [sentence(1000) for _ in range(3)]
+    cut, rewritten, gathered = benchmark
+    places = set(RNG.sample(range(256), 150))
+    texts = [[*sentence(50), *cut[150:], *sentence(50)], [*sentence(150), *rewritten[150:]],
+             [f"edited{i}" if i in places else w for i, w in enumerate(gathered)]]
+    got = set(found(spark, [" ".join(t) for t in texts], [" ".join(b) for b in benchmark]))
+    assert got == {(i, i) for i in range(3)}
