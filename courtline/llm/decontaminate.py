@@ -1,7 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, edit verification.
 
-Texts are compared as sequences of words in lower case (ASCII characters other
-than letters and digits part words).  The CGK walk copies the symbol under a pointer to its output at every step and then
+Texts are compared as sequences of words in lower case (punctuation, symbols, spaces
+and controls part words).  The CGK walk copies the symbol under a pointer to its output at every step and then
 moves the pointer on or not, as a random function of (step, symbol) tells.  Two
 texts at a small edit distance give outputs at a small Hamming distance, as both
 pointers fall into step again after an edit.  Sampling ``SAMPLES`` output steps
@@ -28,8 +28,10 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,7 @@ from courtline.llm.common import (WordHashes, batches_of, bitmap, in_bitmap, in_
 from courtline.session import materialize
 
 _PARTING = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+_ASCII = bytes(range(128))
 MAX_EDIT_SHARE = 0.15
 TARGET_RECALL = 0.95
 #: Steps on which the walks of an item and a copy at the threshold agree.
@@ -67,8 +70,22 @@ def repetitions(recall: float = TARGET_RECALL, agreement: float = AGREEMENT,
 TABLES = -(-repetitions() // WALKS)
 
 
+@functools.lru_cache(1 << 16)
+def parts(char: str) -> bool:
+    return unicodedata.category(char)[0] in "PSZC"
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_PARTING).split() if text else []
+    if not text:
+        return []
+    text = text.lower()
+    data = text.encode("utf-8", "surrogatepass")
+    if not text.isascii():
+        # its characters beyond ASCII, each looked at once
+        for char in set(data.translate(None, _ASCII).decode("utf-8", "surrogatepass")):
+            if parts(char):
+                data = data.replace(char.encode("utf-8", "surrogatepass"), b" ")
+    return data.translate(_PARTING).split()
 
 
 def steps_of(size: int) -> int:

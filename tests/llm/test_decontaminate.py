@@ -176,3 +176,10 @@ def test_edits_gathered_at_one_end(spark):
              [f"edited{i}" if i in places else w for i, w in enumerate(gathered)]]
     got = set(found(spark, [" ".join(t) for t in texts], [" ".join(b) for b in benchmark]))
     assert got == {(i, i) for i in range(3)}
+
+
+def test_words_part_at_unicode_punctuation_and_spaces():
+    assert dc.words_of("of\u00a0these\u00a0animals\u2014cat") == [b"of", b"these", b"animals", b"cat"]
+    assert dc.words_of("\u201cSí\u201d\u2026 l\u2019été\u3000中文。é") == [
+        w.encode() for w in ("sí", "l", "été", "中文", "é")]
+    assert dc.words_of("l'e\u0301te\u0301 a_b") == [b"l", "e\u0301te\u0301".encode(), b"a", b"b"]
