@@ -203,12 +203,12 @@ class Scanner:
         self.prefilter = re.compile("|".join(sorted(map(re.escape, self.by_keyword),
                                                     key=len, reverse=True)))
 
-    def detections(self, line: str, words: set[str]) -> list[tuple[int, int, int]]:
+    def detections(self, line: str) -> list[tuple[int, int, int]]:
         """(start, end, rule) by characters of the line, after suppression."""
         if not self.prefilter.search(line):
             return []
         found = [(m.start(), m.end(), i)
-                 for k in self.by_keyword if k in words for i in self.by_keyword[k]
+                 for k in self.by_keyword if k in line for i in self.by_keyword[k]
                  for m in self.rules[i][1].finditer(line)]
         return suppress(found)
 
@@ -262,7 +262,7 @@ def scan_text(text: str, scanner: Scanner) -> tuple:
     line = " ".join(words)
     hits = [{"label": (r := scanner.rules[i][0]).label, "word": line.count(" ", 0, a),
              "n_words": line.count(" ", a, b) + 1, "weight": r.weight}
-            for a, b, i in scanner.detections(line, seen)]
+            for a, b, i in scanner.detections(line)]
     score = max([0.0, *(1.0 for _ in base), *(h["weight"] for h in hits)])
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(base | {h["label"] for h in hits})), score, hits)

@@ -48,6 +48,13 @@ def test_keywords_occur_in_what_their_patterns_match():
         assert re.search(rf"(?<![a-z0-9]){re.escape(r.keyword)}(?![a-z0-9])", re.sub(r"\(\?:|[()?]", " ", r.pattern)), r
 
 
+def test_joined_spellings():
+    for text, label in (("released as GPLv3", "gpl-3"), ("GPL3", "gpl-3"), ("GPLv2+ only", "gpl-2"),
+                        ("under LGPLv2.1 or later", "lgpl-2.1-or-later"), ("AGPLv3.", "agpl-3"),
+                        ("AGPLv3 or later", "agpl-3-or-later")):
+        assert labels(text) == label, text
+
+
 def test_priority_and_containment():
     assert licenses.suppress([(0, 10, 3), (2, 8, 0), (0, 10, 1), (8, 14, 2)]) == [(0, 10, 1), (8, 14, 2)]
     assert "cc-by-nc" not in labels("cc by nc sa 4 0").split(",")
