@@ -49,4 +49,33 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from counts"""
 
 
-ORACLES = {"op9_quality": _quality()}
+_FIM = r"""
+with d as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+    sha256('7:' || coalesce(doc_id::varchar, '')) as h
+  from documents),
+lines as (
+  select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as l from d),
+picks as (
+  select *, len(l)::bigint as n, ('0x' || h[1:8])::ubigint % (len(l) + 1) as p1,
+    ('0x' || h[9:16])::ubigint % (len(l) + 1) as p2, ('0x' || h[17:24])::ubigint % 100 as r,
+    ('0x' || h[25:32])::ubigint % 100 as s
+  from lines),
+parts as (
+  select doc_id, t, n,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or r >= 100
+      then 'plain' when s < 50 then 'spm' else 'psm' end as form,
+    array_to_string(l[1:least(p1, p2)::bigint], '') as prefix,
+    array_to_string(l[least(p1, p2)::bigint + 1:greatest(p1, p2)::bigint], '') as middle,
+    array_to_string(l[greatest(p1, p2)::bigint + 1:], '') as suffix
+  from picks)
+select doc_id, n, form, if(form = 'plain', null, length(prefix)) as prefix_chars,
+  if(form = 'plain', null, length(middle)) as middle_chars,
+  sha256(case form when 'plain' then t
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts"""
+
+
+ORACLES = {"op9_quality": _quality(), "op11_fim": _FIM}

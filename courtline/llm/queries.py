@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import decontaminate, licenses, near_dup, packing, quality, secrets, sharding, suffix_tree, toxicity, warc
+from courtline.llm import (decontaminate, fim, licenses, near_dup, packing, quality, secrets, sharding,
+                           suffix_tree, toxicity, warc, whitening)
 from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
@@ -73,6 +74,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("detections")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = fim.transform_documents(read(spark, sf_dir, "documents"))
+    return fim.restore_documents(outputs).drop("text")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +94,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
+    "op11_fim": op11_fim,
+    "op13_whitening": op13_whitening,
 }
 
 
