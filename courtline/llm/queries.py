@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import (decontaminate, fim, licenses, near_dup, packing, quality, secrets, sharding,
-                           suffix_tree, toxicity, warc, whitening)
+from courtline.llm import (decontaminate, fim, language, licenses, near_dup, packing, quality, secrets,
+                           sharding, suffix_tree, toxicity, warc, whitening)
 from courtline.llm.common import crc_mod
 from courtline.llm.oracles import ORACLES
 from courtline.session import scratch_path
@@ -79,6 +79,12 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.restore_documents(outputs).drop("text")
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fifth = crc_mod(F.col("doc_id"), 5)
+    return language.predict_documents(docs, language.train(docs, usable=fifth != 0), held_out=fifth == 0)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_embeddings(read(spark, sf_dir, "embeddings"))
 
@@ -95,6 +101,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
     "op11_fim": op11_fim,
+    "op12_language": op12_language,
     "op13_whitening": op13_whitening,
 }
 
