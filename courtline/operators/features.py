@@ -16,7 +16,7 @@ from courtline.functions import constants as K
 from courtline.functions.expressions import (as_timestamp, replace_values, season_start_year,
                                              season_two_digits, time_of_day)
 from courtline.operators.quality import expectation_report
-from courtline.operators.windows import SEGMENT_ROWS, lag_rows
+from courtline.operators.windows import SEGMENT_ROWS, Cuts, lag_rows
 
 
 def drop_columns(df: DataFrame, cols: Sequence[str] = K.FEATURE_DROP_COLUMNS) -> DataFrame:
@@ -62,8 +62,8 @@ def clock_time(df: DataFrame, col: str = "wc_time_string", out: str = "time_of_d
 
 
 def momentum(df: DataFrame, n: int = K.MOMENTUM_LAG, value: str = "score_margin_complete",
-             segment_rows: int | None = SEGMENT_ROWS, drop_warmup: bool = True
-             ) -> DataFrame:
+             segment_rows: int | None = SEGMENT_ROWS, drop_warmup: bool = True,
+             cuts: Cuts | None = None) -> DataFrame:
     """``value`` n events ago within the game, and the change since then.
 
     The first ``n`` plays of a game have no lagged value and are dropped when
@@ -72,7 +72,7 @@ def momentum(df: DataFrame, n: int = K.MOMENTUM_LAG, value: str = "score_margin_
     lagged_name = f"score_margin_{n}_events_ago" if value == "score_margin_complete" \
         else f"{value}_{n}_events_ago"
     out = lag_rows(df, value, n, lagged_name, by="game_id", order="event_num",
-                   segment_rows=segment_rows)
+                   segment_rows=segment_rows, cuts=cuts)
     out = out.withColumn(f"momentum_{n}", F.col(value) - F.col(lagged_name))
     if drop_warmup:
         out = out.na.drop(subset=[f"momentum_{n}"])
@@ -112,11 +112,12 @@ def unlisted(df: DataFrame, values: dict[str, Sequence]) -> DataFrame:
 
 def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
                  n: int = K.MOMENTUM_LAG, segment_rows: int | None = SEGMENT_ROWS,
-                 dedup: bool = True) -> DataFrame:
+                 dedup: bool = True, cuts: Cuts | None = None) -> DataFrame:
     """Silver -> cleaned, calendar, lagged frame (before one-hot).
 
     ``dedup=False`` skips the whole-row de-duplication (a full shuffle) when
-    the input is known to be distinct already, as the play silver is.
+    the input is known to be distinct already, as the play silver is.  ``cuts`` may be
+    those of the plays that silver was made from: the filters only take rows away.
     """
     df = silver.dropDuplicates() if dedup else silver
     df = drop_columns(df)
@@ -127,7 +128,7 @@ def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict |
         df = rename_teams(df, renames)
     df = calendar_features(df)
     df = df.withColumn("game_year", season_start_year(F.col("season")))
-    return momentum(df, n, segment_rows=segment_rows)
+    return momentum(df, n, segment_rows=segment_rows, cuts=cuts)
 
 
 def feature_table(base: DataFrame, values: dict[str, Sequence],

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions import constants as K
 from courtline.functions.expressions import col_of, join_names, margin_to_int, to_int
-from courtline.operators.windows import SEGMENT_ROWS, forward_fill
+from courtline.operators.windows import SEGMENT_ROWS, Cuts, forward_fill, hot_cuts
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -76,27 +76,36 @@ SEGMENT_COLUMN = "__event_segment"
 
 def fill_scores_forward(df: DataFrame, cols: Sequence[str] = K.SCORE_COLUMNS,
                         segment_rows: int | None = SEGMENT_ROWS,
-                        keep_segment: bool = False, counted: DataFrame | None = None) -> DataFrame:
+                        keep_segment: bool = False, cuts: Cuts | None = None,
+                        digest_of: Sequence[str] | None = None) -> DataFrame:
     """Carry the last known score values forward within each game, by event order.
 
-    ``keep_segment`` keeps the event-segment id (a function of ``event_num``), if
-    games are cut, so the de-duplication after it reuses the window's
-    partitioning.  ``counted``: see ``forward_fill``.
+    ``keep_segment`` keeps the event-segment id where it is a function of ``event_num``,
+    so the de-duplication after it reuses the window's partitioning.  ``cuts`` and
+    ``digest_of``: see ``forward_fill``.
     """
     return forward_fill(df, _present(df, cols), by="game_id", order="event_num",
-                        segment_rows=segment_rows, counted=counted,
+                        segment_rows=segment_rows, cuts=cuts, digest_of=digest_of,
                         segment_column=SEGMENT_COLUMN if keep_segment else None)
 
 
 COPIES_PER_ARRAY = 10_000
 
 
-def fill_with_copies(df: DataFrame, segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
-    """``fill_scores_forward`` of rows that may be copies: a row and its copies are
-    filled as one and repeated afterwards, so a row copied many times is no load on
-    its game's window.  Copies carry equal values, so the result is the same."""
+def fill_with_copies(df: DataFrame, segment_rows: int | None = SEGMENT_ROWS,
+                     cuts: Cuts | None = None) -> DataFrame:
+    """``fill_scores_forward`` of rows that may be copies.
+
+    Games are counted with their copies, so without a hot game no row has many and the
+    plain window runs.  Otherwise a row and its copies are filled as one and repeated
+    afterwards, so a row copied many times is no load on its game's window.  Copies
+    carry equal values, so the result is the same.
+    """
+    cuts = hot_cuts(df, segment_rows=segment_rows) if cuts is None else cuts
+    if cuts.empty:
+        return fill_scores_forward(df, cuts=cuts)
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    filled = fill_scores_forward(counted, segment_rows=segment_rows, counted=df)
+    filled = fill_scores_forward(counted, cuts=cuts, digest_of=df.columns)
     size = F.lit(COPIES_PER_ARRAY)
     # two steps, so that no array is longer than the copies of a chunk
     chunks = filled.select("*", F.explode(F.sequence(
@@ -121,31 +130,36 @@ def complete_scores(df: DataFrame) -> DataFrame:
 def dedup(df: DataFrame) -> DataFrame:
     """Whole-row de-duplication (partial aggregation collapses copies map-side).
 
-    If the frame carries the event-segment column of the forward fill, the
-    rows are already hash-partitioned by (game, segment), a subset of the
-    whole-row key, so no second shuffle is planned; the column is a function
-    of ``event_num`` and is dropped afterwards.
+    Rows that come from the fill's window are already hash-partitioned by game, or,
+    if the frame carries its event-segment column, by (game, segment): a subset of the
+    whole-row key, so no second shuffle is planned.  The column is a function of
+    ``event_num`` and is dropped afterwards.
     """
     out = df.dropDuplicates()
     return out.drop(SEGMENT_COLUMN) if SEGMENT_COLUMN in df.columns else out
 
 
-def play_by_play_silver(bronze: DataFrame, sep: str = "_",
-                        segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
+def named_plays(bronze: DataFrame, sep: str = "_") -> DataFrame:
+    """Projected, typed and named plays: what the fill reads."""
+    return merge_names(type_play_columns(project_play_columns(bronze)), sep)
+
+
+def play_by_play_silver(bronze: DataFrame, sep: str = "_", segment_rows: int | None = SEGMENT_ROWS,
+                        cuts: Cuts | None = None) -> DataFrame:
     """Typed, named, filled, completed, de-duplicated plays.
 
-    Exact copies are removed *before* the fill as well as after it.  Before:
-    partial aggregation collapses copies map-side, so a row copied a billion
-    times never reaches the per-game window as one giant task (copies carry
-    identical fill values, so the result is unchanged).  After: rows that only
-    became identical through the fill; that dedup reuses the window's
-    partitioning and adds no shuffle.
+    Without a hot game, copies counted, the plain window fills the raw rows and the
+    de-duplication after it reuses its partitioning: one shuffle.  With one, exact copies
+    are removed *before* the fill as well as after it.  Before: partial aggregation
+    collapses copies map-side, so a row copied a billion times never reaches the
+    per-game window as one giant task (copies carry identical fill values, so the
+    result is unchanged).  After: rows that only became identical through the fill.
     """
-    named = merge_names(type_play_columns(project_play_columns(bronze)), sep)
-    df = fill_scores_forward(named.dropDuplicates(), segment_rows=segment_rows, keep_segment=True,
-                             counted=named)
-    df = complete_scores(df)
-    return dedup(df)
+    named = named_plays(bronze, sep)
+    cuts = hot_cuts(named, segment_rows=segment_rows) if cuts is None else cuts
+    rows = named if cuts.empty else named.dropDuplicates()
+    df = fill_scores_forward(rows, keep_segment=True, cuts=cuts)
+    return dedup(complete_scores(df))
 
 
 def overall_game_silver(bronze: DataFrame, columns: Sequence[str] = K.GAME_COLUMNS,

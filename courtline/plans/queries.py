@@ -1,8 +1,10 @@
 """The query registry: one entry per operator of the inventory.
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the whole test tables.
-``Inputs`` builds the shared upstream frames lazily (plans only; nothing runs
-until the caller acts on the returned frame).
+``Inputs`` builds the shared upstream frames lazily.  One job runs when the first plan
+over the play silver of an input is built, the count of its games (``Inputs.cuts``);
+otherwise nothing runs until the caller acts on the returned frame, but for the
+copies and tables that a query says it writes.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ from courtline.operators import medallion as M
 from courtline.operators import modeling as ML
 from courtline.operators import profile as PR
 from courtline.operators import quality as Q
-from courtline.operators.windows import lag_all_columns, lag_rows
+from courtline.operators.windows import Cuts, hot_cuts, lag_all_columns, lag_rows
 from courtline.plans import params as P
 from courtline.plans.pipeline import medallion
-from courtline.session import materialize, scratch_path, shared_copy
+from courtline.session import input_version, scratch_path, shared_copy, shared_value
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
 from courtline.sources.fixtures import game_bronze, play_by_play_bronze
@@ -44,10 +46,20 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cached_property
+    def version(self) -> str:
+        return input_version(self.spark, self.sf_dir.rstrip("/"))
+
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A frame written once per application and input for all queries that read
-        it more than once; a lost executor re-reads files."""
-        return shared_copy(self.spark, name, self.sf_dir.rstrip("/"), build)
+        """A frame written once per application and version of the input for all queries
+        that read it more than once; a lost executor re-reads files."""
+        return shared_copy(self.spark, name, self.version, build)
+
+    @cached_property
+    def cuts(self) -> Cuts:
+        """The hot games and where they are cut: one count per application and version
+        of the input, for the fill, the lag and all that reads silver."""
+        return shared_value(self.spark, "event cuts", self.version, lambda: hot_cuts(self.named))
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -71,7 +83,7 @@ class Inputs:
 
     @cached_property
     def filled(self) -> DataFrame:
-        return M.fill_with_copies(self.named)
+        return M.fill_with_copies(self.named, cuts=self.cuts)
 
     @cached_property
     def completed(self) -> DataFrame:
@@ -79,7 +91,7 @@ class Inputs:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return M.play_by_play_silver(self.bronze)
+        return M.play_by_play_silver(self.bronze, cuts=self.cuts)
 
     @cached_property
     def silver_shared(self) -> DataFrame:
@@ -119,7 +131,8 @@ class Inputs:
     @cached_property
     def feature_base(self) -> DataFrame:
         # silver is distinct by construction (its last step is the dedup)
-        return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False)
+        return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False,
+                               cuts=self.cuts)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -461,8 +474,9 @@ def time_of_day(spark, sf_dir):
 
 
 def lag_40(spark, sf_dir):
-    s = _in(spark, sf_dir).silver_shared.select("game_id", "event_num", "score_margin_complete")
-    return lag_rows(s, "score_margin_complete", K.MOMENTUM_LAG, "score_margin_40_events_ago")
+    i = _in(spark, sf_dir)
+    s = i.silver_shared.select("game_id", "event_num", "score_margin_complete")
+    return lag_rows(s, "score_margin_complete", K.MOMENTUM_LAG, "score_margin_40_events_ago", cuts=i.cuts)
 
 
 def momentum(spark, sf_dir):
@@ -471,8 +485,9 @@ def momentum(spark, sf_dir):
 
 def one_game_lag(spark, sf_dir):
     # one game of silver: the filter reaches the scans
-    g = _in(spark, sf_dir).silver.filter(F.col("game_id") == P.ONE_GAME_ID)
-    return lag_all_columns(g, K.MOMENTUM_LAG, keep=(), suffix="")
+    i = _in(spark, sf_dir)
+    g = i.silver.filter(F.col("game_id") == P.ONE_GAME_ID)
+    return lag_all_columns(g, K.MOMENTUM_LAG, keep=(), suffix="", cuts=i.cuts)
 
 
 def one_hot(spark, sf_dir):

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zlib
 
 from pyspark.sql import SparkSession
 
@@ -99,19 +100,39 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base}/courtline-scratch/{spark.sparkContext.applicationId}"
 
 
-_SHARED: dict[tuple[str, str, str], str] = {}
+_SHARED: dict[tuple[str, str, str], object] = {}
 
 
-def shared_copy(spark: SparkSession, name: str, source: str, build):
-    """``materialize(build(), name)``, once for each (application, source, name):
-    later calls read the copy.  ``source`` names the input, which must not change
-    while the copy is in use; ``release_scratch`` forgets all copies."""
+def input_version(spark: SparkSession, folder: str) -> str:
+    """``folder`` with a digest of its files' names, sizes and modification times, from
+    one recursive listing: another text as soon as the input changes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    files = []
+    while listing.hasNext():
+        f = listing.next()
+        files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return f"{folder}@{zlib.crc32(chr(10).join(sorted(files)).encode()):08x}"
+
+
+def shared_value(spark: SparkSession, name: str, source: str, build):
+    """``build()``, once for each (application, source, name).  ``source`` names a version
+    of the input; ``release_scratch`` forgets all values."""
     key = (spark.sparkContext.applicationId, source, name)
     if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
+def shared_copy(spark: SparkSession, name: str, source: str, build):
+    """``materialize(build(), name)``, once for each (application, source, name): later
+    calls read the copy."""
+    def write() -> str:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
-        _SHARED[key] = path
-    return spark.read.parquet(_SHARED[key])
+        return path
+
+    return spark.read.parquet(shared_value(spark, f"copy of {name}", source, write))
 
 
 def release_scratch(spark: SparkSession) -> None:
