@@ -6,7 +6,7 @@ one-row-per-column) result ever reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,6 +22,24 @@ def expect(df: DataFrame, name: str, predicate: Column) -> tuple[DataFrame, Obse
     return out, obs
 
 
+def expect_all(df: DataFrame, checks: Sequence[tuple[str, Column]] = ()
+               ) -> tuple[DataFrame, Callable[[], list[tuple[str | None, int, int]]]]:
+    """``df``, observed, and a function that tells, once the frame has been written, the
+    rows and the violations of each check: (None, rows, 0) for the frame, then
+    (name, rows, violations).  The counts are side metrics of the write, so no further
+    pass over the data is needed; rows that violate a check are kept."""
+    obs = Observation()
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(~F.coalesce(p, F.lit(False))).alias(f"v{i}") for i, (_, p) in enumerate(checks)])
+
+    def report() -> list[tuple[str | None, int, int]]:
+        found = obs.get
+        return [(None, found["rows"], 0),
+                *((name, found["rows"], found[f"v{i}"]) for i, (name, _) in enumerate(checks))]
+
+    return out, report
+
+
 def sql_text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from courtline.functions import constants as K
 from courtline.plans import params as P
+from courtline.plans.pipeline import SILVER_EXPECTATION
 from courtline.plans.sql_blocks import cte, sql_list, with_ctes
 
 # Silver columns, in the order Spark produces them.
@@ -243,6 +244,10 @@ UNION ALL SELECT 'play_by_event_team_gold', count(*) FROM event_team_gold
 UNION ALL SELECT 'play_by_player_gold', count(*) FROM player_gold
 UNION ALL SELECT 'team_stats_season_home_gold', count(*) FROM home_gold
 UNION ALL SELECT 'team_stats_season_away_gold', count(*) FROM away_gold"""),
+    "pipeline_violations": _q(["silver"], " UNION ALL ".join(
+        f"SELECT 'play_by_play_silver' AS table_name, '{name}' AS expectation, count(*) AS rows, "
+        f"count(*) FILTER ({c} IS NULL) AS violations FROM silver"
+        for name, c in (SILVER_EXPECTATION, *((f"{c} is known", c) for c in P.KNOWN_COLUMNS)))),
     "event_lookup": _q(["lookup", "silver"], """
 SELECT l.event_id, l.event_name, COALESCE(c.plays, 0) AS plays
 FROM lookup l LEFT JOIN (SELECT event_type, count(*) AS plays FROM silver GROUP BY event_type) c

@@ -39,6 +39,9 @@ CHOSEN_PLAYERS = ["Player_1", "Player_2", "Player_3"]
 # The single game shown by the one-game filters.
 ONE_GAME_ID = 7
 
+# Columns of the play silver that the pipeline expects to be known.
+KNOWN_COLUMNS = ["player1_name", "score_margin"]
+
 FIRST_GAMES = 20
 TOP_K = 3
 LATEST_SEASONS = 10

@@ -5,18 +5,29 @@ than one downstream table (the play silver feeds three gold tables) is
 written once and re-read, so its window and de-duplication run once; writing
 a table also cuts the lineage, so a lost executor never forces a recompute
 from the raw files.
+
+A dataset may carry expectations: named predicates whose violations are counted while
+the table is written and stored in the table ``pipeline_checks``, next to the rows of
+every dataset.  Rows that violate them are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtline.operators import medallion as M
+from courtline.operators.quality import expect_all
 from courtline.sources.catalog import save_table
 
+CHECKS_TABLE = "pipeline_checks"
+
+# FIXED VALUES: the expectation of the original's play silver.
+SILVER_EXPECTATION = ("score_margin_complete does not contain any empty rows", "score_margin_complete")
+
 
 @dataclass
 class Dataset:
@@ -25,6 +36,7 @@ class Dataset:
     inputs: tuple[str, ...] = ()
     comment: str = ""
     partition_by: tuple[str, ...] = ()
+    expectations: tuple[tuple[str, Column], ...] = ()
 
 
 @dataclass
@@ -58,22 +70,35 @@ class Pipeline:
 
     def run(self, spark: SparkSession, database: str, sources: dict[str, DataFrame]
             ) -> dict[str, str]:
-        """Materialise every dataset as ``database.name``; returns name -> table."""
+        """Materialise every dataset as ``database.name``; returns name -> table.
+
+        ``pipeline_checks`` (table_name, expectation, rows, violations) then holds one row
+        per dataset without an expectation, and one per expectation; its name is in
+        the result as well.
+        """
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         tables: dict[str, str] = {}
+        checks: list[tuple] = []
         for ds in self.order():
             args = [sources[i] if i in sources else spark.table(tables[i]) for i in ds.inputs]
-            table = save_table(ds.build(*args), ds.name, database, comment=ds.comment or None,
-                               partition_by=ds.partition_by)
-            tables[ds.name] = table
+            watched, report = expect_all(ds.build(*args), ds.expectations)
+            tables[ds.name] = save_table(watched, ds.name, database, comment=ds.comment or None,
+                                         partition_by=ds.partition_by)
+            checks += [(ds.name, *row) for row in report()]
+        found = spark.createDataFrame(checks, "table_name string, expectation string, rows long, violations long")
+        tables[CHECKS_TABLE] = save_table(found.coalesce(1), CHECKS_TABLE, database,
+                                          comment="Rows and violated expectations of the last run")
         return tables
 
 
-def medallion(sep: str = "_") -> Pipeline:
+def medallion(sep: str = "_", expectations: Sequence[tuple[str, Column]] = ()) -> Pipeline:
+    """The tables of the original; ``expectations`` are further ones of the play silver."""
+    name, column = SILVER_EXPECTATION
+    silver_checks = ((name, F.col(column).isNotNull()), *expectations)
     p = Pipeline()
     p.add(Dataset("play_by_play_silver", lambda b: M.play_by_play_silver(b, sep),
                   ("play_bronze",), "Play-by-play rows: typed, names merged, scores filled, "
-                  "de-duplicated"))
+                  "de-duplicated", expectations=silver_checks))
     p.add(Dataset("overall_game_silver", M.overall_game_silver, ("game_bronze",),
                   "Game-level rows, one per game"))
     p.add(Dataset("play_by_event_gold", M.play_by_event_gold, ("play_by_play_silver",),

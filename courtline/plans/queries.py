@@ -26,7 +26,7 @@ from courtline.operators import profile as PR
 from courtline.operators import quality as Q
 from courtline.operators.windows import Cuts, hot_cuts, lag_all_columns, lag_rows
 from courtline.plans import params as P
-from courtline.plans.pipeline import medallion
+from courtline.plans.pipeline import CHECKS_TABLE, medallion
 from courtline.session import input_version, scratch_path, shared_copy, shared_value
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
@@ -191,18 +191,28 @@ def table_roundtrip(spark, sf_dir):
                   "Plays by season and event type")
 
 
-def medallion_pipeline(spark, sf_dir):
-    """Run bronze -> silver -> gold as tables; report each table's row count."""
+def _pipeline_checks(spark, sf_dir) -> DataFrame:
+    """The checks table of one run of the pipeline per application and input version."""
     i = _in(spark, sf_dir)
-    with C.namespace(spark, _database(sf_dir)) as db:
-        tables = medallion().run(spark, db, {"play_bronze": i.bronze, "game_bronze": i.game})
-    parts = [spark.table(t).agg(F.lit(name).alias("table_name"),
-                                F.count(F.lit(1)).alias("rows"))
-             for name, t in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def run() -> str:
+        checks = [(f"{c} is known", F.col(c).isNotNull()) for c in P.KNOWN_COLUMNS]
+        with C.namespace(spark, _database(sf_dir)) as db:
+            tables = medallion(expectations=checks).run(
+                spark, db, {"play_bronze": i.bronze, "game_bronze": i.game})
+        return tables[CHECKS_TABLE]
+
+    return spark.table(shared_value(spark, "medallion run", i.version, run))
+
+
+def medallion_pipeline(spark, sf_dir):
+    """Run bronze -> silver -> gold as tables; each table's rows, counted as it was written."""
+    return _pipeline_checks(spark, sf_dir).filter("expectation IS NULL").select("table_name", "rows")
+
+
+def pipeline_violations(spark, sf_dir):
+    """The expectations of the pipeline's silver, counted as it was written."""
+    return _pipeline_checks(spark, sf_dir).filter("expectation IS NOT NULL")
 
 
 def event_lookup(spark, sf_dir):
@@ -647,6 +657,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_ingest": incremental_ingest,
     "table_roundtrip": table_roundtrip,
     "medallion_pipeline": medallion_pipeline,
+    "pipeline_violations": pipeline_violations,
     "event_lookup": event_lookup,
     "feature_table": feature_table,
     "team_feature_table": team_feature_table,

@@ -135,12 +135,17 @@ def shared_copy(spark: SparkSession, name: str, source: str, build):
     return spark.read.parquet(shared_value(spark, f"copy of {name}", source, write))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Deletes everything this application has written to scratch folders.  Frames
     that still read from there must not be used any more."""
     app = spark.sparkContext.applicationId
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, scratch_root(spark))
     for key in [k for k in _SHARED if k[0] == app]:
         del _SHARED[key]
 
