@@ -3,18 +3,25 @@
 silver -> dedup -> drop columns -> regulation time -> official teams ->
 rename teams -> calendar/season fields -> lagged margin + momentum ->
 (optional one team) -> normalised names -> one-hot indicators.
+
+One-hot encoding has two forms.  ``one_hot`` takes declared categories and makes a column
+of each; ``category_dictionary`` discovers them, as a table, and ``one_hot_positions`` and
+``one_hot_vector`` encode against it sparsely, so their number has no limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from courtline.functions import constants as K
 from courtline.functions.expressions import (as_timestamp, replace_values, season_start_year,
                                              season_two_digits, time_of_day)
+from courtline.operators.numbering import number_in_order
 from courtline.operators.quality import expectation_report
 from courtline.operators.windows import SEGMENT_ROWS, Cuts, lag_rows
 
@@ -110,6 +117,84 @@ def unlisted(df: DataFrame, values: dict[str, Sequence]) -> DataFrame:
         for c, vs in values.items()])
 
 
+def category_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value, code): the distinct non-null values of each column as text,
+    numbered from 0 in the order of the column's type (numbers by size, all else as text).
+
+    One pass with partial aggregation, whatever the number of values; nothing is
+    collected.  Save it as a table: the encodings below join to it.
+    """
+    types = dict(df.dtypes)
+    entries = []
+    for c in cols:
+        numeric = isinstance(df.schema[c].dataType, NumericType)
+        entries.append(F.struct(
+            F.lit(c).alias("column_name"),
+            (F.col(c).cast("decimal(38,10)") if numeric and types[c] not in ("float", "double")
+             else F.lit(None).cast("decimal(38,10)")).alias("size"),
+            (F.col(c).cast("double") if types[c] in ("float", "double") else F.lit(None).cast("double")).alias("real"),
+            F.col(c).cast("string").alias("value")))
+    found = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(
+        F.col("value").isNotNull()).distinct()
+    return number_in_order(found, "column_name", ["size", "real", "value"], "code").select(
+        "column_name", "value", "code")
+
+
+def encode_categories(df: DataFrame, dictionary: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``<col>_code``, the dictionary's code of each value of ``cols`` (null for
+    nulls and for values that the dictionary lacks).  A join per column, whose side
+    the planner measures."""
+    for c in cols:
+        entries = dictionary.filter(F.col("column_name") == c).select(
+            F.col("value").alias("__value"), F.col("code").alias(f"{c}_code"))
+        df = df.join(entries, F.col(c).cast("string") == F.col("__value"), "left").drop("__value")
+    return df
+
+
+def dictionary_sizes(dictionary: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """Categories of each column: one number per column reaches the driver."""
+    found = {r["column_name"]: r["n"] for r in dictionary.groupBy("column_name").agg(
+        (F.max("code") + 1).alias("n")).collect()}
+    return {c: found.get(c, 0) for c in cols}
+
+
+def one_hot_positions(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], out: str = "positions"
+                      ) -> DataFrame:
+    """``df`` with the positions of its ones in the vector of all indicators (the columns'
+    categories side by side, in the order of ``cols``): the sparse form of a one-hot
+    encoding, with a schema that does not depend on the data.  Nulls and unknown
+    values have no position; the columns of ``cols`` go."""
+    sizes, start, spots = dictionary_sizes(dictionary, cols), 0, []
+    for c in cols:
+        spots.append(F.col(f"{c}_code") + F.lit(start))
+        start += sizes[c]
+    coded = encode_categories(df, dictionary, cols)
+    return coded.withColumn(out, F.array_compact(F.array(*spots))).drop(
+        *cols, *[f"{c}_code" for c in cols])
+
+
+def one_hot_vector(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], out: str = "indicators"
+                   ) -> DataFrame:
+    """The same indicators as a sparse ML vector column, for estimators; the columns of
+    ``cols`` stay.  All zeros for nulls and unknown values."""
+    sizes = {c: n for c, n in dictionary_sizes(dictionary, cols).items() if n}
+    coded = encode_categories(df, dictionary, cols)
+    # a code beyond the last category stands for nulls; dropLast gives it no place
+    coded = coded.withColumns({f"{c}_code": F.coalesce(F.col(f"{c}_code"), F.lit(n)).cast("double")
+                               for c, n in sizes.items()})
+    stages = [VectorAssembler(inputCols=[f"__{c}_ones" for c in sizes], outputCol=out)]
+    if sizes:
+        encoder = OneHotEncoder(inputCols=[f"{c}_code" for c in sizes], outputCols=[f"__{c}_ones" for c in sizes],
+                                dropLast=True, handleInvalid="error")
+        # the model needs the largest code of each column only, which the sizes tell
+        last = df.sparkSession.createDataFrame([tuple(float(n) for n in sizes.values())],
+                                               [f"{c}_code" for c in sizes])
+        stages.insert(0, encoder.fit(last))
+    for stage in stages:
+        coded = stage.transform(coded)
+    return coded.drop(*[x for c in cols for x in (f"{c}_code", f"__{c}_ones")])
+
+
 def feature_base(silver: DataFrame, teams: Sequence[str] | None, renames: dict | None,
                  n: int = K.MOMENTUM_LAG, segment_rows: int | None = SEGMENT_ROWS,
                  dedup: bool = True, cuts: Cuts | None = None) -> DataFrame:

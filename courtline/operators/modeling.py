@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
@@ -90,6 +90,12 @@ def fit(train: DataFrame, estimator, cols: Sequence[str]):
     return Pipeline(stages=[_assembler(cols), estimator]).fit(train)
 
 
+def stump(bins: int = 512, seed: int = 42) -> DecisionTreeRegressor:
+    """A tree of one split.  Features with at most ``bins`` distinct values are split
+    exactly, between any two of them."""
+    return DecisionTreeRegressor(labelCol=LABEL, featuresCol="features", seed=seed, maxDepth=1, maxBins=bins)
+
+
 def model_catalog(seed: int = 42) -> dict:
     return {
         "linear_regression": LinearRegression(labelCol=LABEL, featuresCol="features"),
@@ -102,6 +108,28 @@ def model_catalog(seed: int = 42) -> dict:
     }
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    """Persist a fitted pipeline; it loads in any later session that sees ``path``."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def first_split(model: PipelineModel, cols: Sequence[str]) -> tuple[str | None, float | None, float, float]:
+    """(feature, threshold, prediction at or below it, prediction above it) of a fitted
+    tree's root; (None, None, p, p) if it has no split."""
+    root = model.stages[-1]._call_java("rootNode")
+    if not hasattr(root, "split"):
+        value = float(root.prediction())
+        return None, None, value, value
+    split = root.split()
+    return (cols[split.featureIndex()], float(split.threshold()), float(root.leftChild().prediction()),
+            float(root.rightChild().prediction()))
+
+
 def fit_predict(train: DataFrame, score: DataFrame, estimator, cols: Sequence[str]) -> DataFrame:
     return fit(train, estimator, cols).transform(score).drop("features")
 
@@ -160,11 +188,12 @@ def cv_summary(train: DataFrame, models: dict, cols: Sequence[str], k: int = 5)
 
 
 def grid_search(train: DataFrame, cols: Sequence[str], max_depth=(2, 5, 10),
-                min_instances=(1, 2), k: int = 5, parallelism: int = 4, seed: int = 42):
+                min_instances=(1, 2), k: int = 5, parallelism: int = 4, seed: int = 42,
+                bins: int = TREE_BINS):
     """Scaled decision tree, grid over depth x leaf size, k-fold CV on MAE
     (smaller is better), refit on all training rows.  Returns (model, table)."""
     data = with_folds(train, k) if FOLD not in train.columns else train
-    dt = DecisionTreeRegressor(labelCol=LABEL, featuresCol="scaled", seed=seed)
+    dt = DecisionTreeRegressor(labelCol=LABEL, featuresCol="scaled", seed=seed, maxBins=bins)
     pipe = Pipeline(stages=[
         _assembler(cols),
         StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),

@@ -74,6 +74,14 @@ def _one_hot_select(src: str, name=lambda s: s) -> str:
     return f"SELECT * EXCLUDE (event_type, away_team), {', '.join(ev + aw)} FROM {src}"
 
 
+cte("categories", """
+SELECT 'event_type' AS column_name, CAST(event_type AS VARCHAR) AS value,
+       row_number() OVER (ORDER BY event_type) - 1 AS code
+FROM (SELECT DISTINCT event_type FROM f_base WHERE event_type IS NOT NULL)
+UNION ALL
+SELECT 'away_team', away_team, row_number() OVER (ORDER BY away_team) - 1
+FROM (SELECT DISTINCT away_team FROM f_base WHERE away_team IS NOT NULL)
+""", ("f_base",))
 cte("encoded", _one_hot_select("f_base"), ("f_base",))
 cte("features", _one_hot_select("f_base", name=lambda s: s.replace(" ", "_").lower()), ("f_base",))
 cte("train", "SELECT * FROM features WHERE period <> 4 AND game_year <> 2022", ("features",))
@@ -210,6 +218,58 @@ def _hashed(text: str, seed: int = 42) -> str:
     return f"CAST('0x' || substr(md5('{seed}|' || {text}), 1, 8) AS BIGINT)"
 
 
+# One-level trees, refitted independently: every cut between two neighbouring values of
+# every feature, the least squared error wins.  Fit 5 sees all training rows, fits 0 to
+# 4 leave out one fold each; ``least`` is the smallest leaf.
+cte("fold_rows", f"""
+SELECT *, CAST({_hashed("CAST(game_id AS VARCHAR)")} % 5 AS INTEGER) AS fold FROM train
+""", ("train",))
+cte("fits", "SELECT unnest(range(6)) AS fit")
+cte("leaves", "SELECT unnest(" + str(P.STUMP_LEAVES) + ") AS least")
+cte("stump_values", " UNION ALL ".join(f"""
+SELECT fit, {k} AS k, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, count(*) AS n,
+       sum(CAST(score_margin_complete AS DOUBLE)) AS s
+FROM fits JOIN fold_rows ON fold <> fit GROUP BY ALL""" for k, c in enumerate(P.STUMP_FEATURES)),
+    ("fits", "fold_rows"))
+cte("stump_sides", """
+SELECT fit, k, feature, (v + lead(v) OVER side) / 2 AS threshold,
+       sum(n) OVER side AS n_low, sum(s) OVER side AS s_low,
+       sum(n) OVER whole - sum(n) OVER side AS n_high, sum(s) OVER whole - sum(s) OVER side AS s_high
+FROM stump_values
+WINDOW whole AS (PARTITION BY fit, k), side AS (PARTITION BY fit, k ORDER BY v)
+""", ("stump_values",))
+cte("stumps", """
+SELECT fit, least, feature, threshold, s_low / n_low AS low, s_high / n_high AS high
+FROM stump_sides, leaves WHERE n_low >= least AND n_high >= least
+QUALIFY row_number() OVER (PARTITION BY fit, least
+  ORDER BY s_low * s_low / n_low + s_high * s_high / n_high DESC, k, threshold) = 1
+""", ("stump_sides", "leaves"))
+_stump_feature = "CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in P.STUMP_FEATURES) + " END"
+cte("stump_folds", f"""
+SELECT least, fold, avg(abs(score_margin_complete - CASE WHEN {_stump_feature} <= threshold THEN low ELSE high END))
+         AS mae
+FROM fold_rows JOIN stumps ON fit = fold GROUP BY least, fold
+""", ("fold_rows", "stumps"))
+cte("stump_scored", f"""
+SELECT split, game_id, minute_game, score_margin_complete AS y,
+       CASE WHEN {_stump_feature} <= threshold THEN low ELSE high END AS p
+FROM (SELECT 'train' AS split, * FROM train UNION ALL SELECT 'test', * FROM test_split), stumps
+WHERE fit = 5 AND least = 1
+""", ("train", "test_split", "stumps"))
+
+
+cte("line_moments", f"""
+SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab,
+       covar_pop(a, y) AS ac, covar_pop(b, y) AS bc
+FROM (SELECT {P.LINE_FEATURES[0]} AS a, {P.LINE_FEATURES[1]} AS b, score_margin_complete AS y FROM train)
+""", ("train",))
+cte("line", """
+SELECT (ac * bb - bc * ab) / (aa * bb - ab * ab) AS first, (bc * aa - ac * ab) / (aa * bb - ab * ab) AS second,
+       my - first * ma - second * mb AS intercept
+FROM line_moments
+""", ("line_moments",))
+
+
 def one_game_lag_sql() -> str:
     moving = [c for c in SILVER_COLUMNS if c not in ("game_id", "event_num")]
     lags = ", ".join(f"lag({c}, {K.MOMENTUM_LAG}) OVER w AS {c}" for c in moving)
@@ -259,6 +319,13 @@ FROM lookup l LEFT JOIN (SELECT event_type, count(*) AS plays FROM silver GROUP
         f"SELECT '{c} is listed' AS expectation, count(*) AS rows, "
         f"count(*) FILTER ({c} NOT IN ({sql_list(v)})) AS violations FROM f_base"
         for c, v in P.ONE_HOT_VALUES.items())),
+    "category_dictionary": _q(["categories"], "SELECT * FROM categories"),
+    "one_hot_discovered": _q(["categories"], """
+SELECT game_id, event_num, score_margin_complete, concat_ws(',', e.code,
+       a.code + (SELECT count(*) FROM categories WHERE column_name = 'event_type')) AS positions
+FROM f_base
+LEFT JOIN categories e ON e.column_name = 'event_type' AND e.value = CAST(event_type AS VARCHAR)
+LEFT JOIN categories a ON a.column_name = 'away_team' AND a.value = away_team"""),
     "preview_rows": _q(["silver"], f"SELECT * FROM silver ORDER BY game_id, event_num "
                                    f"LIMIT {P.PREVIEW_ROWS}"),
     # projection / filter / shaping
@@ -409,6 +476,25 @@ FROM train GROUP BY 1"""),
 SELECT round(regr_slope(score_margin_complete, score_margin_40_events_ago), 6) AS slope,
        round(regr_intercept(score_margin_complete, score_margin_40_events_ago), 6) AS intercept
 FROM train"""),
+    "tree_split": _q(["stumps"], """
+SELECT feature, threshold, round(low, 6) AS low, round(high, 6) AS high FROM stumps WHERE fit = 5 AND least = 1"""),
+    "tree_errors": _q(["stump_scored"], """
+SELECT 'stump' AS model, split, count(*) AS rows, round(avg(abs(y - p)), 6) AS mae FROM stump_scored GROUP BY split"""),
+    "tree_by_minute": _q(["stump_scored"], """
+SELECT game_id, minute_game, round(avg(y), 6) AS actual, round(avg(p), 6) AS predicted
+FROM stump_scored GROUP BY game_id, minute_game"""),
+    "tree_cv": _q(["stump_folds"], """
+SELECT 'stump' AS model, round(avg(mae), 6) AS mean_mae, round(stddev_pop(mae), 6) AS std_mae, count(*) AS folds
+FROM stump_folds WHERE least = 1"""),
+    "tree_grid": _q(["stump_folds"], """
+SELECT 1 AS max_depth, CAST(least AS INTEGER) AS min_instances_per_node, round(avg(mae), 6) AS mean_mae,
+       row_number() OVER (ORDER BY avg(mae), least) = 1 AS best
+FROM stump_folds GROUP BY least"""),
+    "line_of_two": _q(["line", "test_split"], f"""
+SELECT round(first, 6) AS first, round(second, 6) AS second, round(intercept, 6) AS intercept,
+       round(avg(abs(score_margin_complete - first * {P.LINE_FEATURES[0]} - second * {P.LINE_FEATURES[1]}
+                     - intercept)), 6) AS mae
+FROM line, test_split GROUP BY first, second, intercept"""),
     "ml_results_actual": _q(["train", "test_split"], """
 SELECT game_id, event_num, minute_game, score_margin_complete, 'train' AS split FROM train
 UNION ALL

@@ -42,6 +42,12 @@ ONE_GAME_ID = 7
 # Columns of the play silver that the pipeline expects to be known.
 KNOWN_COLUMNS = ["player1_name", "score_margin"]
 
+# Features of the one-split trees and of the two-feature line, which SQL can refit.
+STUMP_FEATURES = ["minute_game", "period", "game_month", "game_day", "score_margin_40_events_ago"]
+LINE_FEATURES = ["score_margin_40_events_ago", "minute_game"]
+# Leaf sizes of the one-split grid.
+STUMP_LEAVES = [1, 40]
+
 FIRST_GAMES = 20
 TOP_K = 3
 LATEST_SEASONS = 10

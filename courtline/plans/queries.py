@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,10 +135,41 @@ class Inputs:
         return FT.feature_base(self.silver_shared, P.OFFICIAL_TEAMS, P.TEAM_RENAMES, dedup=False,
                                cuts=self.cuts)
 
+    @cached_property
+    def feature_base_shared(self) -> DataFrame:
+        # read for the dictionary and again for each encoding
+        return self.shared("feature_base", lambda: self.feature_base)
+
     @cached_property
     def features(self) -> DataFrame:
         return FT.feature_table(self.feature_base, P.ONE_HOT_VALUES)
 
+    def saved_model(self, name: str, build: Callable[[], PipelineModel]) -> PipelineModel:
+        """The model of that name, fitted once per application and version of the input and
+        loaded from disk wherever it is used."""
+        path = shared_value(self.spark, f"model {name}", self.version, lambda: ML.save_model(
+            build(), scratch_path(self.spark, f"model-{name}")))
+        return ML.load_model(path)
+
+    def catalog_model(self, name: str) -> PipelineModel:
+        """A regressor of the catalog, fitted on the training rows."""
+        train, _ = self.splits
+        return self.saved_model(name, lambda: ML.fit(train, ML.model_catalog()[name], ML.feature_columns(train)))
+
+    @cached_property
+    def search(self) -> tuple[PipelineModel, DataFrame]:
+        """The winner of the one grid search per input, and the search's table."""
+        train, _ = self.splits
+
+        def run() -> tuple[str, str]:
+            best, table = ML.grid_search(train, ML.feature_columns(train))
+            with C.namespace(self.spark, _database(self.sf_dir)) as db:
+                saved = C.save_table(table.coalesce(1), "grid_search", db, comment="Settings and their mean MAE")
+            return ML.save_model(best, scratch_path(self.spark, "model-best")), saved
+
+        path, table = shared_value(self.spark, "grid search", self.version, run)
+        return ML.load_model(path), self.spark.table(table)
+
     @cached_property
     def splits(self) -> tuple[DataFrame, DataFrame]:
         return ML.time_split(self.shared("features", lambda: self.features))
@@ -529,9 +561,8 @@ def _train_test_cols(spark, sf_dir):
 
 
 def _model_predictions(spark, sf_dir, name):
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    est = ML.model_catalog()[name]
-    return ML.fit_predict(train, test, est, cols).select(
+    i = _in(spark, sf_dir)
+    return i.catalog_model(name).transform(i.splits[1]).select(
         "game_id", "event_num", "minute_game", ML.LABEL, ML.PREDICTION)
 
 
@@ -551,49 +582,91 @@ def cv_metrics(spark, sf_dir):
 
 
 def grid_search(spark, sf_dir):
-    train, _, cols = _train_test_cols(spark, sf_dir)
-    _, table = ML.grid_search(train, cols)
-    return table
+    return _in(spark, sf_dir).search[1]
+
+
+def _errors(model, name: str, train: DataFrame, test: DataFrame) -> DataFrame:
+    """Rows and MAE of one model on both splits, in one aggregate."""
+    both = ML.score_splits(model, train, test)
+    return both.groupBy("split").agg(
+        F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"),
+        F.avg(ML.abs_error(pred="predictions")).alias("mae"))
 
 
 def model_comparison(spark, sf_dir):
     """Train and test MAE for each regressor in the catalog."""
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    parts = []
-    for name, est in ML.model_catalog().items():
-        model = ML.fit(train, est, cols)
-        for split, df in (("train", train), ("test", test)):
-            parts.append(model.transform(df).agg(
-                F.lit(name).alias("model"), F.lit(split).alias("split"),
-                F.count(F.lit(1)).alias("rows"),
-                F.avg(ML.abs_error()).alias("mae")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    i = _in(spark, sf_dir)
+    parts = [_errors(i.catalog_model(name), name, *i.splits) for name in ML.model_catalog()]
+    return reduce(DataFrame.unionByName, parts).select("model", "split", "rows", "mae")
 
 
 def best_model_metrics(spark, sf_dir):
     """Held-out R², MSE, MAE (rounded to 3) of the grid-search winner."""
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    best, _ = ML.grid_search(train, cols)
-    return ML.regression_metrics(best.transform(test))
+    i = _in(spark, sf_dir)
+    return ML.regression_metrics(i.search[0].transform(i.splits[1]))
 
 
 def ml_results(spark, sf_dir):
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    best, _ = ML.grid_search(train, cols)
-    return _saved(spark, sf_dir, ML.score_splits(best, train, test).drop("split"), "ml_results")
+    i = _in(spark, sf_dir)
+    return _saved(spark, sf_dir, ML.score_splits(i.search[0], *i.splits).drop("split"), "ml_results")
 
 
 def ml_results_actual(spark, sf_dir):
     """The columns of the predictions table that do not depend on the fit."""
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    model = ML.fit(train, ML.model_catalog()["decision_tree"], cols)
-    return _saved(spark, sf_dir, ML.score_splits(model, train, test).drop("predictions"),
+    i = _in(spark, sf_dir)
+    return _saved(spark, sf_dir, ML.score_splits(i.catalog_model("decision_tree"), *i.splits).drop("predictions"),
                   "ml_results_actual")
 
 
+def _stump_model(spark, sf_dir) -> PipelineModel:
+    i = _in(spark, sf_dir)
+    return i.saved_model("stump", lambda: ML.fit(i.splits[0], ML.stump(), P.STUMP_FEATURES))
+
+
+def tree_split(spark, sf_dir):
+    """The split of a one-level tree: feature, threshold, both predictions (6 digits)."""
+    feature, threshold, low, high = ML.first_split(_stump_model(spark, sf_dir), P.STUMP_FEATURES)
+    return spark.createDataFrame([(feature, threshold, round(low, 6), round(high, 6))],
+                                 "feature string, threshold double, low double, high double")
+
+
+def tree_errors(spark, sf_dir):
+    """Rows and MAE of the one-level tree on the train and test splits."""
+    return _errors(_stump_model(spark, sf_dir), "stump", *_in(spark, sf_dir).splits).withColumn(
+        "mae", F.round("mae", 6))
+
+
+def tree_by_minute(spark, sf_dir):
+    """Actual and predicted margin by game and minute, one-level tree, both splits."""
+    return ML.actual_vs_predicted(ML.score_splits(_stump_model(spark, sf_dir), *_in(spark, sf_dir).splits)).select(
+        "game_id", "minute_game", F.round("actual", 6).alias("actual"), F.round("predicted", 6).alias("predicted"))
+
+
+def tree_cv(spark, sf_dir):
+    """Mean and population deviation of the one-level tree's MAE over five folds."""
+    train = _in(spark, sf_dir).splits[0]
+    return ML.cv_summary(train, {"stump": ML.stump()}, P.STUMP_FEATURES).select(
+        "model", F.round("mean_mae", 6).alias("mean_mae"), F.round("std_mae", 6).alias("std_mae"), "folds")
+
+
+def tree_grid(spark, sf_dir):
+    """A grid search of scaled one-level trees over the leaf size."""
+    train = _in(spark, sf_dir).splits[0]
+    _, table = ML.grid_search(train, P.STUMP_FEATURES, max_depth=(1,), min_instances=P.STUMP_LEAVES, bins=512)
+    return table.withColumn("mean_mae", F.round("mean_mae", 6))
+
+
+def line_of_two(spark, sf_dir):
+    """Coefficients of the margin on two features, and the test MAE."""
+    i = _in(spark, sf_dir)
+    model = i.saved_model("line", lambda: ML.fit(
+        i.splits[0], ML.model_catalog()["linear_regression"], P.LINE_FEATURES))
+    line = model.stages[-1]
+    return model.transform(i.splits[1]).agg(F.round(F.avg(ML.abs_error()), 6).alias("mae")).select(
+        *[F.lit(round(float(v), 6)).alias(n) for n, v in
+          (("first", line.coefficients[0]), ("second", line.coefficients[1]), ("intercept", line.intercept))], "mae")
+
+
 def fold_sizes(spark, sf_dir):
     """Games and plays of each cross-validation fold."""
     train, _, _ = _train_test_cols(spark, sf_dir)
@@ -611,10 +684,33 @@ def simple_regression(spark, sf_dir):
 
 
 def actual_vs_predicted(spark, sf_dir):
-    train, test, cols = _train_test_cols(spark, sf_dir)
-    model = ML.model_catalog()["decision_tree"]
-    fitted = ML.fit(train, model, cols)
-    return ML.actual_vs_predicted(ML.score_splits(fitted, train, test))
+    i = _in(spark, sf_dir)
+    return ML.actual_vs_predicted(ML.score_splits(i.catalog_model("decision_tree"), *i.splits))
+
+
+def _dictionary(spark, sf_dir) -> DataFrame:
+    """The categories that the feature rows hold, discovered, as a table of the input."""
+    i = _in(spark, sf_dir)
+
+    def build() -> str:
+        with C.namespace(spark, _database(sf_dir)) as db:
+            return C.save_table(FT.category_dictionary(i.feature_base_shared, list(P.ONE_HOT_VALUES)),
+                                "category_dictionary", db, comment="Categories of the feature rows")
+
+    return spark.table(shared_value(spark, "category dictionary", i.version, build))
+
+
+def category_dictionary(spark, sf_dir):
+    """The discovered one-hot categories: column, value, code."""
+    return _dictionary(spark, sf_dir)
+
+
+def one_hot_discovered(spark, sf_dir):
+    """The feature rows with sparse indicators of all categories that occur."""
+    rows = FT.one_hot_positions(_in(spark, sf_dir).feature_base_shared, _dictionary(spark, sf_dir),
+                                list(P.ONE_HOT_VALUES))
+    return rows.select("game_id", "event_num", "score_margin_complete",
+                       F.concat_ws(",", F.col("positions").cast("array<string>")).alias("positions"))
 
 
 def _team_stats_training(spark, sf_dir):
@@ -633,12 +729,13 @@ TEAM_STATS_FEATURES = ["count_home", "count_away", "avg_points_for_home", "avg_p
 
 
 def score_new(spark, sf_dir):
-    """Linear model of the home/away margin, test MSE, and one new record scored."""
+    """Linear model of the home/away margin, loaded from disk: its test MSE, and one new
+    record scored."""
     data = _team_stats_training(spark, sf_dir)
-    train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     lr = LinearRegression(labelCol="margin", featuresCol="features")
-    model = ML.fit(train, lr, TEAM_STATS_FEATURES)
+    model = _in(spark, sf_dir).saved_model("team-margin", lambda: ML.fit(
+        data.filter(F.col("split") == "train"), lr, TEAM_STATS_FEATURES))
     mse = model.transform(test).agg(
         F.avg((F.col("margin") - F.col("prediction")) ** 2)).first()[0]
     new = spark.createDataFrame([(44, 44, 98.0, 98.0, 24)],
@@ -721,6 +818,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "momentum": momentum,
     "one_game_lag": one_game_lag,
     "one_hot": one_hot,
+    "category_dictionary": category_dictionary,
+    "one_hot_discovered": one_hot_discovered,
     # models
     "train_split": train_split,
     "test_split": test_split,
@@ -736,6 +835,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ml_results_actual": ml_results_actual,
     "fold_sizes": fold_sizes,
     "simple_regression": simple_regression,
+    "line_of_two": line_of_two,
+    "tree_split": tree_split,
+    "tree_errors": tree_errors,
+    "tree_by_minute": tree_by_minute,
+    "tree_cv": tree_cv,
+    "tree_grid": tree_grid,
     "actual_vs_predicted": actual_vs_predicted,
     "score_new": score_new,
 }

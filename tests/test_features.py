@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -155,3 +156,40 @@ def test_regression_metrics_bounds(spark):
     assert m.mae == round((0.5 + 1 + 2.5 + 0) / 4, 3) and m.mse == round((0.25 + 1 + 6.25 + 0) / 4, 3)
     perfect = regression_metrics(df.withColumn("prediction", F.col("score_margin_complete")))
     assert perfect.first().r2 == 1.0
+
+
+def _categories(spark):
+    return spark.createDataFrame(
+        [(1, 10, "b", 1.5), (2, 9, "a", -2.0), (3, None, "b", None), (4, 10, None, 1.5), (5, 100, "c c", 30.0)],
+        "id int, kind int, team string, rate double")
+
+
+def test_discovered_categories_are_numbered_by_type(spark):
+    got = FT.category_dictionary(_categories(spark), ["kind", "team", "rate"]).collect()
+    assert sorted((r.column_name, r.code, r.value) for r in got) == [
+        ("kind", 0, "9"), ("kind", 1, "10"), ("kind", 2, "100"), ("rate", 0, "-2.0"), ("rate", 1, "1.5"),
+        ("rate", 2, "30.0"), ("team", 0, "a"), ("team", 1, "b"), ("team", 2, "c c")]
+
+
+def test_many_categories_are_numbered_without_gaps_by_several_tasks(spark):
+    df = spark.range(5000).selectExpr("id * 7919 % 5003 k", "cast(id % 3 as string) s")
+    got = FT.category_dictionary(df, ["k", "s"])
+    ks = [(r.code, int(r.value)) for r in got.filter("column_name = 'k'").orderBy("code").collect()]
+    assert [i for i, _ in ks] == list(range(5000)) and [v for _, v in ks] == sorted(v for _, v in ks)
+    assert got.filter("column_name = 's'").count() == 3
+
+
+def test_sparse_indicators_agree(spark):
+    df, cols = _categories(spark), ["kind", "team"]
+    dictionary = FT.category_dictionary(df, cols).cache()
+    more = df.unionByName(spark.createDataFrame([(6, 7, "new", 0.0)], df.schema))  # values unknown to it
+    spots = {r.id: r.positions for r in FT.one_hot_positions(more, dictionary, cols).collect()}
+    assert spots == {1: [1, 4], 2: [0, 3], 3: [4], 4: [1], 5: [2, 5], 6: []}
+    vectors = {r.id: r.indicators for r in FT.one_hot_vector(more, dictionary, cols).collect()}
+    assert all(v.size == 6 and np.flatnonzero(v.toArray()).tolist() == spots[i] for i, v in vectors.items())
+    # the declared form makes the same ones
+    wide = FT.one_hot(df, {"kind": [9, 10, 100], "team": ["a", "b", "c c"]})
+    names = ["kind_9", "kind_10", "kind_100", "team_a", "team_b", "team_c c"]
+    for r in wide.collect():
+        assert [i for i, n in enumerate(names) if r[n]] == spots[r.id]
+    assert FT.one_hot_vector(df.filter("id < 0"), dictionary, cols).count() == 0

@@ -1,11 +1,17 @@
 """Model-side helpers: splits, folds, pipeline ordering, expectations."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from courtline.operators import modeling as ML
 from courtline.operators import quality as Q
 from courtline.plans.pipeline import Dataset, Pipeline
+from courtline.plans.queries import TEAM_STATS_FEATURES, Inputs, registry
+from courtline.session import release_scratch
+
+SF_MEDIUM = SF_SMALL.replace("0.001", "0.01")
 
 
 def test_time_split_boundaries(spark):
@@ -51,6 +57,81 @@ def test_tree_finds_a_known_split(spark):
     assert model.stages[-1].depth == 1
 
 
+def _noisy(spark, n=400):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 30, (n, 3))
+    y = x[:, 0] * 2.0 - x[:, 1] + 5 * (x[:, 2] > 12) + rng.normal(size=n)
+    return spark.createDataFrame([(int(i % 17), *map(float, v), float(t)) for i, (v, t) in enumerate(zip(x, y))],
+                                 f"game_id long, a double, b double, c double, {ML.LABEL} double")
+
+
+def _predicted(model, df):
+    return {(r.a, r.b, r.c): round(r.prediction, 9) for r in model.transform(df).collect()}
+
+
+def test_a_forest_and_a_boosting_of_one_tree_are_that_tree(spark):
+    df, cols = _noisy(spark), ["a", "b", "c"]
+    catalog = ML.model_catalog()
+    tree = catalog["decision_tree"]
+    forest = catalog["random_forest"].copy()
+    forest.setParams(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=ML.TREE_DEPTH)
+    boosted = catalog["gradient_boosting"].copy()
+    boosted.setParams(maxIter=1, maxDepth=ML.TREE_DEPTH)
+    want = _predicted(ML.fit(df, tree, cols), df)
+    assert _predicted(ML.fit(df, forest, cols), df) == want
+    assert _predicted(ML.fit(df, boosted, cols), df) == want
+
+
+def test_scaling_changes_no_tree(spark):
+    df, cols = ML.with_folds(_noisy(spark)), ["a", "b", "c"]
+    best, table = ML.grid_search(df, cols, max_depth=(4,), min_instances=(5,))
+    plain = ML.model_catalog()["decision_tree"].copy()
+    plain.setParams(maxDepth=4, minInstancesPerNode=5)
+    assert _predicted(best, df) == _predicted(ML.fit(df, plain, cols), df)
+    mean = ML.cv_summary(df, {"tree": plain}, cols).first().mean_mae
+    assert abs(table.first().mean_mae - mean) < 1e-9
+
+
+def test_linear_fit_equals_normal_equations(spark):
+    df, cols = _noisy(spark), ["a", "b", "c"]
+    line = ML.fit(df, ML.model_catalog()["linear_regression"], cols).stages[-1]
+    data = np.array([[1.0, r.a, r.b, r.c, r[ML.LABEL]] for r in df.collect()])
+    want = np.linalg.solve(data[:, :4].T @ data[:, :4], data[:, :4].T @ data[:, 4])
+    assert np.allclose([line.intercept, *line.coefficients], want, atol=1e-8)
+
+
+def test_new_record_is_scored_by_the_model_on_disk(spark):
+    i = Inputs(spark, SF_SMALL)
+    row = registry()["score_new"](spark, SF_SMALL).first()
+    data = [r for r in registry()["random_split"](spark, SF_SMALL).collect()]
+    x = np.array([[1.0, *(float(r[c]) for c in TEAM_STATS_FEATURES)] for r in data])
+    y, train = np.array([r.margin for r in data]), np.array([r.split == "train" for r in data])
+    want = np.linalg.lstsq(x[train], y[train], rcond=None)[0]
+    new = np.array([1.0, *(row[c] for c in TEAM_STATS_FEATURES)])
+    fitted = x @ want
+    if np.linalg.matrix_rank(x[train]) == x.shape[1]:
+        assert abs(row.new_record_prediction - new @ want) < 1e-6
+    assert abs(row.test_mse - ((y - fitted)[~train] ** 2).mean()) < 1e-6
+    loaded = i.saved_model("team-margin", lambda: pytest.fail("fitted again"))
+    assert loaded.stages[-1].coefficients.size == len(TEAM_STATS_FEATURES)
+
+
+def test_one_search_serves_three_queries(spark, monkeypatch):
+    release_scratch(spark)
+    runs = []
+    search = ML.grid_search
+    monkeypatch.setattr(ML, "grid_search", lambda *a, **k: runs.append(1) or search(*a, **k))
+    q = registry()
+    best = [r for r in q["grid_search"](spark, SF_MEDIUM).collect() if r.best]
+    assert len(best) == 1 and q["best_model_metrics"](spark, SF_MEDIUM).count() == 1
+    assert q["ml_results"](spark, SF_MEDIUM).count() > 0 and len(runs) == 1
+
+
+def test_first_split_of_a_tree_without_one(spark):
+    df = spark.createDataFrame([(1.0, 5.0)] * 3, f"a double, {ML.LABEL} double")
+    assert ML.first_split(ML.fit(df, ML.stump(), ["a"]), ["a"]) == (None, None, 5.0, 5.0)
+
+
 def test_feature_columns_leave_out_label_ids_and_leaks(spark):
     df = spark.createDataFrame([(1, 2, 3, 4.0, 5, "x", 1)],
                                "game_id long, event_num int, score_margin_complete int, "
