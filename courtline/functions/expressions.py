@@ -72,15 +72,3 @@ def replace_values(c: Column, mapping: dict) -> Column:
         return c
     lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return F.coalesce(F.element_at(lookup, c), c)
-
-
-def null_safe_corr(a: Column, b: Column) -> Column:
-    """Pearson correlation over rows where both sides are non-null.
-
-    ``corr`` divides by zero for a constant column under ANSI mode; this form
-    yields null instead.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    a2 = F.when(both, a)
-    b2 = F.when(both, b)
-    return F.try_divide(F.covar_samp(a2, b2), F.stddev_samp(a2) * F.stddev_samp(b2))

@@ -122,7 +122,7 @@ def first_split(model: PipelineModel, cols: Sequence[str]) -> tuple[str | None,
     """(feature, threshold, prediction at or below it, prediction above it) of a fitted
     tree's root; (None, None, p, p) if it has no split."""
     root = model.stages[-1]._call_java("rootNode")
-    if not hasattr(root, "split"):
+    if model.stages[-1].depth == 0:
         value = float(root.prediction())
         return None, None, value, value
     split = root.split()

@@ -8,12 +8,13 @@ a single scan and a single (tiny) shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.expressions import null_safe_corr
 from courtline.operators.quality import sql_text
 from courtline.session import materialize
 
@@ -50,14 +51,10 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
              ) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per column, one row per column.
 
-    Quartiles are exact (linear interpolation between closest ranks, as
-    pandas) and computed without gathering a column into one task: values are
-    reduced to (value, count) pairs and dealt by ranges of (column, value), which
-    Spark draws from a sample so that each holds about as many pairs, however the
-    values lie; a running count in each range plus the counts of the ranges before
-    it ranks them.  Only the rows holding the wanted ranks (two per
-    quantile) reach the driver.  ``approx=True`` uses ``percentile_approx``
-    instead.  ``digits`` rounds mean and std.
+    Quartiles are exact (linear interpolation between closest ranks, as pandas) and
+    found by ``exact_ranks``, which reads the columns a few times and neither shuffles
+    nor writes them; NaN is ranked as the largest value, as Spark sorts it.
+    ``approx=True`` uses ``percentile_approx`` instead.  ``digits`` rounds mean and std.
     """
     cols = list(cols)
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
@@ -72,18 +69,18 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
     stats = base.selectExpr(
         f"stack({len(cols)}, {stack}) as (column_name, count, mean, std, min, max)")
 
-    long = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-        for c in cols])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull()))
     names = [f"p{int(round(p * 100))}" for p in probs]
     if approx:
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+            for c in cols])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
         q = long.groupBy("column_name").agg(*[
             F.percentile_approx("value", p, accuracy).alias(n) for p, n in zip(probs, names)])
         return stats.join(q, "column_name", "left").select(
             "column_name", "count", "mean", "std", "min", *names, "max")
 
     srows = {r["column_name"]: r for r in stats.collect()}     # one row per column
-    quant = exact_quantiles(long, {c: srows[c]["count"] for c in cols}, probs)
+    quant = exact_quantiles(df, {c: srows[c]["count"] for c in cols}, probs)
     out = []
     for c in cols:
         r = srows[c]
@@ -94,79 +91,155 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
     return df.sparkSession.createDataFrame(out, schema)
 
 
-def ranked_values(long: DataFrame) -> DataFrame:
-    """Distinct (column_name, value) with ``start`` and ``cum``, the ranks it holds."""
-    pairs = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
-    pairs = pairs.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id())
-    pairs = materialize(pairs, "value_counts")  # keeps the ranges for both uses
-    totals = pairs.groupBy("column_name", "part").agg(F.sum("freq").alias("tot"))
-    w_off = (Window.partitionBy("column_name").orderBy("part")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("column_name", "part",
-                            F.coalesce(F.sum("tot").over(w_off), F.lit(0)).alias("offset"))
-    w_run = (Window.partitionBy("column_name", "part").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (pairs.join(offsets, ["column_name", "part"])
-            .withColumn("cum", F.col("offset") + F.sum("freq").over(w_run))
-            .withColumn("start", F.col("cum") - F.col("freq")))
-
-
-def exact_quantiles(long: DataFrame, counts: dict[str, int], probs: Sequence[float]) -> dict:
-    """Exact quantiles of (column_name, value) rows; ``counts`` has the rows of each
-    column.  Returns {(column, p): value}."""
-    targets: dict[str, set[int]] = {}
-    plan = {}
-    for c, n in counts.items():
-        if not n:
+#: Size of the sketches that bracket ranks, and the share of all rows by which a bracket
+#: exceeds a rank on either side: some three times the sketch's error.
+SKETCH_SIZE, BRACKET_MARGIN = 4096, 0.004
+#: Distinct values within brackets that the driver takes; beyond it the rows within
+#: brackets are written and bracketed anew.
+BRACKET_VALUES = 20_000
+
+
+def exact_ranks(df: DataFrame, values: dict[str, Column], ranks: dict[str, list[int]],
+                margin: float = BRACKET_MARGIN) -> dict[tuple[str, int], float]:
+    """{(name, rank): value}: for each named double column of ``df`` the non-null values of
+    the wanted ranks (from 0, ascending, NaN last).
+
+    One pass sketches all columns (KLL) and brackets every rank by two values.  One
+    counts the rows below and within each bracket, which also proves that it holds the
+    rank; a bracket that does not is widened.  One groups the values within brackets, a
+    small share of all rows, however many rows are equal.
+    """
+    names = [n for n in values if ranks.get(n)]
+    if not names:
+        return {}
+    number = {n: F.when(~F.isnan(values[n]), values[n]) for n in names}
+    counts = df.agg(*[F.count(number[n]).alias(f"n{i}") for i, n in enumerate(names)],
+                    *[F.kll_sketch_agg_double(number[n], F.lit(SKETCH_SIZE)).alias(f"s{i}")
+                      for i, n in enumerate(names)])
+    wanted = []
+    for i, n in enumerate(names):
+        wanted.append(F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(
+            f"s{i}", F.expr(f"array({', '.join(f'{q / 1000}D' for q in range(1001))})"))).alias(f"q{i}"))
+    found = counts.select(*wanted, *[f"n{i}" for i in range(len(names))]).first()
+    out: dict[tuple[str, int], float] = {}
+    open_ranks = []
+    for i, n in enumerate(names):
+        for r in sorted(set(ranks[n])):
+            if r < found[f"n{i}"]:
+                open_ranks.append((n, r))
+            else:
+                out[n, r] = float("nan")
+    sizes = {n: found[f"n{i}"] for i, n in enumerate(names)}
+    grid = {n: found[f"q{i}"] for i, n in enumerate(names)}
+    while open_ranks:
+        brackets = {}
+        for n, r in open_ranks:
+            low, high = r / sizes[n] - margin, (r + 1) / sizes[n] + margin
+            # the grid's ends are no bounds: they are open
+            brackets[n, r] = (grid[n][int(low * 1000)] if low > 0.001 else -math.inf,
+                              grid[n][min(1000, math.ceil(high * 1000))] if high < 0.999 else math.inf)
+        keys = list(brackets)
+        tests = [(number[n] < brackets[n, r][0], (number[n] >= brackets[n, r][0]) & (number[n] <= brackets[n, r][1]))
+                 for n, r in keys]
+        seen = df.agg(*[F.count_if(t).alias(f"{k}{i}") for i, pair in enumerate(tests)
+                        for k, t in zip(("below", "within"), pair)]).first()
+        held = [i for i, (n, r) in enumerate(keys) if seen[f"below{i}"] <= r < seen[f"below{i}"] + seen[f"within{i}"]]
+        open_ranks = [keys[i] for i in range(len(keys)) if i not in held]
+        margin *= 4
+        if not held:
             continue
-        for p in probs:
+        rows = df.select(F.explode(F.filter(F.array(*[
+            F.struct(F.lit(i).alias("at"), F.when(tests[i][1], number[keys[i][0]]).alias("value")) for i in held]),
+            lambda e: e["value"].isNotNull())).alias("e")).select("e.*")
+        pairs = rows.groupBy("at", "value").agg(F.count(F.lit(1)).alias("rows"))
+        listed = pairs.limit(BRACKET_VALUES + 1).collect()
+        if len(listed) <= BRACKET_VALUES:
+            for i in held:
+                left = keys[i][1] - seen[f"below{i}"]
+                for p in sorted((p for p in listed if p["at"] == i), key=lambda p: p["value"]):
+                    left -= p["rows"]
+                    if left < 0:
+                        out[keys[i]] = p["value"]
+                        break
+        else:
+            kept = materialize(rows, "brackets")
+            inner = exact_ranks(kept, {str(i): F.when(F.col("at") == i, F.col("value")) for i in held},
+                                {str(i): [keys[i][1] - seen[f"below{i}"]] for i in held})
+            out |= {keys[i]: inner[str(i), keys[i][1] - seen[f"below{i}"]] for i in held}
+    return out
+
+
+def exact_quantiles(df: DataFrame, counts: dict[str, int], probs: Sequence[float]) -> dict:
+    """Exact quantiles of columns; ``counts`` has the rows of each.  Returns {(column, p):
+    value}, without the columns that have no rows."""
+    plan: dict[tuple[str, float], tuple[int, int, float]] = {}
+    targets: dict[str, list[int]] = {}
+    for c, n in counts.items():
+        for p in probs if n else ():
             pos = p * (n - 1)
             r0 = int(pos // 1)
             r1 = min(r0 + 1, n - 1)
-            plan[(c, p)] = (r0, r1, pos - r0)
-            targets.setdefault(c, set()).update({r0, r1})
-    if not targets:
-        return {}
-    ranked = ranked_values(long)
-    wanted = F.element_at(F.create_map(*[x for c, rs in targets.items() for x in (
-        F.lit(c), F.array(*[F.lit(r).cast("long") for r in sorted(rs)]))]), F.col("column_name"))
-    hits = (ranked.filter(F.exists(wanted, lambda r: (r >= F.col("start")) & (r < F.col("cum"))))
-            .select("column_name", "value", "start", "cum").collect())
-    by_col: dict[str, list] = {}
-    for h in hits:
-        by_col.setdefault(h["column_name"], []).append(h)
-
-    def value_at(c, r):
-        for h in by_col.get(c, []):
-            if h["start"] <= r < h["cum"]:
-                return h["value"]
-        return None
-
+            plan[c, p] = (r0, r1, pos - r0)
+            targets.setdefault(c, []).extend({r0, r1})
+    found = exact_ranks(df, {c: F.col(c).cast("double") for c in targets}, targets)
     out = {}
     for (c, p), (r0, r1, frac) in plan.items():
-        v0, v1 = value_at(c, r0), value_at(c, r1)
-        out[(c, p)] = v0 + (v1 - v0) * frac if frac else v0
+        v0, v1 = found[c, r0], found[c, r1]
+        out[c, p] = v0 + (v1 - v0) * frac if frac else v0
     return out
 
 
+def co_moments(df: DataFrame, cols: Sequence[str]) -> list:
+    """One row for each set of columns that is null together: ``present`` (a bit for each
+    column that is not), ``n``, the means ``m<i>`` and the mean products of deviations
+    ``c<i>_<j>`` of the columns that are there.
+
+    Within such a set every pair of columns has the same rows, so one mean for each
+    column and one co-moment for each pair do for all correlations: 28 aggregates for
+    six columns.  There are at most 2 ** columns rows, and one where nothing is null.
+    """
+    values = [F.col(c).cast("double") for c in cols]
+    present = reduce(lambda a, b: a + b, (F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(0)
+                                          for i, c in enumerate(cols)))
+    return df.groupBy(present.alias("present")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
+        *[F.covar_pop(values[i], values[j]).alias(f"c{i}_{j}")
+          for i in range(len(cols)) for j in range(i, len(cols))]).collect()
+
+
+def _pair_correlation(rows: list, i: int, j: int) -> float | None:
+    """Pearson's correlation of the rows that hold both columns, merged from the
+    co-moments of the sets; null if a column is constant or there are no two rows."""
+    n, mx, my, xx, yy, xy = 0, 0.0, 0.0, 0.0, 0.0, 0.0
+    for r in rows:
+        if r["present"] >> i & 1 and r["present"] >> j & 1:
+            k, a, b = r["n"], r[f"m{i}"] - mx, r[f"m{j}"] - my
+            share = n * k / (n + k)
+            xx += k * r[f"c{i}_{i}"] + a * a * share
+            yy += k * r[f"c{j}_{j}"] + b * b * share
+            xy += k * r[f"c{min(i, j)}_{max(i, j)}"] + a * b * share
+            n, mx, my = n + k, mx + a * k / (n + k), my + b * k / (n + k)
+    if n < 2 or xx == 0 or yy == 0:
+        return None
+    return xy / (math.sqrt(xx) * math.sqrt(yy))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
     """Pairwise-complete Pearson correlations, one pass, long form (a, b, corr).
 
-    Each unordered pair is computed once and mirrored; the diagonal is 1 for
-    a column that varies and null for a constant one.
+    A pair with a constant column has a null; so has the diagonal of one.  The pass runs
+    when the frame is built: it leaves one small row for each set of columns that
+    are null together.
     """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = df.agg(*[
-        F.round(null_safe_corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")),
-                digits).alias(f"c{i}_{j}") for i, j in pairs])
-    entries = []
-    for i, j in pairs:
-        entries.append(f"'{cols[i]}', '{cols[j]}', {i}, {j}, c{i}_{j}")
-        if i != j:
-            entries.append(f"'{cols[j]}', '{cols[i]}', {j}, {i}, c{i}_{j}")
-    return wide.selectExpr(
-        f"stack({len(entries)}, {', '.join(entries)}) as (column_a, column_b, i, j, corr)")
+    rows = co_moments(df, cols)
+    out = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            r = _pair_correlation(rows, i, j)
+            out.append((a, b, i, j, r if r is None else round(r, digits)))
+    return df.sparkSession.createDataFrame(
+        out, "column_a string, column_b string, i int, j int, corr double")
 
 
 def corr_lower_triangle(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -62,16 +63,41 @@ def test_clock_texts(spark):
 
 
 def test_quantiles_with_one_extreme_value(spark):
-    """Ranges hold about as many values each, however far one value lies."""
     df = spark.range(20_000).select((F.col("id") / 100).alias("x")).union(
         spark.range(1).select(F.lit(1e9).alias("x")))
-    long = df.select(F.lit("x").alias("column_name"), F.col("x").alias("value"))
-    sizes = [r["count"] for r in PR.ranked_values(long).groupBy("part").count().collect()]
-    assert len(sizes) == 1 or max(sizes) < 20_001 / len(sizes) * 3
     got = PR.describe(df, ["x"]).first()
     assert (got.p25, got.p50, got.p75) == (50.0, 100.0, 150.0)
 
 
+@pytest.mark.parametrize("limit,margin", [(20_000, PR.BRACKET_MARGIN), (40, PR.BRACKET_MARGIN), (20_000, 1e-9)])
+def test_exact_ranks(spark, monkeypatch, limit, margin):
+    """Also with brackets that must be narrowed again, and with ones too narrow at first."""
+    monkeypatch.setattr(PR, "BRACKET_VALUES", limit)
+    rng = np.random.default_rng(2)
+    n = 30_000
+    data = {"normal": rng.normal(size=n), "ties": np.where(rng.random(n) < 0.9, 3.0, rng.integers(0, 9, n)),
+            "wide": rng.normal(size=n) * 10.0 ** rng.integers(-3, 9, n),
+            "ends": np.where(rng.random(n) < 0.1, np.inf, np.where(rng.random(n) < 0.1, -np.inf, rng.normal(size=n)))}
+    rows = [tuple(None if rng.random() < 0.05 else float(v) for v in r) for r in zip(*data.values())]
+    rows += [(float("nan"), 1.0, None, 0.0)] * 7
+    df = spark.createDataFrame(rows, "normal double, ties double, wide double, ends double").repartition(5)
+    ranks, want = {}, {}
+    for i, c in enumerate(df.columns):
+        held = np.sort([r[i] for r in rows if r[i] is not None])
+        ranks[c] = [0, 1, len(held) // 4, len(held) // 2, len(held) // 2 + 1, len(held) - 8, len(held) - 1]
+        want |= {(c, r): held[r] for r in ranks[c]}
+    got = PR.exact_ranks(df, {c: F.col(c) for c in df.columns}, ranks, margin)
+    assert set(got) == set(want)
+    assert all(got[k] == want[k] or (math.isnan(got[k]) and math.isnan(want[k])) for k in want)
+
+
+def test_describe_writes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(PR, "materialize", lambda *a: pytest.fail("wrote"))
+    df = spark.range(50_000).selectExpr("id * 1.5 a", "cast(null as int) b", "id % 7 c")
+    got = {r.column_name: r for r in PR.describe(df, ["a", "b", "c"]).collect()}
+    assert got["a"].p50 == 37499.25 and got["b"].p50 is None and (got["c"].p25, got["c"].p75) == (1.0, 5.0)
+
+
 def test_histograms_of_odd_columns(spark):
     df = spark.createDataFrame([(1.0, 5, None), (2.0, 5, None), (None, 5, None)], "a double, b int, c int")
     rows = {(r.column_name, r.bin): r["count"] for r in PR.histograms(df, ["a", "b", "c"], 2).collect()}
@@ -193,3 +219,33 @@ def test_sparse_indicators_agree(spark):
     for r in wide.collect():
         assert [i for i, n in enumerate(names) if r[n]] == spots[r.id]
     assert FT.one_hot_vector(df.filter("id < 0"), dictionary, cols).count() == 0
+
+
+def test_correlations_of_columns_with_different_nulls(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(500, 4)) @ rng.normal(size=(4, 4)) + 1e6
+    rows = [tuple(None if rng.random() < 0.3 else float(v) for v in r) for r in base]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r.column_a, r.column_b): r.corr for r in PR.corr_matrix(df, df.columns, 9).collect()}
+    want = df.toPandas().corr()
+    assert all(abs(got[x, y] - want.loc[x, y]) < 1e-7 for x in df.columns for y in df.columns)
+    one = PR.corr_matrix(df.limit(1), ["a", "b"]).collect() + PR.corr_matrix(df.filter("a > 0 and a < 0"), ["a"]).collect()
+    assert [r.corr for r in one] == [None] * 5
+
+
+def test_correlations_take_fewer_than_thirty_aggregates(spark):
+    from courtline.functions.constants import PROFILE_NUMERIC_COLUMNS as cols
+    taken = []
+    df = spark.range(3).selectExpr(*[f"id * {i} {c}" for i, c in enumerate(cols)])
+    group = type(df).groupBy
+    def watched(self, *keys):
+        found = group(self, *keys)
+        class Counted:
+            def agg(self, *a):
+                taken.append(len(a))
+                return found.agg(*a)
+        return Counted()
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "groupBy", watched)
+        PR.co_moments(df, cols)
+    assert taken == [28]
