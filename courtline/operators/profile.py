@@ -60,7 +60,7 @@ def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DESCRI
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     base = df.agg(*[x for i, c in enumerate(cols) for x in (
         F.count(c).alias(f"count{i}"),
-        rnd(F.avg(c)).alias(f"mean{i}"),
+        rnd(F.avg(c).cast("double")).alias(f"mean{i}"),
         rnd(F.stddev_samp(c)).alias(f"std{i}"),
         F.min(c).cast("double").alias(f"min{i}"),
         F.max(c).cast("double").alias(f"max{i}"))])
@@ -104,10 +104,10 @@ def exact_ranks(df: DataFrame, values: dict[str, Column], ranks: dict[str, list[
     """{(name, rank): value}: for each named double column of ``df`` the non-null values of
     the wanted ranks (from 0, ascending, NaN last).
 
-    One pass sketches all columns (KLL) and brackets every rank by two values.  One
-    counts the rows below and within each bracket, which also proves that it holds the
-    rank; a bracket that does not is widened.  One groups the values within brackets, a
-    small share of all rows, however many rows are equal.
+    One pass sketches all columns (KLL) and brackets every rank by two values.  One counts
+    the rows below each bracket, and one groups the values within brackets, a small share
+    of all rows, however many rows are equal.  Together they prove that a bracket holds
+    its rank; one that does not is widened.
     """
     names = [n for n in values if ranks.get(n)]
     if not names:
@@ -122,50 +122,51 @@ def exact_ranks(df: DataFrame, values: dict[str, Column], ranks: dict[str, list[
             f"s{i}", F.expr(f"array({', '.join(f'{q / 1000}D' for q in range(1001))})"))).alias(f"q{i}"))
     found = counts.select(*wanted, *[f"n{i}" for i in range(len(names))]).first()
     out: dict[tuple[str, int], float] = {}
-    open_ranks = []
-    for i, n in enumerate(names):
-        for r in sorted(set(ranks[n])):
-            if r < found[f"n{i}"]:
-                open_ranks.append((n, r))
-            else:
-                out[n, r] = float("nan")
     sizes = {n: found[f"n{i}"] for i, n in enumerate(names)}
     grid = {n: found[f"q{i}"] for i, n in enumerate(names)}
-    while open_ranks:
-        brackets = {}
-        for n, r in open_ranks:
-            low, high = r / sizes[n] - margin, (r + 1) / sizes[n] + margin
-            # the grid's ends are no bounds: they are open
-            brackets[n, r] = (grid[n][int(low * 1000)] if low > 0.001 else -math.inf,
-                              grid[n][min(1000, math.ceil(high * 1000))] if high < 0.999 else math.inf)
-        keys = list(brackets)
-        tests = [(number[n] < brackets[n, r][0], (number[n] >= brackets[n, r][0]) & (number[n] <= brackets[n, r][1]))
-                 for n, r in keys]
-        seen = df.agg(*[F.count_if(t).alias(f"{k}{i}") for i, pair in enumerate(tests)
-                        for k, t in zip(("below", "within"), pair)]).first()
-        held = [i for i, (n, r) in enumerate(keys) if seen[f"below{i}"] <= r < seen[f"below{i}"] + seen[f"within{i}"]]
-        open_ranks = [keys[i] for i in range(len(keys)) if i not in held]
-        margin *= 4
-        if not held:
-            continue
-        rows = df.select(F.explode(F.filter(F.array(*[
-            F.struct(F.lit(i).alias("at"), F.when(tests[i][1], number[keys[i][0]]).alias("value")) for i in held]),
-            lambda e: e["value"].isNotNull())).alias("e")).select("e.*")
+    pending = {n: sorted({r for r in ranks[n] if r < sizes[n]}) for n in names}
+    out |= {(n, r): float("nan") for n in names for r in ranks[n] if r >= sizes[n]}
+    while any(pending.values()):
+        spans: list[tuple[str, float, float, list[int]]] = []
+        for n in names:
+            for r in pending[n]:
+                low, high = r / sizes[n] - margin, (r + 1) / sizes[n] + margin
+                # the grid's ends are no bounds: they are open
+                low = grid[n][int(low * 1000)] if low > 0.001 else -math.inf
+                high = grid[n][math.ceil(high * 1000)] if high < 0.999 else math.inf
+                if spans and spans[-1][0] == n and low <= spans[-1][2]:
+                    spans[-1] = (n, spans[-1][1], max(high, spans[-1][2]), [*spans[-1][3], r])
+                else:
+                    spans.append((n, low, high, [r]))
+        below = df.agg(*[F.count_if(number[n] < low) for n, low, _, _ in spans]).first()
+        at = {n: F.coalesce(*[F.when(number[n].between(low, high), F.lit(i))
+                              for i, (m, low, high, _) in enumerate(spans) if m == n], F.lit(None).cast("int"))
+              for n in names}
+        rows = df.select(F.explode(F.array(*[F.struct(at[n].alias("at"), number[n].alias("value")) for n in names]))
+                         .alias("e")).select("e.*").filter(F.col("at").isNotNull())
         pairs = rows.groupBy("at", "value").agg(F.count(F.lit(1)).alias("rows"))
         listed = pairs.limit(BRACKET_VALUES + 1).collect()
+        margin *= 4
         if len(listed) <= BRACKET_VALUES:
-            for i in held:
-                left = keys[i][1] - seen[f"below{i}"]
-                for p in sorted((p for p in listed if p["at"] == i), key=lambda p: p["value"]):
-                    left -= p["rows"]
-                    if left < 0:
-                        out[keys[i]] = p["value"]
-                        break
+            by_span: list[list] = [[] for _ in spans]
+            for p in sorted(listed, key=lambda p: p["value"]):
+                by_span[p["at"]].append(p)
         else:
             kept = materialize(rows, "brackets")
+            held = {r["at"]: r["n"] for r in kept.groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}
             inner = exact_ranks(kept, {str(i): F.when(F.col("at") == i, F.col("value")) for i in held},
-                                {str(i): [keys[i][1] - seen[f"below{i}"]] for i in held})
-            out |= {keys[i]: inner[str(i), keys[i][1] - seen[f"below{i}"]] for i in held}
+                                {str(i): [r - below[i] for r in spans[i][3] if 0 <= r - below[i] < held[i]] for i in held})
+            out |= {(spans[int(i)][0], r + below[int(i)]): v for (i, r), v in inner.items()}
+            by_span = [[] for _ in spans]
+        for i, (n, _, _, wanted_ranks) in enumerate(spans):
+            for r in wanted_ranks:
+                left = r - below[i]
+                for p in by_span[i] if left >= 0 else ():
+                    left -= p["rows"]
+                    if left < 0:
+                        out[n, r] = p["value"]
+                        break
+        pending = {n: [r for r in pending[n] if (n, r) not in out] for n in names}
     return out
 
 

@@ -74,7 +74,7 @@ def test_exact_ranks(spark, monkeypatch, limit, margin):
     """Also with brackets that must be narrowed again, and with ones too narrow at first."""
     monkeypatch.setattr(PR, "BRACKET_VALUES", limit)
     rng = np.random.default_rng(2)
-    n = 30_000
+    n = 8_000
     data = {"normal": rng.normal(size=n), "ties": np.where(rng.random(n) < 0.9, 3.0, rng.integers(0, 9, n)),
             "wide": rng.normal(size=n) * 10.0 ** rng.integers(-3, 9, n),
             "ends": np.where(rng.random(n) < 0.1, np.inf, np.where(rng.random(n) < 0.1, -np.inf, rng.normal(size=n)))}
