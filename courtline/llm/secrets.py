@@ -3,7 +3,9 @@
 A tokenizer's vocabulary spells ordinary strings with few tokens.  Random
 strings need many, so a run of key-like characters with fewer than
 ``MAX_CHARS_PER_TOKEN`` characters for each token is reported, unless it is a
-digest of a usual length, an identifier, or a listed known value.
+digest of a usual length, an identifier, or a listed known value.  A run that is
+readable as a whole may still hold a key behind or between readable parts: then its
+stretches of parts that are no names are tested, and each part by itself.
 
 Base kinds, each leftmost and non-overlapping: ``assign`` (key, separator and a
 value of 6 or more characters), ``access`` (AKIA keys of 20 or more) and ``hex``
@@ -37,8 +39,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_VALUE, MIN_ACCESS = 6, 20
 
-#: Runs that could be keys: letters and digits mixed, of a length keys have.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Runs that could hold keys, and the length from which a piece of one is tested.
+MIN_KEY = 20
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 MAX_CHARS_PER_TOKEN = 2.0
 
 #: Hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
@@ -48,6 +51,7 @@ _UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}")
 #: A part of a snake, kebab, path or camel name, with at most a short number.
 _PART = re.compile(r"[a-z]*(?:[A-Z][a-z]+)*[0-9]{0,4}|[A-Z]+[0-9]{0,4}")
 _SEPARATORS = re.compile(r"[+/_=-]+")
+_BETWEEN = re.compile(r"[^+/_-]+")
 _NUMBERS = re.compile(r"[0-9+/_=-]+")
 
 
@@ -82,10 +86,44 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def pieces(run: str) -> Iterator[tuple[int, int]]:
+    """Where a key may lie within a run: the stretches of neighbouring parts that are no
+    names (``=`` at the end belongs to the last), then the single parts; longest first
+    at each place, ``MIN_KEY`` characters at least."""
+    parts = [m.span() for m in _BETWEEN.finditer(run)]
+    stretches: list[list[int]] = []
+    fresh = True
+    for a, b in parts:
+        if _PART.fullmatch(run[a:b].rstrip("=")):
+            fresh = True
+        elif fresh:
+            stretches.append([a, b])
+            fresh = False
+        else:
+            stretches[-1][1] = b
+    for a, b in [*map(tuple, stretches), *parts]:
+        if b - a >= MIN_KEY:
+            yield a, b
+
+
 def random_spans(text: str, vocabulary, max_ratio: float, known: frozenset[str]) -> list:
-    return [(m.start(), m.end(), "random") for m in CANDIDATE.finditer(text)
-            if not is_known(run := m.group(), known)
-            and len(run) < max_ratio * len(vocabulary.encode_ordinary(run))]
+    def inefficient(piece: str) -> bool:
+        return not is_known(piece, known) and len(piece) < max_ratio * len(vocabulary.encode_ordinary(piece))
+
+    found = []
+    for m in CANDIDATE.finditer(text):
+        run, start = m.group(), m.start()
+        if is_known(run, known):
+            continue
+        if inefficient(run):
+            found.append((start, m.end(), "random"))
+            continue
+        held: list[tuple[int, int]] = []
+        for a, b in pieces(run):
+            if not any(c <= a and b <= d for c, d in held) and inefficient(run[a:b]):
+                held.append((a, b))
+        found += [(start + a, start + b, "random") for a, b in sorted(held)]
+    return found
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
