@@ -319,6 +319,15 @@ FROM lookup l LEFT JOIN (SELECT event_type, count(*) AS plays FROM silver GROUP
         f"SELECT '{c} is listed' AS expectation, count(*) AS rows, "
         f"count(*) FILTER ({c} NOT IN ({sql_list(v)})) AS violations FROM f_base"
         for c, v in P.ONE_HOT_VALUES.items())),
+    "csv_scan": """
+SELECT user_id AS game_id, event_id AS event_num, event_type AS event_name, value AS points,
+       CAST(date_trunc('second', ts) AS TIMESTAMP) AS played_at,
+       CASE WHEN event_id % 11 <> 0 THEN props || CASE WHEN event_id % 5 = 0 THEN chr(10) ELSE ', ' END
+         || 'by "' || event_type || '"' END AS note
+FROM events WHERE event_id % 50 <> 0 AND event_id % 70 <> 0""",
+    "csv_rejects": """
+SELECT CAST(user_id AS VARCHAR) AS game_id, count(*) AS rejected
+FROM events WHERE event_id % 50 = 0 OR event_id % 70 = 0 GROUP BY user_id""",
     "category_dictionary": _q(["categories"], "SELECT * FROM categories"),
     "one_hot_discovered": _q(["categories"], """
 SELECT game_id, event_num, score_margin_complete, concat_ws(',', e.code,

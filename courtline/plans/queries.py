@@ -31,7 +31,7 @@ from courtline.plans.pipeline import CHECKS_TABLE, medallion
 from courtline.session import input_version, scratch_path, shared_copy, shared_value
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
-from courtline.sources.fixtures import game_bronze, play_by_play_bronze
+from courtline.sources.fixtures import CSV_SCHEMA, event_csv, game_bronze, play_by_play_bronze
 from courtline.streaming.ingest import ingest_to_bronze
 
 
@@ -209,6 +209,23 @@ def union_seasons(spark, sf_dir):
     return FS.union_seasons(FS.read_each(spark, path, names, _in(spark, sf_dir).bronze.schema))
 
 
+def _scanned_csv(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    path = event_csv(spark, sf_dir, scratch_path(spark, "csv_files"))
+    return FS.scan_csv(spark, path, CSV_SCHEMA, multi_line=True)
+
+
+def csv_scan(spark, sf_dir):
+    """Typed rows of CSV files with quoted fields and line breaks within them."""
+    return _scanned_csv(spark, sf_dir)[0]
+
+
+def csv_rejects(spark, sf_dir):
+    """Lines of the same files that do not fit the schema, by how they begin."""
+    rejects = _scanned_csv(spark, sf_dir)[1]
+    return rejects.groupBy(F.substring_index("line", ",", 1).alias("game_id")).agg(
+        F.count(F.lit(1)).alias("rejected"))
+
+
 def incremental_ingest(spark, sf_dir):
     """Season files streamed into a bronze folder (availableNow), read back."""
     bronze = _in(spark, sf_dir).bronze
@@ -751,6 +768,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_bronze": scan_bronze,
     "scan_latest_files": scan_latest_files,
     "union_seasons": union_seasons,
+    "csv_scan": csv_scan,
+    "csv_rejects": csv_rejects,
     "incremental_ingest": incremental_ingest,
     "table_roundtrip": table_roundtrip,
     "medallion_pipeline": medallion_pipeline,

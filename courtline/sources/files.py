@@ -14,7 +14,10 @@ from functools import reduce
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from courtline.session import materialize
 
 
 def read_bronze(spark: SparkSession, path: str | Sequence[str],
@@ -78,13 +81,39 @@ def read_each(spark: SparkSession, path: str, names: Sequence[str],
     return [read_bronze(spark, f"{base}/{n}", schema, base_path=base) for n in names]
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None
-             ) -> DataFrame:
-    """CSV with a header line.  Pass a schema in production: inference reads
-    the data twice."""
-    reader = spark.read.option("header", True)
+_CORRUPT = "__corrupt_record"
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with a header line; quotes are doubled within quoted fields.  Pass a schema in
+    production: inference reads the data twice.  ``multi_line`` allows line breaks within
+    quoted fields, at the price that a file is no longer split between tasks, so files
+    should be of moderate size.  A line that does not fit the schema becomes nulls; use
+    ``scan_csv`` to tell such lines apart."""
+    reader = _csv_reader(spark, multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
+
+
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
+             ) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files: the lines that fit the schema, typed, and the text of
+    those that do not (``file``, ``line``), because a field does not parse or there are too
+    few or too many.  The files are parsed once, into a copy that both frames read."""
+    declared = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    full = StructType([*declared.fields, StructField(_CORRUPT, StringType())])
+    parsed = (_csv_reader(spark, multi_line).schema(full).option("columnNameOfCorruptRecord", _CORRUPT)
+              .csv(path).withColumn("__file", F.col("_metadata.file_name")))
+    copy = materialize(parsed, "csv")
+    rows = copy.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT, "__file")
+    rejects = copy.filter(F.col(_CORRUPT).isNotNull()).select(
+        F.col("__file").alias("file"), F.col(_CORRUPT).alias("line"))
+    return rows, rejects

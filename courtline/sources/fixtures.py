@@ -111,3 +111,31 @@ def game_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(80 + o_custkey % 50 AS INT) AS home_team_score",
         "CAST(80 + o_orderkey % 47 AS INT) AS away_team_score",
     )
+
+
+CSV_SCHEMA = "game_id BIGINT, event_num BIGINT, event_name STRING, points DOUBLE, played_at TIMESTAMP_NTZ, note STRING"
+
+# One event as a line of CSV: quotes are doubled, every 5th note has a line break, every
+# 11th is empty; every 50th line has a number that is none, every 70th lacks a field.
+_CSV_LINE = [
+    "CAST(user_id AS STRING)",
+    "IF(event_id % 50 = 0, 'x' || event_id, CAST(event_id AS STRING))",
+    "event_type",
+    "CAST(value AS STRING)",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+    "IF(event_id % 11 = 0, '', '\"' || replace(props, '\"', '\"\"') || IF(event_id % 5 = 0, '\n', ', ')"
+    " || 'by \"\"' || event_type || '\"\"\"')",
+]
+
+
+def event_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """A folder of CSV files of all events, some lines malformed."""
+    ev = read_table(spark, sf_dir, "events").selectExpr("event_id", *[f"{e} AS f{i}" for i, e in enumerate(_CSV_LINE)])
+    names = ",".join(part.split()[0] for part in CSV_SCHEMA.split(", "))
+    line = F.when(F.col("event_id") % 70 == 0, F.concat_ws(",", "f0", "f1", "f2", "f3")).otherwise(
+        F.concat_ws(",", *[f"f{i}" for i in range(len(_CSV_LINE))]))
+    # files without a header would lose their first line: each partition begins with one
+    lines = ev.select(F.concat(F.when(F.monotonically_increasing_id() % (1 << 33) == 0, F.lit(names + "\n"))
+                               .otherwise(""), line).alias("value"))
+    lines.write.mode("overwrite").text(path)
+    return path

@@ -90,6 +90,49 @@ def test_csv_read(spark, tmp_path):
     assert dict(inferred.dtypes)["event_num"] == "int"
 
 
+CSV = """id,name,score,day
+1,"a, ""quoted"" one",1.5,2024-01-02
+2,"two
+lines",,2024-01-03
+x,bad number,1,2024-01-04
+4,too,few
+5,,7.25,2024-01-05
+6,too,1,2024-01-06,many
+7,"",0,not a day
+8,last,-2,
+"""
+
+
+def test_csv_scan_agrees_with_another_reader(spark, tmp_path):
+    """Rows and rejects are those of DuckDB's reader, which skips and stores errors."""
+    import duckdb
+    p = tmp_path / "plays.csv"
+    p.write_text(CSV)
+    rows, rejects = FS.scan_csv(spark, str(p), "id INT, name STRING, score DOUBLE, day DATE", multi_line=True)
+    con = duckdb.connect()
+    theirs = con.sql(f"""SELECT * FROM read_csv('{p}', header = true, quote = '"', escape = '"', strict_mode = true,
+        columns = {{'id': 'INTEGER', 'name': 'VARCHAR', 'score': 'DOUBLE', 'day': 'DATE'}}, ignore_errors = true,
+        store_rejects = true, null_padding = false, new_line = '\\n')""").fetchall()
+    ours = sorted((r.id, r.name or None, r.score, r.day) for r in rows.collect())
+    assert ours == sorted((a, b or None, c, d) for a, b, c, d in theirs)
+    assert [r[0] for r in ours] == [1, 2, 5, 8] and ours[1][1] == "two\nlines"
+    lines = {r.line.split(",")[0] for r in rejects.collect()}
+    assert lines == {"x", "4", "6", "7"} and {r.file for r in rejects.collect()} == {"plays.csv"}
+    bad = con.sql("SELECT count(DISTINCT line) FROM reject_errors").fetchall()[0][0]
+    assert bad == len(lines)
+
+
+def test_csv_scan_splits_files_without_line_breaks_in_fields(spark, tmp_path):
+    p = tmp_path / "many.csv"
+    p.write_text("a,b\n" + "".join(f"{i},{i if i % 10 else 'x'}\n" for i in range(5000)))
+    rows, rejects = FS.scan_csv(spark, str(p), "a INT, b INT")
+    assert rows.count() == 4500 and rejects.count() == 500
+    assert rows.agg(F.sum("a")).first()[0] == sum(i for i in range(5000) if i % 10)
+    empty = tmp_path / "empty.csv"
+    empty.write_text("a,b\n")
+    assert [f.count() for f in FS.scan_csv(spark, str(empty), "a INT, b INT")] == [0, 0]
+
+
 def test_catalog_roundtrip(spark):
     C.use_database(spark, "courtline_test")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
