@@ -31,7 +31,12 @@ from courtline.llm.common import batches_of, in_python
 
 CRLF = "\r\n"
 MIN_REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 30_000
+#: Payload bytes of an archive at most, unless a single page has more: a reader holds an
+#: archive in memory, and Spark reads none of 2 GB or more.
+ARCHIVE_BYTES = 256 << 20
+#: Bounds of the size classes of pages; each class is written with as many records to a
+#: file as ARCHIVE_BYTES allow at its bound.
+SIZE_CLASSES = (64 << 10, 1 << 20, 16 << 20, 256 << 20)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -83,15 +88,23 @@ def _urn(page: Column, part: str) -> Column:
                     F.lit(f":{part}>"))
 
 
+def size_class(payload: Column) -> Column:
+    """The number of the bounds that a payload's bytes exceed."""
+    size = F.coalesce(F.octet_length(payload), F.lit(0))
+    return sum((F.when(size > b, 1).otherwise(0) for b in SIZE_CLASSES), F.lit(0))
+
+
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
-                   records_per_file: int = RECORDS_PER_FILE, **columns) -> str:
-    """Three records for each page as gzipped archives under ``path``."""
-    c = captures(pages, **columns)
+                   archive_bytes: int = ARCHIVE_BYTES, html: str = "html", **columns) -> str:
+    """Three records for each page as gzipped archives under ``path``, bounded by bytes:
+    one write for each size class that occurs, most often one."""
+    present = [r[0] for r in pages.select(size_class(F.col(html))).distinct().collect()]  # 5 at most
+    c = captures(pages, html=html, **columns)
     uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     host = F.regexp_extract(uri, r"^[A-Za-z]+://([^/?#]*)", 1)
     again = F.col("refers_to").isNotNull()
     c = c.select("page_id", uri.alias("uri"), host.alias("host"), "payload", "digest", "refers_to",
-                 again.alias("again"))
+                 again.alias("again"), size_class(F.col("payload")).alias("size_class"))
     page, uri = F.col("page_id"), F.col("uri")
     answer = _urn(page, "response")
     together = _header("WARC-Concurrent-To", answer)
@@ -112,9 +125,12 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     fields = _lines(_header("page", F.coalesce(page.cast("string"), F.lit(""))))
     metadata = _record(F.lit("metadata"), _urn(page, "metadata"), uri, date,
                        F.lit("application/warc-fields"), fields, together)
-    records = c.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    (records.write.option("lineSep", CRLF + CRLF).option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    for k in sorted(present) or [0]:
+        some = c.filter(F.col("size_class") == k) if len(present) > 1 else c
+        pages_per_file = max(1, archive_bytes // SIZE_CLASSES[min(k, len(SIZE_CLASSES) - 1)])
+        records = some.select(F.explode(F.array(request, response, metadata)).alias("value"))
+        (records.write.mode("append").option("lineSep", CRLF + CRLF).option("compression", "gzip")
+         .option("maxRecordsPerFile", 3 * pages_per_file if k < len(SIZE_CLASSES) else 3).text(path))
     return path
 
 

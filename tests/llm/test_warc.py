@@ -42,7 +42,7 @@ def test_round_trip(spark):
 
 def test_many_files_and_gzip_members(spark):
     html = [f"page {i} " * (i % 50) for i in range(300)]
-    nested = round_trip(spark, pages(spark, html), records_per_file=7)
+    nested = round_trip(spark, pages(spark, html), archive_bytes=2 * warc.SIZE_CLASSES[0])
     rows = {r.page_id: r.payload_bytes for r in warc.page_rows(nested).collect()}
     assert rows == {i: len(h) for i, h in enumerate(html)}
     record = b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 4\r\n\r\na: b\r\n\r\n"
@@ -51,6 +51,20 @@ def test_many_files_and_gzip_members(spark):
     assert [b for _, b in warc.parse(record * 2)] == [b"a: b"] * 2
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    """Large pages make more archives, by their size class; none holds more than the bound
+    but that of a single larger page."""
+    monkeypatch.setattr(warc, "SIZE_CLASSES", (1000, 10_000))
+    sizes = [900] * 40 + [9000] * 10 + [60_000] * 3
+    html = [f"{i:05d}" + chr(97 + i % 26) * (n - 5) for i, n in enumerate(sizes)]
+    path = warc.write_archives(pages(spark, html).coalesce(1), scratch_path(spark, "warc"), archive_bytes=20_000)
+    files = [gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").option(
+        "pathGlobFilter", "part-*").load(path).collect()]
+    held = [[len(b) for h, b in warc.parse(f) if h["warc-type"] == "response"] for f in files]
+    assert sorted(map(len, held)) == [1] * 3 + [2] * 5 + [20] * 2
+    assert sorted(warc.page_rows(warc.assemble(warc.read_archives(spark, path))).toPandas().payload_bytes) == sorted(sizes)
+
+
 def test_damaged_archives_are_reported():
     with pytest.raises(ValueError, match="begins with"):
         list(warc.parse(b"not an archive\r\n"))
