@@ -13,7 +13,9 @@ threat on with a mark:
 Their composition is one transducer, built once.  Its outputs are patterns such
 as "targeted insult" or "negated, reported threat"; a match counts with the
 weight of its lexicon entry.  A document's score is a logistic function of the
-pattern sums, so a word alone decides nothing: its clause does.
+pattern sums.  An insult or threat without any mark is a pattern as well, and its
+weight is learned like the others': where labels follow the words however their
+clauses are built, as in the test tables, a word alone can decide.
 
 Learning uses labelled rows outside the held-out third only, at most
 ``max_rows`` of them by hash of the id, exact copies once: word beginnings that mark toxic

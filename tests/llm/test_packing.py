@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cases import ODD, docs, small_docs
-from courtline.llm import packing
+from courtline.llm import packing, ranks
 
 VOCAB = P.path("byte_bpe_50k.tiktoken")
 
@@ -92,3 +92,12 @@ def test_empty_and_repeated(spark):
     assert packing.pack_documents(docs(spark, []), VOCAB, P.PATTERN).count() == 0
     rows = packing.pack_documents(docs(spark, ["same text"] * 600, ids=[None] * 600), VOCAB, P.PATTERN).collect()
     assert len({(r.sequence_id, r.offset) for r in rows}) == 600
+
+
+def test_equal_rows_share_no_bucket(spark):
+    """50,000 rows alike, as null ids make them, are numbered by several tasks."""
+    rows = spark.range(50_000).selectExpr("1 length", "cast(null as long) doc_id")
+    sizes = [r["count"] for r in ranks.with_buckets(rows, ["doc_id"], 5).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 12_000
+    got = ranks.number_within(rows, "length", ["doc_id"], "rank", 50_000)
+    assert got.agg(F.countDistinct("rank"), F.min("rank"), F.max("rank")).first()[:] == (50_000, 0, 49_999)

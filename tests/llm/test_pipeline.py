@@ -1,6 +1,8 @@
 import corpus_pipeline as pipeline
 from cases import ODD, docs
 from courtline.llm import queries
+from courtline.session import materialize, release_scratch, scratch_root
+from courtline.sources.files import list_folders
 from test_near_dup import shingle_set
 
 SMALL = "/root/testdata/sf0.001"
@@ -12,7 +14,7 @@ def test_stages_on_the_small_tables(spark):
     seen = {}
     for name, stage in pipeline.STAGES:
         before = data
-        data = pipeline.materialize(stage(spark, before, SMALL), name)
+        data = materialize(stage(spark, before, SMALL), name)
         seen[name] = data.count()
         if name != "best_fit_packing":
             assert data.columns == columns and seen[name] <= n
@@ -29,7 +31,13 @@ def test_stages_take_odd_and_empty_tables(spark):
     for texts in (ODD, []):
         data = docs(spark, texts, clash=False)
         for name, stage in pipeline.STAGES:
-            data = pipeline.materialize(stage(spark, data, SMALL), name)
+            data = materialize(stage(spark, data, SMALL), name)
+
+
+def test_run_leaves_its_result_only(spark):
+    release_scratch(spark)
+    n = pipeline.run(spark, SMALL).count()
+    assert n > 0 and [x.rsplit("-", 1)[0] for x in list_folders(spark, scratch_root(spark))] == ["best_fit_packing"]
 
 
 def test_every_operator_has_one_query():
