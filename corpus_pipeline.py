@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courtline.llm import decontaminate, near_dup, packing, quality, secrets
-from courtline.session import materialize
+from courtline.session import delete_path, scratch_path, scratch_scope
 from courtline.sources.tables import table_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -59,8 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last stage's rows."""
-    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    """All stages over ``documents``; the last stage's rows.  Once a stage is written, what
+    it used on the way goes, and the copy of the stage before it."""
+    docs, before = spark.read.parquet(table_path(sf_dir, "documents")), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
