@@ -1,9 +1,9 @@
 """Analyst queries over the gold tables (dashboard data).
 
-The event lookup is a fixed 12-row table, so broadcasting it is always safe.
-The home ⋈ away team join is left to the planner: both sides are grouped by
-(team, season), and AQE turns the sort-merge join into a broadcast at run
-time only if a side is measured to be small.
+All joins are left to the planner.  The event lookup has 12 rows, which it sees, and
+broadcasts it.  Of the home ⋈ away team join both sides are grouped by (team, season),
+and AQE turns the sort-merge join into a broadcast at run time only if a side is
+measured to be small.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ FAST_KEYS = [
     "corr_matrix", "histogram", "game_name", "first_games", "top_shot_makers", "momentum",
     "lag_40", "regression_metrics", "expectation", "duplicate_count", "one_hot", "feature_table",
     "normalize_names", "train_split", "random_split", "fold_sizes", "simple_regression", "histograms",
-    "team_feature_table", "unlisted_categories",
+    "team_feature_table", "unlisted_categories", "pipeline_violations", "category_dictionary",
+    "one_hot_discovered", "csv_scan", "csv_rejects",
 ]
 
 
