@@ -29,6 +29,11 @@ The window then runs per (group, segment), and only hot groups need stitching:
 * ``lag_rows``: the first ``n`` rows of a segment get their values from "halo" copies
   of the last rows of the segments before, matched on (group, segment, index).
 
+**Tasks.**  The planner sizes window tasks by shuffled bytes, which are compressed and
+often of fewer columns than the window sorts, so a task's memory grows with the input
+up to many times that size.  The count tells the rows too, so they are dealt (``deal``) by
+group to as many tasks as ``TASK_ROWS`` asks for.
+
 Results equal the single-window form; group and order keys may be null (nulls come
 first and match each other).  Order keys are cut if they are whole numbers, floating
 point numbers, dates, timestamps or decimals of at most 18 digits; a hot group ordered
@@ -43,7 +48,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows of a group that one window task sorts; regular games have < 1,000.
@@ -57,6 +62,12 @@ MAX_PIECES = 1 << 13
 MAX_CUTS = 1 << 18
 # Cuts in a node of the search tree.
 FANOUT = 64
+# Rows dealt to a task, on average.  A row of the play silver takes some 1.6 KB there: the
+# sort of the window and both hash tables of the whole-row de-duplication behind it.
+TASK_ROWS = 200_000
+# Tasks of one window; with more than MAX_TASKS * TASK_ROWS rows (13 billion) they grow
+# and spill.
+MAX_TASKS = 1 << 16
 
 _SEG = "__seg"
 _DIGEST = "__digest"
@@ -103,18 +114,23 @@ def _number(name: str, dtype: str) -> Column | None:
 class Cuts:
     """Where hot groups are cut.  ``levels`` are the search tree's tables, its root first:
     (group keys, ``__node``, ``__cuts``), ``__cuts`` an array of structs that compare with
-    ``key``.  ``inside``: some cut lies between rows that tie on the order key."""
+    ``key``.  ``inside``: some cut lies between rows that tie on the order key.
+    ``rows``: all that were counted (0: not counted)."""
 
     by: tuple[str, ...]
     orders: tuple[str, ...]
     levels: tuple[DataFrame, ...] = ()
     count: int = 0
     inside: bool = False
+    rows: int = 0
 
     @property
     def empty(self) -> bool:
         return not self.levels
 
+    def tasks(self, spark: SparkSession) -> int:
+        return task_count(spark, self.rows, TASK_ROWS)
+
     def key(self, dtypes: dict[str, str]) -> Column:
         """A row's place.  A cut has a 1 behind each value within which it lies and a 2
         behind the value after which it comes; so it compares as a struct."""
@@ -166,16 +182,20 @@ def _quantile_cuts(df: DataFrame, by: list[str], order: str, hot: list, segment_
     return out
 
 
-def _group_cuts(df: DataFrame, by: list[str], orders: list[str], segment_rows: int) -> list[tuple[tuple, list[tuple]]]:
-    """(group keys, cuts) of the groups above ``segment_rows`` rows; a cut is
-    (value, 1 or 2, value of the tiebreak, 1 or 2, .., digest), with None behind a 2."""
+def _group_cuts(df: DataFrame, by: list[str], orders: list[str], segment_rows: int
+                ) -> tuple[list[tuple[tuple, list[tuple]]], int]:
+    """(group keys, cuts) of the groups above ``segment_rows`` rows, and the rows of all groups;
+    a cut is (value, 1 or 2, value of the tiebreak, 1 or 2, .., digest), with None behind a 2."""
     types = dict(df.dtypes)
     keys = [f"__k{i}" for i in range(len(by))]
-    hot = (df.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)])
-           .agg(F.count(F.lit(1)).alias("__rows"), F.count(orders[0]).alias("__known"))
-           .filter(F.col("__rows") > segment_rows).collect())
+    counts = (df.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)])
+              .agg(F.count(F.lit(1)).alias("__rows"), F.count(orders[0]).alias("__known")))
+    # one job: the hot groups (at most rows / segment_rows) come with the sum of all
+    total, hot = counts.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)),
+        F.collect_list(F.when(F.col("__rows") > segment_rows, F.struct(*keys, "__rows", "__known")))).first()
     if not hot:
-        return []
+        return [], total
     segment_rows = max(segment_rows, sum(r["__rows"] for r in hot) // MAX_CUTS)
     quantiles = _quantile_cuts(df, by, orders[0], hot, segment_rows)
     rest = 2 * (len(orders) - 1)
@@ -206,11 +226,11 @@ def _group_cuts(df: DataFrame, by: list[str], orders: list[str], segment_rows: i
         tie = F.col(orders[0]).isNull() if value is None else value.eqNullSafe(F.col("__v"))
         tied = df.join(F.broadcast(listed), _same(by, keys) & tie).select(
             run_key, *orders[1:])
-        for (run,), inner in _group_cuts(tied, [run_key], orders[1:], segment_rows):
+        for (run,), inner in _group_cuts(tied, [run_key], orders[1:], segment_rows)[0]:
             g, v = runs[run]
             out[g][1].extend((v, 1, *c) for c in inner)
     return [(k, sorted(c, key=lambda cut: tuple((x is not None, x if x is not None else 0) for x in cut)))
-            for k, c in out if c]
+            for k, c in out if c], total
 
 
 def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "event_num",
@@ -226,9 +246,9 @@ def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "e
     if segment_rows is None:
         return Cuts(tuple(by), tuple(orders))
     types = dict(df.dtypes)
-    found = _group_cuts(df.select(*by, *[o for o in orders if o not in by]), by, orders, segment_rows)
+    found, total = _group_cuts(df.select(*by, *[o for o in orders if o not in by]), by, orders, segment_rows)
     if not found:
-        return Cuts(tuple(by), tuple(orders))
+        return Cuts(tuple(by), tuple(orders), rows=total)
     numbers = [_number(o, types[o]) for o in orders]
     kinds = ["long" if n is None else dict(df.select(n.alias("v")).dtypes)["v"] for n in numbers]
     struct = ", ".join(f"o{i}: {k}, m{i}: int" for i, k in enumerate(kinds)) + ", d: long"
@@ -243,7 +263,35 @@ def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "e
         # what leads to node j of the level below is its first cut
         lists = [(k, c[FANOUT::FANOUT]) for k, c in lists]
     return Cuts(tuple(by), tuple(orders), tuple(reversed(levels)), sum(len(c) for _, c in found),
-                any(cut[1] == 1 for _, c in found for cut in c))
+                any(cut[1] == 1 for _, c in found for cut in c), total)
+
+
+def task_count(spark: SparkSession, rows: int, task_rows: int) -> int:
+    """Tasks that ``rows`` are dealt to: as many as ``task_rows`` asks for and no fewer than
+    there are cores; 0 (no dealing) if one task can take them all."""
+    if rows <= task_rows:
+        return 0
+    return min(MAX_TASKS, max(-(-rows // task_rows), spark.sparkContext.defaultParallelism))
+
+
+def even_tasks(df: DataFrame, by: Sequence[str], task_rows: int) -> int:
+    """``task_count`` of ``df``, or 0 if a key of ``by`` holds more than ``SEGMENT_ROWS``: such
+    a key is left to the planner, which splits its join.
+
+    Keys are counted by buckets of their hash, so that the count takes no memory by key; a
+    bucket far above the mean holds a hot key.
+    """
+    buckets = 1 << 16
+    counts = df.groupBy(F.pmod(F.xxhash64(*by), F.lit(buckets)).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    rows, most = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.coalesce(F.max("__n"), F.lit(0))).first()
+    return 0 if most > SEGMENT_ROWS + 2 * rows // buckets else task_count(df.sparkSession, rows, task_rows)
+
+
+def deal(df: DataFrame, by: Sequence[str], cuts: Cuts) -> DataFrame:
+    """``df`` hash-partitioned by ``by`` over ``cuts.tasks``.  The shuffle stands in for that of
+    the window behind it, and falls away if ``df`` comes dealt alike."""
+    tasks = cuts.tasks(df.sparkSession)
+    return df.repartition(tasks, *by) if tasks else df
 
 
 def with_segment(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -293,7 +341,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "
     if cuts.empty:
         w = (Window.partitionBy(*by).orderBy(*orders, row_digest(df, digest_of))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+        return deal(df, by, cuts).withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
     rows = with_segment(df.withColumn(_DIGEST, row_digest(df, digest_of)), cuts)
     keys, orders = [*by, _SEG], [*orders, _DIGEST]
@@ -311,7 +359,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] = "
         carry.withColumn("__m", F.lit(0)), allowMissingColumns=True)
     w = (Window.partitionBy(*keys).orderBy("__m", *orders)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = both.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    out = deal(both, keys, cuts).withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     out = out.filter(F.col("__m") == 1)
     if segment_column and not cuts.inside:
         return out.select(*df.columns, F.col(_SEG).alias(segment_column))
@@ -357,12 +405,12 @@ def _lag(df: DataFrame, cols: Sequence[str], outs: Sequence[str], n: int, by: li
     cuts = _checked(cuts, df, by, orders, segment_rows if n > 0 else None)
     if cuts.empty or n <= 0:
         w = Window.partitionBy(*by).orderBy(*orders, row_digest(df))
-        return df.withColumns({o: F.lag(c, n).over(w) for c, o in zip(cols, outs)})
+        return deal(df, by, cuts).withColumns({o: F.lag(c, n).over(w) for c, o in zip(cols, outs)})
     rows = with_segment(df.withColumn(_DIGEST, row_digest(df)), cuts)
     orders = [*orders, _DIGEST]
     w = Window.partitionBy(*by, _SEG).orderBy(*orders)
-    local = rows.withColumns({"__rn": F.row_number().over(w),
-                              **{o: F.lag(c, n).over(w) for c, o in zip(cols, outs)}})
+    local = deal(rows, [*by, _SEG], cuts).withColumns({
+        "__rn": F.row_number().over(w), **{o: F.lag(c, n).over(w) for c, o in zip(cols, outs)}})
     halo = _halo(_only_hot(rows, cuts), cols, outs, n, by, orders)
     first = [*[f"__h{i}" for i in range(len(by))], "__hs", "__hr"]
     joined = local.join(halo, _same([*by, _SEG, "__rn"], first), "left")

@@ -48,6 +48,9 @@ LINE_FEATURES = ["score_margin_40_events_ago", "minute_game"]
 # Leaf sizes of the one-split grid.
 STUMP_LEAVES = [1, 40]
 
+# Lines of games dealt to a task, some 0.2 KB each with the game silver's de-duplication.
+LINES_PER_TASK = 1_200_000
+
 FIRST_GAMES = 20
 TOP_K = 3
 LATEST_SEASONS = 10

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from courtline.operators import medallion as M
 from courtline.operators.quality import expect_all
+from courtline.operators.windows import Cuts
 from courtline.sources.catalog import save_table
 
 CHECKS_TABLE = "pipeline_checks"
@@ -91,12 +92,13 @@ class Pipeline:
         return tables
 
 
-def medallion(sep: str = "_", expectations: Sequence[tuple[str, Column]] = ()) -> Pipeline:
-    """The tables of the original; ``expectations`` are further ones of the play silver."""
+def medallion(sep: str = "_", expectations: Sequence[tuple[str, Column]] = (), cuts: Cuts | None = None) -> Pipeline:
+    """The tables of the original; ``expectations`` are further ones of the play silver.
+    ``cuts`` are those of an earlier count of the bronze plays (default: they are counted)."""
     name, column = SILVER_EXPECTATION
     silver_checks = ((name, F.col(column).isNotNull()), *expectations)
     p = Pipeline()
-    p.add(Dataset("play_by_play_silver", lambda b: M.play_by_play_silver(b, sep),
+    p.add(Dataset("play_by_play_silver", lambda b: M.play_by_play_silver(b, sep, cuts=cuts),
                   ("play_bronze",), "Play-by-play rows: typed, names merged, scores filled, "
                   "de-duplicated", expectations=silver_checks))
     p.add(Dataset("overall_game_silver", M.overall_game_silver, ("game_bronze",),

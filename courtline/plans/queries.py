@@ -2,9 +2,10 @@
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the whole test tables.
 ``Inputs`` builds the shared upstream frames lazily.  One job runs when the first plan
-over the play silver of an input is built, the count of its games (``Inputs.cuts``);
-otherwise nothing runs until the caller acts on the returned frame, but for the
-copies and tables that a query says it writes.
+over the play silver of an input is built, the count of its games (``Inputs.cuts``), and
+one when the first plan over its game silver is (``Inputs.game``); otherwise nothing runs
+until the caller acts on the returned frame, but for the copies and tables that a query
+says it writes.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ from courtline.operators import medallion as M
 from courtline.operators import modeling as ML
 from courtline.operators import profile as PR
 from courtline.operators import quality as Q
-from courtline.operators.windows import Cuts, hot_cuts, lag_all_columns, lag_rows
+from courtline.operators.windows import Cuts, even_tasks, hot_cuts, lag_all_columns, lag_rows
 from courtline.plans import params as P
 from courtline.plans.pipeline import CHECKS_TABLE, medallion
 from courtline.session import input_version, scratch_path, shared_copy, shared_value
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
-from courtline.sources.fixtures import CSV_SCHEMA, event_csv, game_bronze, play_by_play_bronze
+from courtline.sources.fixtures import CSV_SCHEMA, event_csv, game_bronze, game_lines, play_by_play_bronze
 from courtline.streaming.ingest import ingest_to_bronze
 
 
@@ -66,9 +67,19 @@ class Inputs:
     def bronze(self) -> DataFrame:
         return play_by_play_bronze(self.spark, self.sf_dir)
 
+    @cached_property
+    def dealt_bronze(self) -> DataFrame:
+        """Bronze dealt by game to the tasks that its count asks for.  With a hot game the
+        fill deals its segments instead."""
+        tasks = self.cuts.tasks(self.spark) if self.cuts.empty else 0
+        return play_by_play_bronze(self.spark, self.sf_dir, tasks) if tasks else self.bronze
+
     @cached_property
     def game(self) -> DataFrame:
-        return game_bronze(self.spark, self.sf_dir)
+        """Game bronze, dealt by game to the tasks that one count of its lines asks for."""
+        tasks = shared_value(self.spark, "line tasks", self.version, lambda: even_tasks(
+            game_lines(self.spark, self.sf_dir), ["l_orderkey"], P.LINES_PER_TASK))
+        return game_bronze(self.spark, self.sf_dir, tasks)
 
     @cached_property
     def projected(self) -> DataFrame:
@@ -84,7 +95,7 @@ class Inputs:
 
     @cached_property
     def filled(self) -> DataFrame:
-        return M.fill_with_copies(self.named, cuts=self.cuts)
+        return M.fill_with_copies(M.named_plays(self.dealt_bronze), cuts=self.cuts)
 
     @cached_property
     def completed(self) -> DataFrame:
@@ -92,7 +103,7 @@ class Inputs:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return M.play_by_play_silver(self.bronze, cuts=self.cuts)
+        return M.play_by_play_silver(self.dealt_bronze, cuts=self.cuts)
 
     @cached_property
     def silver_shared(self) -> DataFrame:
@@ -247,8 +258,8 @@ def _pipeline_checks(spark, sf_dir) -> DataFrame:
     def run() -> str:
         checks = [(f"{c} is known", F.col(c).isNotNull()) for c in P.KNOWN_COLUMNS]
         with C.namespace(spark, _database(sf_dir)) as db:
-            tables = medallion(expectations=checks).run(
-                spark, db, {"play_bronze": i.bronze, "game_bronze": i.game})
+            tables = medallion(expectations=checks, cuts=i.cuts).run(
+                spark, db, {"play_bronze": i.dealt_bronze, "game_bronze": i.game})
         return tables[CHECKS_TABLE]
 
     return spark.table(shared_value(spark, "medallion run", i.version, run))

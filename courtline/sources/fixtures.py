@@ -13,7 +13,9 @@ dimension tables at every scale factor, so they are broadcast explicitly.
 The fact-to-fact joins (events ⋈ orders, lineitem ⋈ orders ⋈ customer) are
 left to the planner and AQE: sort-merge by default, turned into a broadcast at
 run time only when a side is measured to be small.  Each scan is pruned to the
-columns used.
+columns used.  ``tasks`` (the number that a count of the rows asks for, 0: the planner's
+choice) deals the larger side of the join by game, so that the operators behind it find
+its partitions and need no shuffle of their own.
 """
 
 from __future__ import annotations
@@ -75,12 +77,15 @@ _PLAY_EXPRS = [
 ]
 
 
-def play_by_play_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def play_by_play_bronze(spark: SparkSession, sf_dir: str, tasks: int = 0) -> DataFrame:
     # every 50th event appears twice: one scan, each row emitted once or twice
     ev = read_table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id", "event_type",
-        "CAST(round(value * 100) AS BIGINT) AS k",
-        "CAST(user_id % 25 AS INT) AS home_key",
+        "CAST(round(value * 100) AS BIGINT) AS k")
+    if tasks:
+        ev = ev.repartition(tasks, "user_id")
+    ev = ev.selectExpr(
+        "*", "CAST(user_id % 25 AS INT) AS home_key",
         "CAST((user_id * 7 + 3) % 25 AS INT) AS away_key",
         "explode(IF(event_id % 50 = 0, array(1, 2), array(1))) AS copy")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -90,18 +95,25 @@ def play_by_play_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.selectExpr(*_PLAY_EXPRS)
 
 
-def game_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+def game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+
+
+def game_bronze(spark: SparkSession, sf_dir: str, tasks: int = 0) -> DataFrame:
+    li = game_lines(spark, sf_dir)
+    if tasks:
+        li = li.repartition(tasks, "l_orderkey")
+    li = li.selectExpr("*", "CAST((l_orderkey * 7 + 3) % 25 AS INT) AS away_key")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     teams = _teams(spark, sf_dir)
+    # the lines, of which there are most, are joined last and stay where their order is
+    orders = orders.join(cust, orders.o_custkey == cust.c_custkey)
     df = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    df = df.join(cust, df.o_custkey == cust.c_custkey)
-    df = df.selectExpr("*", "CAST((o_orderkey * 7 + 3) % 25 AS INT) AS away_key")
     home = _side(teams, "home")
     df = df.join(home, df.c_nationkey == F.col("home_key")).join(_side(teams, "away"), "away_key")
     return df.selectExpr(
-        "o_orderkey AS game_id",
+        "l_orderkey AS game_id",
         "l_linenumber AS event_num",
         "o_orderdate AS game_date",
         "CAST(year(o_orderdate) AS STRING) || '-' || right(CAST(year(o_orderdate) + 1 AS STRING), 2)"

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from courtline.operators import medallion as M
 from courtline.plans.queries import registry
 
 # five-fold fits need a game in every fold, which the smallest input lacks
@@ -75,3 +76,52 @@ def test_ordinary_games_shuffle_once_for_silver(spark):
     assert plan.count("Exchange hashpartitioning(game_id") == 1
     # the fixture's join of events and orders may be another one
     assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_dealt_silver_shuffles_by_game_once(spark, monkeypatch, broadcast):
+    """Join, fill and de-duplication share the partitions that the count of plays asks for."""
+    from courtline.operators import windows
+    from courtline.plans.queries import Inputs
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    plain = Inputs(spark, SF_SMALL).silver
+    rows = sorted(map(repr, plain.collect()))
+    monkeypatch.setattr(windows, "TASK_ROWS", 60)  # of 1020 rows: 17 tasks or the cores
+    tasks = max(17, spark.sparkContext.defaultParallelism)
+    spark.conf.set(key, broadcast)
+    try:
+        silver = Inputs(spark, SF_SMALL).silver
+        plan = _plan(silver)
+        assert plan.count(f", {tasks}), REPARTITION_BY_NUM") == 1
+        assert plan.count("Exchange hashpartitioning") == plan.count(f", {tasks}), ") == (1 if broadcast == "10m" else 2)
+        assert sorted(map(repr, silver.collect())) == rows
+        assert sorted(map(repr, Inputs(spark, SF_SMALL).filled.collect())) == sorted(
+            map(repr, M.fill_scores_forward(Inputs(spark, SF_SMALL).named, segment_rows=None).collect()))
+        assert "EqualTo(user_id,7)" in _plan(silver.filter("game_id = 7"))
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_dealt_games_shuffle_by_game_once(spark, monkeypatch):
+    from courtline.plans import params
+    from courtline.plans.queries import Inputs
+    from courtline.session import release_scratch
+    release_scratch(spark)
+    plain = Inputs(spark, SF_SMALL).game_silver
+    rows = sorted(map(repr, plain.collect()))
+    release_scratch(spark)
+    monkeypatch.setattr(params, "LINES_PER_TASK", 200)  # of 6000 lines
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as tables of size are joined
+    try:
+        games = Inputs(spark, SF_SMALL).game_silver
+        plan = _plan(games)
+        # two for the customers of orders, two by game; the de-duplication needs none
+        assert plan.count("Exchange hashpartitioning") == 4 and plan.count(", 30), ") == 2
+        assert plan.count(", 30), REPARTITION_BY_NUM") == 1
+        assert sorted(map(repr, games.collect())) == rows
+    finally:
+        spark.conf.set(key, old)
+        release_scratch(spark)

@@ -216,3 +216,44 @@ def test_lag_first_rows_are_null(spark):
                                           F.count("prev").alias("with_prev")).collect()
     for r in per_game:
         assert r["with_prev"] == max(0, r["n"] - 40)
+
+
+def _largest_task(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+@pytest.mark.parametrize("segment_rows", [1_000_000, 100])
+def test_windows_deal_the_counted_rows_to_tasks(spark, monkeypatch, segment_rows):
+    """A task's rows follow TASK_ROWS, not the bytes that were shuffled (few here)."""
+    monkeypatch.setattr(windows, "TASK_ROWS", 50)
+    df = _frame(spark, small_games=60)
+    games = df.groupBy("game_id").count().collect()
+    rows = sum(r["count"] for r in games)
+    cuts = hot_cuts(df, segment_rows=segment_rows)
+    assert cuts.rows == rows and cuts.empty == (segment_rows > rows)
+    assert cuts.tasks(spark) == max(-(-rows // 50), spark.sparkContext.defaultParallelism)
+    cols = ["game_id", "event_num", "margin", "score"]
+    filled = forward_fill(df, ["margin", "score"], cuts=cuts)
+    assert _rows(filled, cols) == _rows(forward_fill(df, ["margin", "score"], segment_rows=None), cols)
+    lagged = lag_rows(df, "margin", 3, "back", cuts=cuts)
+    assert _rows(lagged, [*cols, "back"]) == _rows(lag_rows(df, "margin", 3, "back", segment_rows=None), [*cols, "back"])
+    if cuts.empty:  # a game stays whole, the others are spread
+        for out in (filled, lagged):
+            assert _largest_task(out) <= 300 + 150 < rows
+
+
+def test_few_or_uncounted_rows_are_not_dealt(spark):
+    df = _frame(spark)
+    assert hot_cuts(df).rows == df.count() and hot_cuts(df).tasks(spark) == 0
+    assert hot_cuts(df, segment_rows=None).tasks(spark) == 0
+    none = df.limit(0)
+    assert hot_cuts(none).rows == 0 and windows.even_tasks(none, ["game_id"], 1) == 0
+    assert windows.task_count(spark, 1 << 60, 10) == windows.MAX_TASKS
+
+
+def test_a_hot_key_is_not_dealt(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("IF(id < 500, NULL, id) k")
+    cores = spark.sparkContext.defaultParallelism
+    assert windows.even_tasks(df, ["k"], 100) == max(30, cores) and windows.even_tasks(df, ["k"], 3000) == 0
+    monkeypatch.setattr(windows, "SEGMENT_ROWS", 400)  # 500 nulls
+    assert windows.even_tasks(df, ["k"], 100) == 0
