@@ -48,6 +48,8 @@ LINE_FEATURES = ["score_margin_40_events_ago", "minute_game"]
 # Leaf sizes of the one-split grid.
 STUMP_LEAVES = [1, 40]
 
+# Rows of events and orders dealt to a task that counts games, some 0.1 KB each in its join.
+KEYS_PER_TASK = 2_500_000
 # Lines of games dealt to a task, some 0.2 KB each with the game silver's de-duplication.
 LINES_PER_TASK = 1_200_000
 

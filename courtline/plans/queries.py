@@ -1,8 +1,8 @@
 """The query registry: one entry per operator of the inventory.
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the whole test tables.
-``Inputs`` builds the shared upstream frames lazily.  One job runs when the first plan
-over the play silver of an input is built, the count of its games (``Inputs.cuts``), and
+``Inputs`` builds the shared upstream frames lazily.  Two jobs run when the first plan
+over the play silver of an input is built, the counts of its games (``Inputs.cuts``), and
 one when the first plan over its game silver is (``Inputs.game``); otherwise nothing runs
 until the caller acts on the returned frame, but for the copies and tables that a query
 says it writes.
@@ -32,7 +32,8 @@ from courtline.plans.pipeline import CHECKS_TABLE, medallion
 from courtline.session import input_version, scratch_path, shared_copy, shared_value
 from courtline.sources import catalog as C
 from courtline.sources import files as FS
-from courtline.sources.fixtures import CSV_SCHEMA, event_csv, game_bronze, game_lines, play_by_play_bronze
+from courtline.sources.fixtures import (CSV_SCHEMA, event_csv, game_bronze, game_lines, play_by_play_bronze,
+                                        play_keys)
 from courtline.streaming.ingest import ingest_to_bronze
 
 
@@ -60,8 +61,13 @@ class Inputs:
     @cached_property
     def cuts(self) -> Cuts:
         """The hot games and where they are cut: one count per application and version
-        of the input, for the fill, the lag and all that reads silver."""
-        return shared_value(self.spark, "event cuts", self.version, lambda: hot_cuts(self.named))
+        of the input, for the fill, the lag and all that reads silver.  Its join is dealt
+        by game as well, to the tasks that a count of both sides asks for."""
+        def count() -> Cuts:
+            tasks = even_tasks(play_keys(self.spark, self.sf_dir), ["game_id"], P.KEYS_PER_TASK)
+            return hot_cuts(M.named_plays(play_by_play_bronze(self.spark, self.sf_dir, tasks)))
+
+        return shared_value(self.spark, "event cuts", self.version, count)
 
     @cached_property
     def bronze(self) -> DataFrame:

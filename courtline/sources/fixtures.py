@@ -77,6 +77,12 @@ _PLAY_EXPRS = [
 ]
 
 
+def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games of both sides of the play-level join, one row for each row that it reads."""
+    events = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("game_id"))
+    return events.unionAll(read_table(spark, sf_dir, "orders").select("o_orderkey"))
+
+
 def play_by_play_bronze(spark: SparkSession, sf_dir: str, tasks: int = 0) -> DataFrame:
     # every 50th event appears twice: one scan, each row emitted once or twice
     ev = read_table(spark, sf_dir, "events").selectExpr(

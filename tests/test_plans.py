@@ -125,3 +125,31 @@ def test_dealt_games_shuffle_by_game_once(spark, monkeypatch):
     finally:
         spark.conf.set(key, old)
         release_scratch(spark)
+
+
+def test_count_of_games_is_dealt_by_counted_keys(spark, monkeypatch):
+    """The join that is counted for hot games takes tasks by the rows of both its sides."""
+    from courtline.plans import params, queries
+    from courtline.session import release_scratch
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old, counted = spark.conf.get(key), []
+    monkeypatch.setattr(queries, "hot_cuts", lambda df: counted.append(df) or count(df))
+    count = M.hot_cuts
+    spark.conf.set(key, "-1")  # as tables of size are joined
+    try:
+        release_scratch(spark)
+        plain = queries.Inputs(spark, SF_SMALL).cuts
+        release_scratch(spark)
+        monkeypatch.setattr(params, "KEYS_PER_TASK", 100)  # of 1000 events and 1500 orders
+        dealt = queries.Inputs(spark, SF_SMALL).cuts
+        assert dealt == plain and dealt.rows == counted[1].count() == 1020
+        tasks = max(25, spark.sparkContext.defaultParallelism)
+        plan = _plan(counted[1].groupBy("game_id").count())
+        assert plan.count(f", {tasks}), REPARTITION_BY_NUM") == 1
+        # both sides of the join, and none for the groups behind it
+        assert plan.count("Exchange hashpartitioning") == plan.count(f", {tasks}), ") == 2
+        assert "REPARTITION_BY_NUM" not in _plan(counted[0])
+        assert counted[1].exceptAll(counted[0]).isEmpty() and counted[0].exceptAll(counted[1]).isEmpty()
+    finally:
+        spark.conf.set(key, old)
+        release_scratch(spark)
