@@ -115,7 +115,8 @@ class Cuts:
     """Where hot groups are cut.  ``levels`` are the search tree's tables, its root first:
     (group keys, ``__node``, ``__cuts``), ``__cuts`` an array of structs that compare with
     ``key``.  ``inside``: some cut lies between rows that tie on the order key.
-    ``rows``: all that were counted (0: not counted)."""
+    ``rows``: all that were counted (0: not counted).  ``groups``: the hot groups' keys and
+    the tasks that their rows ask for (``__tasks``)."""
 
     by: tuple[str, ...]
     orders: tuple[str, ...]
@@ -123,6 +124,7 @@ class Cuts:
     count: int = 0
     inside: bool = False
     rows: int = 0
+    groups: DataFrame | None = None
 
     @property
     def empty(self) -> bool:
@@ -254,6 +256,9 @@ def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "e
     struct = ", ".join(f"o{i}: {k}, m{i}: int" for i, k in enumerate(kinds)) + ", d: long"
     keys = [f"__k{i}" for i in range(len(by))]
     schema = ", ".join(f"{k} {types[b]}" for b, k in zip(by, keys)) + f", __node long, __cuts array<struct<{struct}>>"
+    groups = df.sparkSession.createDataFrame(
+        [(*k, -(-(len(c) + 1) * segment_rows // TASK_ROWS)) for k, c in found],
+        ", ".join([*(f"{k} {types[b]}" for b, k in zip(by, keys)), "__tasks int"]))
     levels, lists = [], found
     while True:
         rows = [(*k, at // FANOUT, c[at:at + FANOUT]) for k, c in lists for at in range(0, max(1, len(c)), FANOUT)]
@@ -263,7 +268,7 @@ def hot_cuts(df: DataFrame, by: str | Sequence[str] = "game_id", order: str = "e
         # what leads to node j of the level below is its first cut
         lists = [(k, c[FANOUT::FANOUT]) for k, c in lists]
     return Cuts(tuple(by), tuple(orders), tuple(reversed(levels)), sum(len(c) for _, c in found),
-                any(cut[1] == 1 for _, c in found for cut in c), total)
+                any(cut[1] == 1 for _, c in found for cut in c), total, groups)
 
 
 def task_count(spark: SparkSession, rows: int, task_rows: int) -> int:

@@ -75,10 +75,9 @@ class Inputs:
 
     @cached_property
     def dealt_bronze(self) -> DataFrame:
-        """Bronze dealt by game to the tasks that its count asks for.  With a hot game the
-        fill deals its segments instead."""
-        tasks = self.cuts.tasks(self.spark) if self.cuts.empty else 0
-        return play_by_play_bronze(self.spark, self.sf_dir, tasks) if tasks else self.bronze
+        """Bronze dealt by game to the tasks that its count asks for, hot games to several."""
+        tasks = self.cuts.tasks(self.spark)
+        return play_by_play_bronze(self.spark, self.sf_dir, tasks, self.cuts.groups) if tasks else self.bronze
 
     @cached_property
     def game(self) -> DataFrame:

@@ -83,20 +83,33 @@ def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.unionAll(read_table(spark, sf_dir, "orders").select("o_orderkey"))
 
 
-def play_by_play_bronze(spark: SparkSession, sf_dir: str, tasks: int = 0) -> DataFrame:
+def play_by_play_bronze(spark: SparkSession, sf_dir: str, tasks: int = 0,
+                        hot: DataFrame | None = None) -> DataFrame:
+    """``hot`` (few rows: ``__k0``, a game, and ``__tasks``): the events of these games are
+    dealt to so many tasks each, by their rows' numbers in the files, and meet their order there."""
     # every 50th event appears twice: one scan, each row emitted once or twice
-    ev = read_table(spark, sf_dir, "events").selectExpr(
-        "event_id", "ts", "user_id", "event_type",
-        "CAST(round(value * 100) AS BIGINT) AS k")
+    columns = ["event_id", "ts", "user_id", "event_type", "CAST(round(value * 100) AS BIGINT) AS k"]
+    ev = read_table(spark, sf_dir, "events")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    if hot is None:
+        ev = ev.selectExpr(*columns)
+        met = F.col("user_id") == F.col("o_orderkey")
+    else:
+        hot = F.broadcast(hot)
+        ev = ev.selectExpr(*columns, "_metadata.row_index AS row").join(
+            hot, F.col("user_id") == F.col("__k0"), "left").selectExpr(
+            "* EXCEPT (row, __k0, __tasks)", "coalesce(pmod(row, __tasks), 0) AS place")
+        orders = orders.join(hot, F.col("o_orderkey") == F.col("__k0"), "left").selectExpr(
+            "* EXCEPT (__k0, __tasks)", "explode(sequence(0L, coalesce(__tasks, 1) - 1L)) AS order_place")
+        met = (F.col("user_id") == F.col("o_orderkey")) & (F.col("place") == F.col("order_place"))
     if tasks:
-        ev = ev.repartition(tasks, "user_id")
+        ev = ev.repartition(tasks, "user_id", *([] if hot is None else ["place"]))
     ev = ev.selectExpr(
         "*", "CAST(user_id % 25 AS INT) AS home_key",
         "CAST((user_id * 7 + 3) % 25 AS INT) AS away_key",
         "explode(IF(event_id % 50 = 0, array(1, 2), array(1))) AS copy")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     teams = _teams(spark, sf_dir)
-    df = ev.join(orders, ev.user_id == orders.o_orderkey, "inner")
+    df = ev.join(orders, met, "inner")
     df = df.join(_side(teams, "home"), "home_key").join(_side(teams, "away"), "away_key")
     return df.selectExpr(*_PLAY_EXPRS)
 

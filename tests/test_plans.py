@@ -153,3 +153,32 @@ def test_count_of_games_is_dealt_by_counted_keys(spark, monkeypatch):
     finally:
         spark.conf.set(key, old)
         release_scratch(spark)
+
+
+def test_events_of_a_hot_game_are_dealt_to_several_tasks(spark, monkeypatch):
+    """A game above the segment size is joined in parts, with the rows of the plain join."""
+    from pyspark.sql import functions as F
+    from courtline.operators import windows
+    from courtline.plans import queries
+    from courtline.session import release_scratch
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    release_scratch(spark)
+    monkeypatch.setattr(windows, "TASK_ROWS", 10)
+    monkeypatch.setattr(queries, "hot_cuts", lambda df: windows.hot_cuts(df, segment_rows=20))
+    plain = M.play_by_play_silver(queries.Inputs(spark, SF_SMALL).bronze, segment_rows=None)
+    rows = sorted(map(repr, plain.collect()))
+    spark.conf.set(key, "-1")  # as tables of size are joined
+    try:
+        i = queries.Inputs(spark, SF_SMALL)
+        assert not i.cuts.empty
+        dealt = i.dealt_bronze
+        assert dealt.exceptAll(i.bronze).isEmpty() and i.bronze.exceptAll(dealt).isEmpty()
+        game = i.bronze.groupBy("game_id").count().agg(F.max("count")).first()[0]
+        task = dealt.groupBy(F.spark_partition_id(), "game_id").count().agg(F.max("count")).first()[0]
+        assert game >= 40 and task < game / 2
+        assert sorted(map(repr, i.silver.collect())) == rows
+        assert "EqualTo(user_id,7)" in _plan(i.silver.filter("game_id = 7"))
+    finally:
+        spark.conf.set(key, old)
+        release_scratch(spark)
