@@ -158,13 +158,15 @@ def signatures(docs: DataFrame) -> DataFrame:
 _SETS = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64()))])
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and set of the documents that may be among the ``ids``."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for doc, text in rows:
-            yield doc, signed(shingles(lower_words(text), hashes))
+        return batches_of(((doc, signed(shingles(lower_words(text), hashes)))
+                           for doc, text in rows_of(batches)), _SETS)
 
-    return map_rows(docs, sets, "doc_id long, items array<long>", _SETS)
+    return only_listed(docs, "doc_id", ids, sets, "doc_id long, items array<long>")
 
 
 def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -189,7 +191,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int)
     near = materialize(near, "candidates")
     ids = materialize(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     # the texts stay where they are: their sets are made there, and few are moved
-    sets = shingle_sets(only_listed(docs, "doc_id", ids)).dropDuplicates(["doc_id"])
+    sets = shingle_sets(docs, ids).dropDuplicates(["doc_id"])
     sets = materialize(sets.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))

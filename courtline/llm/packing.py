@@ -20,9 +20,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import base64
 import bisect
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import map_rows
+from courtline.llm.common import load_encoding, map_rows
 from courtline.llm.ranks import number_within
 from courtline.session import materialize
 
@@ -40,18 +38,6 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
                     ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-@functools.cache
-def load_encoding(path: str, pattern: str):
-    """A byte-level BPE by its ranks.  The ids equal those of the ``tokenizers``
-    file of the same vocabulary (tested over all code points), at some five times
-    its speed; strings of special tokens in a text are ordinary text."""
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 def cut(n: int, capacity: int) -> list[int]:
     """Starts of the pieces of ``n`` tokens: the first takes the remainder."""
     first = n % capacity or capacity
@@ -61,7 +47,9 @@ def cut(n: int, capacity: int) -> list[int]:
 def token_pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int, end_id: int,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length and the CRC-32 of its ids
-    as little-endian unsigned 32-bit numbers."""
+    as little-endian unsigned 32-bit numbers.  The ids equal those of the ``tokenizers``
+    file of the same vocabulary (tested over all code points), at some five times its
+    speed."""
 
     def pieces(rows: Iterator[tuple]) -> Iterator[tuple]:
         enc = load_encoding(vocabulary, pattern)
@@ -133,9 +121,11 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # <= capacity rows
     histogram = {r["length"]: r["n"] for r in counts}
     rows, _ = plan(histogram, capacity)
-    slots = spark.createDataFrame(
-        rows, "slot_length long, first_rank long, n_ranks long, per_sequence long, sequence long, "
-              "at long")
+    # from Arrow the JVM makes the frame itself; a list of rows would start Python workers
+    # of another kind, which stay
+    names = ["slot_length", "first_rank", "n_ranks", "per_sequence", "sequence", "at"]
+    slots = spark.createDataFrame(pa.table(
+        [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names))
     ranked = number_within(pieces, "length", ["doc_id", "piece", "start", "ids_crc32"], "rank",
                            sum(histogram.values()))
     j = F.col("rank") - F.col("first_rank")

@@ -19,8 +19,6 @@ than the two named are ignored.  One document is scanned whole, at any length.
 
 from __future__ import annotations
 
-import base64
-import functools
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -29,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import in_python, map_rows
+from courtline.llm.common import in_python, load_encoding, map_rows
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -64,13 +62,7 @@ def is_known(run: str, known: frozenset[str] = frozenset()) -> bool:
     return all(map(_PART.fullmatch, _SEPARATORS.split(run)))
 
 
-@functools.cache
-def load_vocabulary(path: str, pattern: str):
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+load_vocabulary = load_encoding
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
